@@ -51,5 +51,6 @@ def cartesian(lat: Column, lng: Column) -> tuple[Column, Column, Column]:
 
 
 def point_key(lat: Column, lng: Column) -> Column:
-    """Coordinates to five decimals, as whole numbers, for exact matching of known legs."""
-    return F.concat_ws(",", *[F.floor(c * F.lit(100000.0) + F.lit(0.5)).cast("long") for c in (lat, lng)])
+    """Coordinates to five decimals as one whole number, for exact matching of known legs."""
+    lat5, lng5 = [F.floor(c * F.lit(100000.0) + F.lit(0.5)).cast("long") for c in (lat, lng)]
+    return lat5 * F.lit(100_000_000) + lng5

@@ -9,13 +9,18 @@ cube, and each row ranks its own short list: points are never shuffled by trip a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbflow.functions.geo import EARTH_RADIUS_M, cartesian, distance_mm
 from kerbflow.operators.dedupe import top_per_key
+from kerbflow.session import store
 
 CUBE = ["__x", "__y", "__z"]
+SPOT = ["px", "py", "pz"]
+HERE = ["__hx", "__hy", "__hz"]
 NEAR = (-1, 0, 1)
 
 
@@ -55,65 +60,108 @@ def _station_index(stations: DataFrame, k: int) -> DataFrame:
     return spots.select("*", x.alias("px"), y.alias("py"), z.alias("pz"))
 
 
-def candidates_per_cube(cubes: DataFrame, stations: DataFrame, k: int, side: float) -> DataFrame:
+def fitting_side(index: DataFrame, mean: float = 1.25, most: int = 64, finest: float = 1.0) -> float:
+    """Edge of the largest cubes that mostly hold one station spot, and nowhere many, so candidate lists stay short.
+
+    One small aggregate over the stations; a single number reaches the driver.
+    """
+    top = _levels(finest)
+    fine = index.select(*SPOT).distinct().select(*_cube(tuple(F.col(c) for c in SPOT), finest))
+    leveled = fine.select(*CUBE, F.explode(F.sequence(F.lit(0), F.lit(top))).alias("__level")).select(
+        "__level", *_at_level(CUBE, F.col("__level")))
+    held = leveled.groupBy("__level", *CUBE).agg(F.count(F.lit(1)).alias("n")).groupBy("__level").agg(
+        F.avg("n").alias("mean"), F.max("n").alias("most"))
+    level = held.where((F.col("mean") <= mean) & (F.col("most") <= most)).agg(F.max("__level")).first()[0]
+    return finest * 2 ** (level or 0)
+
+
+def candidates_per_cube(cubes: DataFrame, index: DataFrame, k: int, side: float) -> DataFrame:
     """For each finest cube: all stations that may be among the k nearest of a point inside it."""
-    index = _station_index(stations, k)
     top = _levels(side)
     levels = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("__level")
     level = F.col("__level")
 
     placed = index.select("*", *_cube((F.col("px"), F.col("py"), F.col("pz")), side))
-    leveled = placed.select("station_uid", "lat", "lng", "px", "py", "pz", *CUBE, levels).select(
-        "station_uid", "lat", "lng", "px", "py", "pz", "__level", *_at_level(CUBE, level))
+    leveled = placed.select(*index.columns, *CUBE, levels).select(
+        *index.columns, "__level", *_at_level(CUBE, level))
 
     # Cubes whose neighbourhood holds at least k stations. Counts are summed per cube before they are spread.
     filled = leveled.groupBy("__level", *CUBE).agg(F.count(F.lit(1)).alias("__n"))
     enough = (
         filled.withColumn("__d", F.explode(_neighbourhood()))
         .select("__level", "__n", *_shifted())
-        .groupBy("__level", *CUBE).agg(F.sum("__n").alias("__n")).where(F.col("__n") >= k)
+        .groupBy("__level", *CUBE).agg((F.sum("__n") >= k).alias("__enough"))
     )
     fine = [f"__f{c[2:]}" for c in CUBE]
-    renamed = cubes.select(*[F.col(c).alias(f) for c, f in zip(CUBE, fine)])
-    located = renamed.select("*", levels).select(
-        *fine, "__level", *[F.call_function("shiftright", F.col(f), level).alias(c) for f, c in zip(fine, CUBE)])
-    own = located.join(enough.select("__level", *CUBE), ["__level", *CUBE], "left_semi") \
-        .groupBy(*fine).agg(F.min("__level").alias("__level"))
-    # All k neighbours lie within twice the diagonal of that cube, which is less than four of its sides:
+    coarser = [F.call_function("shiftright", F.col(f), level).alias(c) for f, c in zip(fine, CUBE)]
+    located = cubes.select(*[F.col(c).alias(f) for f, c in zip(fine, CUBE)], levels).select(*fine, "__level", *coarser)
+    # All k neighbours lie within twice the diagonal of the smallest such cube, which is less than four of its sides:
     # the neighbourhood two levels up holds them. Without any cube of k stations the top level takes all.
-    search = renamed.join(own, fine, "left").select(
-        *fine, F.least(F.coalesce(F.col("__level") + 2, F.lit(top)), F.lit(top)).alias("__level"))
-    probes = search.select(
-        *fine, "__level", *[F.call_function("shiftright", F.col(f), level).alias(c) for f, c in zip(fine, CUBE)],
-    ).withColumn("__d", F.explode(_neighbourhood())).select(*fine, "__level", *_shifted())
+    search = located.join(enough, ["__level", *CUBE], "left").groupBy(*fine).agg(
+        F.least(F.coalesce(F.min(F.when(F.col("__enough"), level)) + 2, F.lit(top)), F.lit(top)).alias("__level"))
+    probes = search.select(*fine, "__level", *coarser).withColumn("__d", F.explode(_neighbourhood())).select(
+        *fine, "__level", *_shifted())
     pairs = probes.join(leveled, ["__level", *CUBE])
     centre = [(F.col(f) + F.lit(0.5)) * F.lit(float(side)) for f in fine]
-    gap = F.sqrt(sum(((c - F.col(p)) * (c - F.col(p)) for c, p in zip(centre, ("px", "py", "pz"))), F.lit(0.0)))
-    ranged = pairs.select(*fine, "station_uid", "lat", "lng", gap.alias("__gap"))
+    gap = F.sqrt(sum(((c - F.col(p)) * (c - F.col(p)) for c, p in zip(centre, SPOT)), F.lit(0.0)))
     # A station further from the centre than the k-th one by more than the cube's diagonal is never needed.
-    reach = top_per_key(ranged.select(*fine, "__gap"), fine, [F.col("__gap").asc()], k) \
-        .groupBy(*fine).agg(F.max("__gap").alias("__reach"))
+    whole = Window.partitionBy(*fine).orderBy("__gap").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    reach = F.nth_value("__gap", k).over(whole)
+    ranged = pairs.select(*fine, *index.columns, gap.alias("__gap")).withColumn("__reach", reach)
     margin = F.lit(3**0.5 * side + 0.05)
     return (
-        ranged.join(reach, fine).where(F.col("__gap") <= F.col("__reach") + margin)
+        ranged.where(F.col("__reach").isNull() | (F.col("__gap") <= F.col("__reach") + margin))
         .groupBy(*[F.col(f).alias(c) for f, c in zip(fine, CUBE)])
-        .agg(F.collect_list(F.struct("station_uid", "lat", "lng")).alias("__near"))
+        .agg(F.collect_list(F.struct("station_uid", "lat", "lng", "px", "py", "pz")).alias("__near"))
     )
 
 
-def knn(points: DataFrame, stations: DataFrame, k: int = 6, lat: str = "lat", lng: str = "lng",
-        out: str = "neighbours", side: float = 500.0) -> DataFrame:
-    """Points with an array of their k nearest stations: (meters, station_uid), nearest first, ties by id.
+def _nearest(lat: str, lng: str, k: int) -> Column:
+    """The first k of a row's candidates by distance to the millimetre, then id.
+
+    Candidates are first ordered by the cheap squared straight line; only those that can still tie with the k-th one
+    get their distance on the globe. The one-element arrays hold values that are computed once per row.
+    """
+    square = lambda s: sum(((s[c] - F.col(p)) * (s[c] - F.col(p)) for c, p in zip(SPOT, HERE)), F.lit(0.0))
+    ordered = F.sort_array(F.transform(
+        F.col("__near"), lambda s: F.struct(square(s).alias("line"), s.alias("s"))))
 
-    `side` is the edge of the finest cube in metres; about the mean distance between stations is a good value.
-    It changes the work done, never the result.
+    def limit(rows: Column) -> Column:
+        reach = F.sqrt(F.try_element_at(rows, F.lit(k))["line"]) + F.lit(0.01)
+        return F.coalesce(reach * reach, F.lit(float("inf")))
+
+    def ranked(bound: Column) -> Column:
+        close = F.filter(bound["rows"], lambda o: o["line"] <= bound["limit"])
+        return F.slice(F.sort_array(F.transform(close, lambda o: F.struct(
+            distance_mm(F.col(lat), F.col(lng), o["s"]["lat"], o["s"]["lng"]).alias("meters"),
+            o["s"]["station_uid"].alias("station_uid")))), 1, k)
+
+    bound = F.transform(F.array(ordered), lambda rows: F.struct(rows.alias("rows"), limit(rows).alias("limit")))
+    return F.element_at(F.transform(bound, ranked), 1)
+
+
+def knn_columns(points: DataFrame, stations: DataFrame, k: int, spots: dict[str, tuple[str, str]],
+                side: float | None = None) -> DataFrame:
+    """Points with one array of the k nearest stations per spot: (meters, station_uid), nearest first, ties by id.
+
+    `spots` names the arrays and their coordinate columns. The candidates of all spots are found once and stored, so
+    Spark knows their size when it chooses the join; the points themselves are scanned once. `side` is the edge of the
+    finest cube in metres. It changes the work done, never the result; by default it follows the station density.
     """
-    placed = points.select("*", *_cube(cartesian(F.col(lat), F.col(lng)), side))
-    cubes = placed.select(*CUBE).where(F.col("__x").isNotNull()).distinct()
-    near = candidates_per_cube(cubes, stations, k, side)
-    joined = placed.join(near, CUBE, "left")
-    ranked = F.array_sort(F.transform(
-        F.col("__near"),
-        lambda s: F.struct(distance_mm(F.col(lat), F.col(lng), s["lat"], s["lng"]).alias("meters"),
-                           s["station_uid"].alias("station_uid"))))
-    return joined.select(*points.columns, F.slice(ranked, 1, k).alias(out))
+    index = store(_station_index(stations, k), "stations")
+    size = side or fitting_side(index)
+    cubes = [points.select(*_cube(cartesian(F.col(lat), F.col(lng)), size)).where(F.col("__x").isNotNull()).distinct()
+             for lat, lng in spots.values()]
+    near = store(candidates_per_cube(reduce(DataFrame.union, cubes).distinct(), index, k, size), "candidates")
+    out = points
+    for name, (lat, lng) in spots.items():
+        position = out.select("*", *[c.alias(n) for c, n in zip(cartesian(F.col(lat), F.col(lng)), HERE)])
+        placed = position.select("*", *_cube(tuple(F.col(c) for c in HERE), size))
+        out = placed.join(near, CUBE, "left").select(*out.columns, _nearest(lat, lng, k).alias(name))
+    return out
+
+
+def knn(points: DataFrame, stations: DataFrame, k: int = 6, lat: str = "lat", lng: str = "lng",
+        out: str = "neighbours", side: float | None = None) -> DataFrame:
+    """Points with the array of their k nearest stations; see `knn_columns`."""
+    return knn_columns(points, stations, k, {out: (lat, lng)}, side)

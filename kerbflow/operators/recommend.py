@@ -12,7 +12,7 @@ from kerbflow.functions.geo import (
 from kerbflow.functions.status import LOW_THRESHOLD
 from kerbflow.functions.timefns import micros
 from kerbflow.operators.dedupe import top_per_key
-from kerbflow.operators.knn import knn
+from kerbflow.operators.knn import knn, knn_columns
 
 # Fixed values of the ranking.
 CANDIDATES = 6
@@ -77,7 +77,8 @@ def _attach(df: DataFrame, legs: DataFrame | None, profile: str, name: str, star
 
 def _side(df: DataFrame, neighbours: str, stations: DataFrame, prefix: str) -> DataFrame:
     """One row per trip and candidate station of one side, with the station's columns prefixed."""
-    spread = df.select(*[c for c in df.columns if c != neighbours], F.posexplode(neighbours).alias("__pos", "__s"))
+    # The outer form keeps Spark from testing the array first, which would rank the candidates twice.
+    spread = df.select(*[c for c in df.columns if c != neighbours], F.posexplode_outer(neighbours).alias("__pos", "__s"))
     rows = spread.select(
         *[c for c in df.columns if c != neighbours], (F.col("__pos") + 1).alias(f"{prefix}_rank"),
         F.col("__s.station_uid").alias(f"{prefix}_uid"), F.col("__s.meters").alias(f"{prefix}_m"))
@@ -86,15 +87,15 @@ def _side(df: DataFrame, neighbours: str, stations: DataFrame, prefix: str) -> D
     return rows.join(named, f"{prefix}_uid")
 
 
-def trip_candidates(trips: DataFrame, stations: DataFrame, k: int = CANDIDATES, side: float = 500.0) -> DataFrame:
+def trip_candidates(trips: DataFrame, stations: DataFrame, k: int = CANDIDATES, side: float | None = None) -> DataFrame:
     """Trips with the arrays of nearest in-service stations of origin and destination."""
     open_stations = stations.where(F.col("is_in_service"))
-    rent = knn(trips, open_stations, k, "origin_lat", "origin_lng", "rent_near", side)
-    return knn(rent, open_stations, k, "dest_lat", "dest_lng", "return_near", side)
+    return knn_columns(trips, open_stations, k, {
+        "rent_near": ("origin_lat", "origin_lng"), "return_near": ("dest_lat", "dest_lng")}, side)
 
 
 def trip_pairs(trips: DataFrame, stations: DataFrame, snapshot_time: Column, legs: DataFrame | None = None,
-               k: int = CANDIDATES, side: float = 500.0) -> DataFrame:
+               k: int = CANDIDATES, side: float | None = None) -> DataFrame:
     """All feasible rent/return pairs of each trip (at most k x k) with times, expected bikes and docks, and score."""
     base = trip_candidates(trips, stations, k, side)
     rent = _side(base, "rent_near", stations, "rent")
@@ -131,7 +132,7 @@ def trip_pairs(trips: DataFrame, stations: DataFrame, snapshot_time: Column, leg
 
 
 def recommend(trips: DataFrame, stations: DataFrame, snapshot_time: Column, legs: DataFrame | None = None,
-              options: int = OPTIONS, k: int = CANDIDATES, side: float = 500.0) -> DataFrame:
+              options: int = OPTIONS, k: int = CANDIDATES, side: float | None = None) -> DataFrame:
     """Best pairs of each trip; equal scores keep the nearer rent station, then the nearer return station."""
     pairs = trip_pairs(trips, stations, snapshot_time, legs, k, side)
     order = [round_to(F.col("score"), 3).asc(), F.col("rent_rank").asc(), F.col("return_rank").asc()]
@@ -176,7 +177,7 @@ def walk_only(trips: DataFrame, options: DataFrame, slack: float = WALK_SLACK_MI
         "walking_is_as_fast", F.coalesce(F.col("walk_only_minutes") <= F.col("best_minutes") + F.lit(slack), F.lit(False)))
 
 
-def describe_points(points: DataFrame, stations: DataFrame, side: float = 500.0) -> DataFrame:
+def describe_points(points: DataFrame, stations: DataFrame, side: float | None = None) -> DataFrame:
     """Points labelled by their nearest station, with the out-of-area flag."""
     near = knn(points, stations, 1, out="__near", side=side).withColumn("__s", F.element_at("__near", 1))
     named = near.select(*points.columns, F.col("__s.station_uid").alias("station_uid"), F.col("__s.meters").alias("meters"))

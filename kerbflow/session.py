@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "kerbflow", master: str | None = None, shuffle_partitions: int | None = None,
@@ -21,6 +21,8 @@ def build_session(app: str = "kerbflow", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # The JVM does not compile methods of more than 8000 bytes; past that, Spark's smaller methods are faster.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
@@ -44,3 +46,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="kerbflow-")
         spark.conf.set("kerbflow.scratch", base)
     return f"{base.rstrip('/')}/kerbflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to the shared folder and read it back.
+
+    It cuts the lineage, survives lost executors, and gives Spark the true size, by which it decides on broadcasts.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores, spread over them; anything larger is left as it is.
+
+    For work that is heavy per row, on inputs so small that their one file makes one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -14,14 +14,13 @@ from kerbflow.operators import recommend as rec
 from kerbflow.operators.knn import knn
 from kerbflow.operators.search import clean_places, match_stations
 from kerbflow.plans.serving import iso_utc, latest_availability, pending_forecast, snapshot, snapshot_payload
-from kerbflow.session import scratch_dir
+from kerbflow.session import scratch_dir, store
 from kerbflow.sources.documents import parse_routes, read_snapshot, write_snapshot
 from workload import views as v
 from workload.registry import query
 from workload.views import EVENTS_AS_OF, sql_haversine, sql_key, sql_round
 
 PREFIX = "Customer#"
-SIDE = 4000.0  # about the distance between neighbouring stations of the test grid
 
 SNAP = ["station_uid", "station_name", "lat", "lng", "bikes_available", "docks_available", "is_in_service",
         "source_updated_at", "forecast_for", "predicted_bikes_available"]
@@ -111,12 +110,17 @@ def _option_columns(options):
                           *[round_to(F.col(c), d).alias(c) for c, d in r])
 
 
+def published(spark, sf):
+    """The snapshot as a stored table, as trip ranking reads it."""
+    return store(v.snapshot_rows(spark, sf), "snapshot")
+
+
 def with_legs(spark, sf):
-    return rec.recommend(v.trips(spark, sf), v.snapshot_rows(spark, sf), now(), v.legs(spark, sf), side=SIDE)
+    return rec.recommend(v.trips(spark, sf), published(spark, sf), now(), v.legs(spark, sf))
 
 
 def without_legs(spark, sf):
-    return rec.recommend(v.trips(spark, sf), v.snapshot_rows(spark, sf), now(), side=SIDE)
+    return rec.recommend(v.trips(spark, sf), published(spark, sf), now())
 
 
 @query("f1_latest_availability", "SELECT * FROM latest_obs")
@@ -197,9 +201,9 @@ def f8(spark, sf):
     FROM trips t JOIN near_origin n ON n.p_lat = t.origin_lat AND n.p_lng = t.origin_lng""", **_pairs_sql(False))
 def f9(spark, sf):
     """Six nearest in-service stations of every trip origin."""
-    stations = v.snapshot_rows(spark, sf).where("is_in_service")
-    near = knn(v.trips(spark, sf).select("trip_id", "origin_lat", "origin_lng"), stations, 6, "origin_lat", "origin_lng", side=SIDE)
-    return near.select("trip_id", F.posexplode("neighbours").alias("p", "s")).select(
+    stations = published(spark, sf).where("is_in_service")
+    near = knn(v.trips(spark, sf).select("trip_id", "origin_lat", "origin_lng"), stations, 6, "origin_lat", "origin_lng")
+    return near.select("trip_id", F.posexplode_outer("neighbours").alias("p", "s")).select(
         "trip_id", (F.col("p") + 1).alias("r"), "s.station_uid", "s.meters")
 
 
@@ -213,8 +217,8 @@ def f9(spark, sf):
     ON n.lat = t.dest_lat AND n.lng = t.dest_lng""")
 def f9_all(spark, sf):
     """Over all stations, many of which share a spot, so that ties decide."""
-    near = knn(v.trips(spark, sf).select("trip_id", "dest_lat", "dest_lng"), v.stations(spark, sf), 6, "dest_lat", "dest_lng", side=SIDE)
-    return near.select("trip_id", F.posexplode("neighbours").alias("p", "s")).select(
+    near = knn(v.trips(spark, sf).select("trip_id", "dest_lat", "dest_lng"), v.stations(spark, sf), 6, "dest_lat", "dest_lng")
+    return near.select("trip_id", F.posexplode_outer("neighbours").alias("p", "s")).select(
         "trip_id", (F.col("p") + 1).alias("r"), "s.station_uid", "s.meters")
 
 
@@ -227,7 +231,7 @@ def f10(spark, sf):
     SELECT count(*) AS pairs, count(DISTINCT trip_id) AS trips, count(*) FILTER (WHERE few_bikes) AS few_bikes,
            count(*) FILTER (WHERE few_docks) AS few_docks FROM pairs""", **_pairs_sql(False))
 def f10_pairs(spark, sf):
-    pairs = rec.trip_pairs(v.trips(spark, sf), v.snapshot_rows(spark, sf), now(), side=SIDE)
+    pairs = rec.trip_pairs(v.trips(spark, sf), published(spark, sf), now())
     return pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_distinct("trip_id").alias("trips"),
                      F.count_if("few_bikes").alias("few_bikes"), F.count_if("few_docks").alias("few_docks"))
 
@@ -282,7 +286,7 @@ def f14(spark, sf):
     JOIN stations s ON s.station_uid = n.station_uid""", **_pairs_sql(False))
 def f15(spark, sf):
     points = v.trips(spark, sf).select("trip_id", F.col("origin_lat").alias("lat"), F.col("origin_lng").alias("lng"))
-    return rec.describe_points(points, v.snapshot_rows(spark, sf).where("is_in_service"), side=SIDE).drop("lat", "lng")
+    return rec.describe_points(points, published(spark, sf).where("is_in_service")).drop("lat", "lng")
 
 
 def _level_sql(count: str) -> str:
