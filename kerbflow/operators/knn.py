@@ -119,40 +119,42 @@ def candidates_per_cube(cubes: DataFrame, index: DataFrame, k: int, side: float)
 def _nearest(lat: str, lng: str, k: int) -> Column:
     """The first k of a row's candidates by distance to the millimetre, then id.
 
-    Candidates are first ordered by the cheap squared straight line; only those that can still tie with the k-th one
-    get their distance on the globe. The one-element arrays hold values that are computed once per row.
+    The cheap squared straight line finds the reach of the k-th candidate first; only candidates that can still tie
+    with it get their distance on the globe. The one-element array holds the reach, computed once per row.
     """
-    square = lambda s: sum(((s[c] - F.col(p)) * (s[c] - F.col(p)) for c, p in zip(SPOT, HERE)), F.lit(0.0))
-    ordered = F.sort_array(F.transform(
-        F.col("__near"), lambda s: F.struct(square(s).alias("line"), s.alias("s"))))
+    def line(s: Column) -> Column:
+        x, y, z = [s[c] - F.col(p) for c, p in zip(SPOT, HERE)]
+        return x * x + y * y + z * z
 
-    def limit(rows: Column) -> Column:
-        reach = F.sqrt(F.try_element_at(rows, F.lit(k))["line"]) + F.lit(0.01)
-        return F.coalesce(reach * reach, F.lit(float("inf")))
+    lines = F.sort_array(F.transform(F.col("__near"), line))
+    reach = F.sqrt(F.try_element_at(lines, F.lit(k))) + F.lit(0.01)
+    limit = F.coalesce(reach * reach, F.lit(float("inf")))
 
     def ranked(bound: Column) -> Column:
-        close = F.filter(bound["rows"], lambda o: o["line"] <= bound["limit"])
-        return F.slice(F.sort_array(F.transform(close, lambda o: F.struct(
-            distance_mm(F.col(lat), F.col(lng), o["s"]["lat"], o["s"]["lng"]).alias("meters"),
-            o["s"]["station_uid"].alias("station_uid")))), 1, k)
+        close = F.filter(F.col("__near"), lambda s: line(s) <= bound)
+        return F.slice(F.sort_array(F.transform(close, lambda s: F.struct(
+            distance_mm(F.col(lat), F.col(lng), s["lat"], s["lng"]).alias("meters"),
+            s["station_uid"].alias("station_uid")))), 1, k)
 
-    bound = F.transform(F.array(ordered), lambda rows: F.struct(rows.alias("rows"), limit(rows).alias("limit")))
-    return F.element_at(F.transform(bound, ranked), 1)
+    return F.element_at(F.transform(F.array(limit), ranked), 1)
 
 
-def knn_columns(points: DataFrame, stations: DataFrame, k: int, spots: dict[str, tuple[str, str]],
-                side: float | None = None) -> DataFrame:
-    """Points with one array of the k nearest stations per spot: (meters, station_uid), nearest first, ties by id.
+def candidate_index(points: DataFrame, stations: DataFrame, k: int, spots: list[tuple[str, str]],
+                    side: float | None = None) -> tuple[DataFrame, float]:
+    """Stored candidates of every cube that holds a point, and the edge of the cubes.
 
-    `spots` names the arrays and their coordinate columns. The candidates of all spots are found once and stored, so
-    Spark knows their size when it chooses the join; the points themselves are scanned once. `side` is the edge of the
-    finest cube in metres. It changes the work done, never the result; by default it follows the station density.
+    `spots` lists the coordinate columns of the points. The index depends on stations and covered cubes only, so one
+    index serves all batches of points in its cubes.
     """
     index = store(_station_index(stations, k), "stations")
     size = side or fitting_side(index)
     cubes = [points.select(*_cube(cartesian(F.col(lat), F.col(lng)), size)).where(F.col("__x").isNotNull()).distinct()
-             for lat, lng in spots.values()]
-    near = store(candidates_per_cube(reduce(DataFrame.union, cubes).distinct(), index, k, size), "candidates")
+             for lat, lng in spots]
+    return store(candidates_per_cube(reduce(DataFrame.union, cubes).distinct(), index, k, size), "candidates"), size
+
+
+def rank_candidates(points: DataFrame, near: DataFrame, size: float, k: int, spots: dict[str, tuple[str, str]]) -> DataFrame:
+    """Points with one ranked array per spot. Each row ranks its own candidates; points are not shuffled for it."""
     out = points
     for name, (lat, lng) in spots.items():
         position = out.select("*", *[c.alias(n) for c, n in zip(cartesian(F.col(lat), F.col(lng)), HERE)])
@@ -161,6 +163,18 @@ def knn_columns(points: DataFrame, stations: DataFrame, k: int, spots: dict[str,
     return out
 
 
+def knn_columns(points: DataFrame, stations: DataFrame, k: int, spots: dict[str, tuple[str, str]],
+                side: float | None = None) -> DataFrame:
+    """Points with one array of the k nearest stations per spot: (meters, station_uid), nearest first, ties by id.
+
+    `spots` names the arrays and their coordinate columns. The candidates of all spots are found once and stored, so
+    Spark knows their size when it chooses the join. `side` is the edge of the finest cube in metres. It changes the
+    work done, never the result; by default it follows the station density.
+    """
+    near, size = candidate_index(points, stations, k, list(spots.values()), side)
+    return rank_candidates(points, near, size, k, spots)
+
+
 def knn(points: DataFrame, stations: DataFrame, k: int = 6, lat: str = "lat", lng: str = "lng",
         out: str = "neighbours", side: float | None = None) -> DataFrame:
     """Points with the array of their k nearest stations; see `knn_columns`."""
