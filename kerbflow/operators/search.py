@@ -25,7 +25,9 @@ def match_stations(queries: DataFrame, stations: DataFrame, limit: int = 5) -> D
     """
     asked = queries.withColumn("__text", F.lower(F.trim("query"))).where(F.col("__text") != "")
     texts = asked.select("__text").distinct()
-    names = stations.select(
+    # Equal names match alike and rank by id, so only the first few stations of a name can be in a result.
+    distinct = top_per_key(stations.select("station_uid", "station_name"), ["station_name"], [F.col("station_uid").asc()], limit)
+    names = distinct.select(
         "station_uid", "station_name", F.lower("station_name").alias("__name"),
         F.char_length("station_name").alias("__length"))
     pieces = names.select(

@@ -50,6 +50,7 @@ def advance_status(state: DataFrame, batch: DataFrame, arrival: list[str],
 
     State rows (status, since_us, last_seen_us) enter as the change before the batch, so one pass orders old and
     new together. Rows not newer than `last_seen_us` are ignored; stations absent from the batch keep their state.
+    Store the new state before the next step, so that plans do not grow from batch to batch.
     """
     old = state.select(
         KEY, F.col("status").alias("__old_status"), F.col("since_us").alias("__old_since"),

@@ -29,6 +29,7 @@ class KeyedTable:
     schema: T.StructType
     keys: list[str]
     day_of: str | None = None
+    stamped: str | None = None  # column that holds the time of the write
 
     @property
     def part(self) -> str:
@@ -55,6 +56,8 @@ class KeyedTable:
 
         A day-partitioned table has the day in its key, so a key never moves between partitions.
         """
+        if self.stamped:
+            batch = batch.withColumn(self.stamped, F.current_timestamp())
         placed = self._placed(batch.select(*self.schema.names))
         # At most one row per calendar day, or per hash bucket.
         touched = placed.select(self.part).distinct()

@@ -10,7 +10,7 @@ T0 = datetime(2026, 10, 8, 4, 0, 0)
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[4]", 4, spark__ui__enabled="false", spark__driver__memory="6g",
+        "tests", "local[4]", 2, spark__ui__enabled="false", spark__driver__memory="6g",
         spark__ui__showConsoleProgress="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")))
     session.sparkContext.setLogLevel("ERROR")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kerbflow.functions.status import classify
 from kerbflow.operators.transitions import advance_status, status_events_batch
+from kerbflow.session import store
 from kerbflow.streaming.jobs import STATE_TABLE
 from tests.conftest import T0
 
@@ -62,7 +63,8 @@ def test_state_carries_across_batches(spark, observations):
     empty = spark.createDataFrame([], STATE_TABLE)
     first, state = advance_status(empty, observations([("A", 0, 0, 10, 1)]), ARRIVAL)
     assert seen(first) == [("A", 0, "empty", None, None)]
-    again, state = advance_status(state, observations([("A", 1, 0, 10, 1)]), ARRIVAL)
+    again, state = advance_status(store(state, "state"), observations([("A", 1, 0, 10, 1)]), ARRIVAL)
+    state = store(state, "state")
     assert seen(again) == []
     row = state.first()
     assert row["last_seen_us"] - row["since_us"] == 60_000_000
@@ -73,6 +75,7 @@ def test_state_carries_across_batches(spark, observations):
 def test_old_and_repeated_rows_change_nothing(spark, observations):
     empty = spark.createDataFrame([], STATE_TABLE)
     _, state = advance_status(empty, observations([("A", 5, 4, 6, 1), ("B", 1, 4, 6, 1)]), ARRIVAL)
+    state = store(state, "state")
     events, after = advance_status(state, observations([("A", 5, 4, 6, 1), ("A", 2, 0, 10, 1)]), ARRIVAL)
     assert seen(events) == []
     assert sorted(after.collect()) == sorted(state.collect())
@@ -111,7 +114,7 @@ def test_batches_equal_whole_history_on_ordered_input(spark, observations, rows_
     for lo in range(0, 300, 100):
         events, state = advance_status(state, observations([r for r in rows if lo <= r[1] < lo + 100]), ARRIVAL, rows_per_slice)
         got += seen(events)
-        state = spark.createDataFrame(state.collect(), STATE_TABLE)
+        state = store(state, "state")
     assert sorted(got) == by_hand(rows)
 
 

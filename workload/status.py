@@ -11,7 +11,7 @@ from kerbflow.functions.timefns import lit_like
 from kerbflow.operators.transitions import advance_status, status_events_batch
 from kerbflow.plans import dashboards as dash
 from kerbflow.schemas import STATUS_EVENT
-from kerbflow.session import prepare, scratch_dir
+from kerbflow.session import prepare, scratch_dir, store
 from kerbflow.streaming import jobs
 from kerbflow.streaming.progress import ProgressTable
 from kerbflow.streaming.stateful import status_events as stateful_events
@@ -52,7 +52,7 @@ def e3_stream(spark, sf):
     table = jobs.window_table(spark, f"{root}/stats")
     stats = jobs.window_stats(jobs.dedupe_stream(stream_obs(spark, sf)))
     jobs.start_sink(stats, "window_stats", jobs.upsert_sink(table, f"{root}/staging"), f"{root}/cp", None).awaitTermination()
-    return table.read()
+    return table.read().drop("updated_at")
 
 
 @query("e3_window_stats_batch", "SELECT * FROM half_hours")
@@ -79,7 +79,7 @@ def e5(spark, sf):
     table = jobs.event_table(spark, f"{root}/events")
     found = stateful_events(stream_obs(spark, sf))
     jobs.start_sink(found, "status_events", jobs.insert_sink(table, f"{root}/staging"), f"{root}/cp", None).awaitTermination()
-    return table.read()
+    return table.read().drop("detected_at")
 
 
 @query("e5_status_events_table_stream", EVENTS_INT)
@@ -89,7 +89,7 @@ def e5_tables(spark, sf):
     table = jobs.event_table(spark, f"{root}/events")
     sink = jobs.status_sink(table, f"{root}/state", f"{root}/staging")
     jobs.start_sink(stream_obs(spark, sf), "status_events", sink, f"{root}/cp", None).awaitTermination()
-    return table.read()
+    return table.read().drop("detected_at")
 
 
 @query("e5_advance_state", "SELECT * FROM status_events")
@@ -101,7 +101,7 @@ def e5_steps(spark, sf):
     second = obs.where(at >= lit_like(obs, "source_updated_at", datetime(2024, 1, 14)))
     empty = spark.createDataFrame([], jobs.STATE_TABLE)
     early, state = advance_status(empty, first, ["seq"])
-    late, _ = advance_status(state, second, ["seq"])
+    late, _ = advance_status(store(state, "state"), second, ["seq"])
     return early.unionByName(late)
 
 
@@ -117,7 +117,7 @@ def e5_state(spark, sf):
     cut = lit_like(obs, "source_updated_at", datetime(2024, 1, 16))
     empty = spark.createDataFrame([], jobs.STATE_TABLE)
     _, state = advance_status(empty, obs.where(at < cut), ["seq"])
-    return advance_status(state, obs.where(at >= cut), ["seq"])[1]
+    return advance_status(store(state, "state"), obs.where(at >= cut), ["seq"])[1]
 
 
 @query("e6_status_events_batch", "SELECT * FROM status_events")
@@ -162,6 +162,17 @@ def e10(spark, sf):
         return progress.samples(spark).groupBy("metric", "series").agg(F.max("value").alias("value"))
 
 
+@query("i10_stream_latency")
+def i10_stream(spark, sf):
+    """Source time to write time of the events of a stream, by status; the write time is the clock's."""
+    from kerbflow.operators.monitor import event_latency
+    root = scratch_dir(spark, "stream")
+    table = jobs.event_table(spark, f"{root}/events")
+    sink = jobs.status_sink(table, f"{root}/state", f"{root}/staging")
+    jobs.start_sink(stream_obs(spark, sf), "status_events", sink, f"{root}/cp", None).awaitTermination()
+    return event_latency(table.read(), "changed_at", "detected_at", ["status"], exact=False)
+
+
 @query("h1_status_counts", """
     SELECT count(*) FILTER (WHERE status = 'empty') AS empty, count(*) FILTER (WHERE status = 'full') AS full,
            count(*) FILTER (WHERE status = 'out_of_service') AS out_of_service

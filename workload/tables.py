@@ -20,6 +20,7 @@ from kerbflow.session import scratch_dir
 from kerbflow.sources.landing import append_raw, land, read_raw_table, read_staged, recent_days
 from kerbflow.sources.normalize import normalize, station_rows, stage_observations
 from kerbflow.sources.tables import KeyedTable
+from kerbflow.streaming.jobs import station_table
 from workload import views as v
 from workload.registry import query
 from workload.views import EVENTS_AS_OF, TZ, sql_round
@@ -290,6 +291,19 @@ def b9(spark, sf):
     return station_rows(v.stations(spark, sf), "Customer#")
 
 
+@query("b9_stations_table", """
+    SELECT station_uid, regexp_replace(station_name, '^Customer#', '') AS station_name, lat, lng,
+           CAST(capacity AS INTEGER) AS capacity FROM stations""")
+def b9_table(spark, sf):
+    """Reference rows upserted into the stations table; the second load brings their names."""
+    root = scratch_dir(spark, "stations")
+    table = station_table(spark, f"{root}/t")
+    stations = v.stations(spark, sf)
+    table.upsert(station_rows(stations.withColumn("station_name", F.lit("old")), "Customer#"), f"{root}/staging/0")
+    table.upsert(station_rows(stations, "Customer#"), f"{root}/staging/1")
+    return table.read().drop("updated_at")
+
+
 @query("b8_display_name", """
     SELECT p_partkey, CASE WHEN starts_with(p_name, 'small ') THEN substr(p_name, 7) ELSE coalesce(p_name, '') END AS name
     FROM part""")
