@@ -27,8 +27,7 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 def to_ndjson(df: DataFrame) -> DataFrame:
     """One JSON line per row: microsecond UTC times, nulls written out, text unescaped."""
-    return df.select(F.to_json(F.struct(*df.columns), {
-        "ignoreNullFields": "false", "timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT}).alias("value"))
+    return df.select(to_ndjson_column(df.columns).alias("value"))
 
 
 def with_layout(df: DataFrame, tz: str, at: str = "ingested_at") -> DataFrame:
@@ -37,16 +36,15 @@ def with_layout(df: DataFrame, tz: str, at: str = "ingested_at") -> DataFrame:
     return df.withColumn("dt", F.date_format(local, "yyyy-MM-dd")).withColumn("hour", F.date_format(local, "HH"))
 
 
-def land(df: DataFrame, root: str, dataset: str, tz: str, files_per_hour: int = 1) -> None:
+def land(df: DataFrame, root: str, dataset: str, tz: str) -> None:
     """Write staged rows as `<root>/staged/<dataset>/city=/dt=/hour=` NDJSON.
 
-    `files_per_hour` spreads one hour over several tasks, so that a heavy hour is not written by one of them.
+    Rebalancing gives most hours one file and splits an hour that is too heavy for one task.
     """
     placed = with_layout(df, tz)
-    spread = F.pmod(F.xxhash64("station_uid"), F.lit(files_per_hour))
-    lines = placed.select(to_ndjson_column(df.columns).alias("value"), "city", "dt", "hour", spread.alias("__file"))
-    lines.repartition("city", "dt", "hour", "__file").drop("__file").write.mode("append").partitionBy(
-        "city", "dt", "hour").text(f"{root}/staged/{dataset}")
+    lines = placed.select(to_ndjson_column(df.columns).alias("value"), "city", "dt", "hour")
+    lines.hint("rebalance", "city", "dt", "hour").write.mode("append").partitionBy("city", "dt", "hour").text(
+        f"{root}/staged/{dataset}")
 
 
 def to_ndjson_column(columns: list[str]) -> Column:
@@ -76,9 +74,8 @@ def newest_batch(df: DataFrame) -> DataFrame:
 
 def append_raw(df: DataFrame, path: str) -> None:
     """Append to the raw table: a directory per load day, rows sorted by station so that row groups can be skipped."""
-    df.withColumn("ingest_date", F.to_date("ingested_at")).repartition(
-        F.col("ingest_date"), F.pmod(F.xxhash64("station_uid"), F.lit(64))
-    ).sortWithinPartitions("ingest_date", "station_uid").write.mode("append").partitionBy("ingest_date").parquet(path)
+    df.withColumn("ingest_date", F.to_date("ingested_at")).hint("rebalance", "ingest_date").sortWithinPartitions(
+        "ingest_date", "station_uid").write.mode("append").partitionBy("ingest_date").parquet(path)
 
 
 def read_raw_table(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:

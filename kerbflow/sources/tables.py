@@ -63,12 +63,13 @@ class KeyedTable:
         touched = placed.select(self.part).distinct()
         current = self._stored().join(F.broadcast(touched), self.part, "left_semi")
         merged = combine(current.drop(self.part), batch.select(*self.schema.names))
-        self._placed(merged).write.mode("overwrite").partitionBy(self.part).parquet(staging)
+        # Rebalancing makes files of an even size: a heavy day is split over tasks, light days share one.
+        self._placed(merged).hint("rebalance", self.part).sortWithinPartitions(self.part, *self.keys).write.mode(
+            "overwrite").partitionBy(self.part).parquet(staging)
         part_type = T.DateType() if self.day_of else T.IntegerType()
         full = T.StructType([*self.schema.fields, T.StructField(self.part, part_type)])
-        self.spark.read.schema(full).parquet(staging).repartition(F.col(self.part)).sortWithinPartitions(
-            *self.keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            self.part).parquet(self.path)
+        self.spark.read.schema(full).parquet(staging).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(self.part).parquet(self.path)
 
     def upsert(self, batch: DataFrame, staging: str, order: list[str] | None = None) -> None:
         self.merge(batch, lambda t, b: upsert(t, b, self.keys, order), staging)
