@@ -4,7 +4,7 @@ import pytest
 
 from kerbflow.session import build_session
 
-T0 = datetime(2026, 10, 8, 4, 0, 0)
+T0 = datetime(2027, 3, 1, 4, 0, 0)
 
 
 @pytest.fixture(scope="session")

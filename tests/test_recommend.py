@@ -11,14 +11,14 @@ from kerbflow.operators.knn import knn
 
 STATION = ("station_uid string, station_name string, lat double, lng double, bikes_available long, docks_available long, "
            "is_in_service boolean, forecast_for timestamp, predicted_bikes_available double")
-ORIGIN, DEST = (24.15, 120.65), (24.17, 120.65)
+ORIGIN, DEST = (35.15, 10.65), (35.17, 10.65)
 
 
 @pytest.fixture
 def city(spark):
     """Stations south to north on one meridian: (id, latitude offset, bikes, docks, in service, minutes ahead, forecast)."""
     def make(*rows):
-        data = [(r[0], r[0], 24.15 + r[1], 120.65, r[2], r[3], r[4] if len(r) > 4 else True) for r in rows]
+        data = [(r[0], r[0], 35.15 + r[1], 10.65, r[2], r[3], r[4] if len(r) > 4 else True) for r in rows]
         base = spark.createDataFrame(data, STATION.split(", forecast")[0])
         ahead = {r[0]: (r[5], r[6]) for r in rows if len(r) > 6}
         due = spark.createDataFrame([(k, m, float(b)) for k, (m, b) in ahead.items()], "station_uid string, m int, predicted_bikes_available double")
@@ -33,7 +33,7 @@ def trip(spark):
 
 
 def now():
-    return F.lit("2026-10-08 12:00:00").cast("timestamp")
+    return F.lit("2027-03-01 12:00:00").cast("timestamp")
 
 
 def options(trip, stations, legs=None):
@@ -41,7 +41,7 @@ def options(trip, stations, legs=None):
 
 
 def test_hundredth_of_a_degree_is_about_1112_metres(spark):
-    m = spark.range(1).select(haversine(F.lit(24.15), F.lit(120.65), F.lit(24.16), F.lit(120.65))).first()[0]
+    m = spark.range(1).select(haversine(F.lit(35.15), F.lit(10.65), F.lit(35.16), F.lit(10.65))).first()[0]
     assert abs(m - 1112) < 5
 
 
@@ -94,9 +94,9 @@ def test_known_legs_change_the_ranking_and_have_a_direction(spark, trip, city):
     def leg(profile, a, b, minutes):
         return spark.createDataFrame([(profile, *a, *b, float(minutes), 500.0)], "profile string, a double, b double, c double, d double, minutes double, meters double").select(
             "profile", point_key(F.col("a"), F.col("b")).alias("from_key"), point_key(F.col("c"), F.col("d")).alias("to_key"), "minutes", "meters")
-    detour = leg("walk", ORIGIN, (24.151, 120.65), 15)
-    ride = leg("ride", (24.153, 120.65), (24.169, 120.65), 5)
-    back = leg("walk", (24.151, 120.65), ORIGIN, 1)
+    detour = leg("walk", ORIGIN, (35.151, 10.65), 15)
+    ride = leg("ride", (35.153, 10.65), (35.169, 10.65), 5)
+    back = leg("walk", (35.151, 10.65), ORIGIN, 1)
     got = rec.recommend(trip, stations, now(), detour.union(ride).union(back))
     best = got.where("option_rank = 1").first()
     assert (best["rent_uid"], best["ride"], best["ride_meters"], best["ride_known"]) == ("far", 5.0, 500.0, True)
@@ -140,10 +140,10 @@ def test_knn_with_fewer_stations_than_k(spark):
 
 def test_point_labels_levels_and_area(spark, city):
     stations = city(("a", 0, 8, 8), ("b", .01, 8, 8))
-    points = spark.createDataFrame([(1, 24.1501, 120.65), (2, 24.152, 120.65), (3, 24.5, 120.65)], "id int, lat double, lng double")
+    points = spark.createDataFrame([(1, 35.1501, 10.65), (2, 35.152, 10.65), (3, 35.5, 10.65)], "id int, lat double, lng double")
     got = {r["id"]: (r["label"], r["out_of_area"]) for r in rec.describe_points(points, stations).collect()}
     assert got == {1: ("a", False), 2: ("near a", False), 3: ("near b", True)}
     area = rec.service_area(stations).first()
-    assert area["south"] == pytest.approx(24.15 - .0008) and area["north"] == pytest.approx(24.16 + .0008)
+    assert area["south"] == pytest.approx(35.15 - .0008) and area["north"] == pytest.approx(35.16 + .0008)
     levels = spark.createDataFrame([(False, 9), (True, 0), (True, 2), (True, 3)], "o boolean, n int")
     assert [r[0] for r in levels.select(availability_level(F.col("o"), F.col("n"))).collect()] == ["closed", "none", "low", "ok"]

@@ -54,7 +54,7 @@ def test_history_has_one_open_version_and_no_gaps(series):
 
 def test_scd2_apply_close_reopen_keep_add(spark):
     schema = "station_uid string, capacity long, name string, valid_from timestamp, valid_to timestamp"
-    old = T0.replace(year=2025)
+    old = T0.replace(year=2026)
     dim = spark.createDataFrame([("keep", 1, None, old, None), ("change", 1, "x", old, None), ("gone", 1, "x", old, None),
                                  ("back", 1, "x", old, old.replace(month=12))], schema)
     now = spark.createDataFrame([("keep", 1, None), ("change", 2, "x"), ("new", 3, "y"), ("back", 1, "x")],
