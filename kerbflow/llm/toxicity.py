@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass
 
@@ -41,8 +42,10 @@ LOOKALIKES = {
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "€": "e", "£": "l"}
 
 #: At most this many labelled rows are used to fit the weights.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 THRESHOLD = 0.5
+#: Bounds on what is learned beside the given words.
+MAX_LEARNED, LEAST_RATIO = 1000, 12.0
 #: Prior mean and precision of the intercept and the slope on the logarithm of the density.
 PRIOR = (np.array([-3.0, 2.5]), np.array([0.3, 0.3]))
 
@@ -60,31 +63,40 @@ class Folding(dict):
 
 
 class Matcher:
-    """Counts of lexicon words in a text, whole words only, less those inside an exception phrase."""
+    """Counts of lexicon entries in a text, less those inside an exception phrase.
+
+    An entry is a whole word, or with a final `*` the beginning of a word. Of entries that begin at one place the longest
+    counts.
+    """
 
     def __init__(self, lexicon: list[str], exceptions: list[str]) -> None:
         self.folding = Folding()
         self.automaton = ahocorasick.Automaton()
         self.size = len(lexicon)
-        for i, word in enumerate(lexicon):
-            self.automaton.add_word(word, (i, len(word)))
+        for i, entry in enumerate(lexicon):
+            word = entry.rstrip("*")
+            self.automaton.add_word(word, (i, len(word), not entry.endswith("*")))
         for phrase in exceptions:
-            self.automaton.add_word(phrase, (-1, len(phrase)))
+            self.automaton.add_word(phrase, (-1, len(phrase), True))
         if lexicon or exceptions:
             self.automaton.make_automaton()
 
     def count(self, text: bytes) -> tuple[int, dict[int, int]]:
         folded = text.decode("utf-8", "replace").translate(self.folding)
-        hits, spared = [], []
-        for end, (word, size) in self.automaton.iter(folded) if self.size else ():
+        hits: dict[int, tuple[int, int]] = {}  # start -> last character and entry
+        spared = []
+        for end, (word, size, whole) in self.automaton.iter(folded) if self.size else ():
             start = end - size + 1
-            if (start and folded[start - 1].isalnum()) or folded[end + 1:end + 2].isalnum():
+            if (start and folded[start - 1].isalnum()) or (whole and folded[end + 1:end + 2].isalnum()):
                 continue
-            (spared if word < 0 else hits).append((start, end, word))
+            if word < 0:
+                spared.append((start, end))
+            elif start not in hits or hits[start][0] < end:
+                hits[start] = end, word
         found: dict[int, int] = {}
         spared.sort()
         at, reach = 0, -1  # the furthest end of the exceptions that start no later than the hit
-        for start, end, word in sorted(hits):
+        for start, (end, word) in sorted(hits.items()):
             while at < len(spared) and spared[at][0] <= start:
                 reach = max(reach, spared[at][1])
                 at += 1
@@ -108,16 +120,46 @@ class ToxicityModel:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))))
 
 
+def stems(text: bytes, folding: Folding) -> list[str]:
+    """Distinct beginnings, of four to ten letters, of the folded words of a text."""
+    found = set()
+    for word in set(re.findall(r"[^\W_]+", text.decode("utf-8", "replace").translate(folding))):
+        found.update(word[:k] for k in range(4, min(len(word), 10) + 1))
+    return sorted(found)
+
+
+def learned_entries(labelled: DataFrame, lexicon: dict[str, int]) -> list[tuple[str, float]]:
+    """Word beginnings, with log-odds, that mark toxic texts of the sample, at most MAX_LEARNED of them.
+
+    One must stand in at least 1.5 % of the toxic texts (five at least) and be LEAST_RATIO times as frequent there as in
+    the others. The counting is a Spark aggregation; only the entries that pass reach the driver.
+    """
+    def make():
+        folding = Folding()
+        return lambda texts: [[stems(t, folding) for t in texts]]
+
+    totals = labelled.agg(F.count_if(F.col("_label") == 1), F.count("*")).first()
+    toxic, other = totals[0], totals[1] - totals[0]
+    counted = (map_texts(labelled, ["_label"], "_text", make, "stem array<string>").select("_label", F.explode("stem").alias("stem"))
+               .groupBy("stem").agg(F.count_if(F.col("_label") == 1).alias("a"), F.count_if(F.col("_label") != 1).alias("b")))
+    ratio = (F.col("a") + 0.5) / (toxic + 1.0) / ((F.col("b") + 0.5) / (other + 1.0))
+    rows = (counted.where((F.col("a") >= max(5, 0.015 * toxic)) & (ratio >= LEAST_RATIO))
+            .select("stem", F.log(ratio).alias("w")).orderBy(F.desc("w"), "stem").limit(MAX_LEARNED).collect())
+    known = tuple(lexicon)
+    return [(f"{r.stem}*", float(r.w)) for r in rows if not r.stem.startswith(known)]
+
+
 def fit_toxicity(labelled: DataFrame, lexicon: dict[str, int] | None = None, exceptions: list[str] | None = None) -> ToxicityModel:
-    """Weights of the lexicon and two calibration numbers from (_label, _text) rows.
+    """Weights of the lexicon, further entries, and two calibration numbers from (_label, _text) rows.
 
-    Of each labelled text only its length and the few lexicon words in it reach the driver; `sample` bounds the rows.
+    Of each labelled text only its length and the lexicon entries in it reach the driver; `sample` bounds the rows.
     Without labels the prior strengths alone decide. Weights are log-odds of a word in toxic against other texts, with
     pseudo-counts by the word's strength, and never below zero.
     """
     lexicon = LEXICON if lexicon is None else lexicon
     exceptions = EXCEPTIONS if exceptions is None else exceptions
-    words = sorted(lexicon)
+    learned = learned_entries(labelled, lexicon)
+    words = sorted(lexicon) + [entry for entry, _ in learned]
 
     def make():
         matcher = Matcher(words, exceptions)
@@ -129,15 +171,15 @@ def fit_toxicity(labelled: DataFrame, lexicon: dict[str, int] | None = None, exc
 
     rows = map_texts(labelled, ["_label"], "_text", make, "n long, words array<int>, counts array<int>").toArrow().to_pylist()
     toxic = sum(r["_label"] == 1 for r in rows)
-    weights = []
     seen = {1: np.zeros(len(words)), 0: np.zeros(len(words))}
     for r in rows:
         seen[int(r["_label"] == 1)][r["words"]] += 1
-    for i, word in enumerate(words):
-        strength = lexicon[word]
-        in_toxic = (seen[1][i] + 0.2 * strength) / (toxic + 4.0)
+    weights = []
+    for i, word in enumerate(sorted(lexicon)):
+        in_toxic = (seen[1][i] + 0.2 * lexicon[word]) / (toxic + 4.0)
         in_other = (seen[0][i] + 0.02) / (len(rows) - toxic + 4.0)
         weights.append(float(np.clip(np.log(in_toxic / in_other), 0.0, 6.0)))
+    weights += [min(w, 6.0) for _, w in learned]
     model = ToxicityModel(words, weights, *PRIOR[0])
     x = np.array([np.log1p(model.density(r["n"], dict(zip(r["words"], r["counts"])))) for r in rows])
     y = np.array([float(r["_label"] == 1) for r in rows])
