@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import licenses, toxicity  # noqa: F401
+from kerbflow.llm import classifier, licenses, toxicity  # noqa: F401
 from kerbflow.llm.registry import ORACLES, QUERIES  # noqa: F401
