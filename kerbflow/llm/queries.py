@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import classifier, licenses, simhash, toxicity  # noqa: F401
+from kerbflow.llm import classifier, licenses, phrases, simhash, suffixes, toxicity  # noqa: F401
 from kerbflow.llm.registry import ORACLES, QUERIES  # noqa: F401

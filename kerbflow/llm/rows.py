@@ -45,22 +45,24 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in values.to_pylist()]
 
 
-def map_texts(docs: DataFrame, keep: list[str], text: str, make: Callable[[], Callable[[list[bytes]], list]],
-              fields: str) -> DataFrame:
+def map_texts(docs: DataFrame, keep: list[str], text: str, make: Callable[[], Callable[..., list]], fields: str,
+              use: tuple[str, ...] = ()) -> DataFrame:
     """The `keep` columns and, row by row, the fields that a helper derives from the text.
 
-    `make()` runs once per task and gives a function of a list of texts that returns one list per field. Rows keep
-    their order and number. All other columns are left out of the transfer, so their names cannot clash.
+    `make()` runs once per task and gives a function of a list of texts, and of one list for each column of `use`, that
+    returns one list per field. Rows keep their order and number. All other columns are left out of the transfer, so
+    their names cannot clash; a field replaces a kept column of its name.
     """
-    source = docs.select(*keep, F.col(text).cast("string").alias("_text"))
     added = T.StructType.fromDDL(fields)
-    schema = T.StructType([*source.schema.fields[:-1], *added.fields])
+    keep = [c for c in keep if c not in added.names]
+    source = docs.select(*keep, *(F.col(c).alias(f"_use_{c}") for c in use), F.col(text).cast("string").alias("_text"))
+    schema = T.StructType([*source.schema.fields[:len(keep)], *added.fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         derive = make()
         for piece in pieces(batches, "_text"):
-            found = derive(texts(piece, "_text"))
+            found = derive(texts(piece, "_text"), *(piece.column(len(keep) + i).to_pylist() for i in range(len(use))))
             arrays = [piece.column(i) for i in range(len(keep))] + [
                 pa.array(values, type=arrow.field(f.name).type) for values, f in zip(found, added.fields, strict=True)]
             yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, arrow, strict=True)], schema=arrow)
