@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import classifier, decontaminate, licenses, phrases, quality_rules, simhash, suffixes, toxicity  # noqa: F401
+from kerbflow.llm import classifier, decontaminate, licenses, phrases, quality_rules, simhash, suffixes, toxicity, url_filter  # noqa: F401
 from kerbflow.llm.registry import ORACLES, QUERIES  # noqa: F401
