@@ -39,12 +39,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder in the shared checkpoint area of the cluster.
 
-    Only where `spark.checkpoint.dir` is unset (tests, a laptop) a local temporary folder takes its place.
+    Where `spark.checkpoint.dir` is unset, a session that runs in one process (tests, a laptop) gets a temporary folder;
+    on a cluster that would be another disk on every machine, so there it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="kerbflow-")
-        spark.conf.set("kerbflow.scratch", base)
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/kerbflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -55,7 +58,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove tables of `store` that no later step reads."""
+    for df in stored:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
