@@ -55,14 +55,16 @@ def map_texts(docs: DataFrame, keep: list[str], text: str, make: Callable[[], Ca
     """
     added = T.StructType.fromDDL(fields)
     keep = [c for c in keep if c not in added.names]
-    source = docs.select(*keep, *(F.col(c).alias(f"_use_{c}") for c in use), F.col(text).cast("string").alias("_text"))
+    whole = text if text in keep and docs.schema[text].dataType == T.StringType() else "_text"
+    source = docs.select(*keep, *(F.col(c).alias(f"_use_{c}") for c in use),
+                         *([] if whole == text else [F.col(text).cast("string").alias("_text")]))
     schema = T.StructType([*source.schema.fields[:len(keep)], *added.fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         derive = make()
-        for piece in pieces(batches, "_text"):
-            found = derive(texts(piece, "_text"), *(piece.column(len(keep) + i).to_pylist() for i in range(len(use))))
+        for piece in pieces(batches, whole):
+            found = derive(texts(piece, whole), *(piece.column(len(keep) + i).to_pylist() for i in range(len(use))))
             arrays = [piece.column(i) for i in range(len(keep))] + [
                 pa.array(values, type=arrow.field(f.name).type) for values, f in zip(found, added.fields, strict=True)]
             yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, arrow, strict=True)], schema=arrow)

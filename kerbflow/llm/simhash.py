@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from kerbflow.llm.components import components
+from kerbflow.llm.recurring import digest
 from kerbflow.llm.registry import query, table
 from kerbflow.llm.rows import LOWER, map_texts
 from kerbflow.session import store
@@ -188,6 +189,13 @@ def links(fingerprints: DataFrame) -> DataFrame:
     return placed.mapInArrow(join, schema)
 
 
+def _members(rows: DataFrame, id_column: str) -> DataFrame:
+    """(fp, root) of every fingerprint: the smallest fingerprint that links lead to."""
+    nodes = store(rows.select("fp").distinct(), "fingerprint-nodes")
+    roots = components(links(nodes))
+    return store(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp, component_id) of every row: fingerprints at MAX_BITS or fewer differing bits are linked, links chained.
 
@@ -196,14 +204,32 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     gets the component of its fingerprint, which is null if no row there has an id. Repeated rows give repeated rows.
     """
     rows = store(with_fingerprints(docs, [id_column], text), "fingerprints")
-    nodes = store(rows.groupBy("fp").agg(F.min(id_column).alias("least")), "fingerprint-nodes")
-    roots = components(links(nodes.select("fp")))
-    member = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    member = store(member, "fingerprint-members")
-    named = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    member = _members(rows, id_column)
+    least = rows.groupBy("fp").agg(F.min(id_column).alias("least")).join(member, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    named = member.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(id_column, "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """All columns of one row of each component: the row with the smallest id (a null id comes first), then smallest digest.
+
+    Of rows that repeat both id and text one stays. Texts meet the chosen ids once; only texts whose id and content are
+    repeated take a further step.
+    """
+    keyed = docs.select(id_column, text, digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("key"))
+    rows = store(with_fingerprints(keyed, [id_column, "key"], text), "fingerprints")
+    member = _members(rows, id_column)
+    same = rows.groupBy(F.col(id_column).alias("id"), "key", "fp").count()
+    chosen = store(same.join(member, "fp").groupBy("root").agg(F.min(F.struct("id", "key", F.col("count").alias("n"))).alias("m"))
+                   .select("m.*"), "chosen")
+    met = (docs.withColumn("_key", digest(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("d")
+           .join(chosen.alias("c"), F.col(f"d.{id_column}").eqNullSafe(F.col("c.id")) & (F.col("d._key") == F.col("c.key"))))
+    single = met.where("c.n = 1").select(*(F.col(f"d.`{c}`") for c in docs.columns))
+    several = met.where("c.n > 1").groupBy("c.id", "c.key").agg(F.min_by(F.struct(*(F.col(f"d.`{c}`") for c in docs.columns)), F.to_json(
+        F.struct(*(F.col(f"d.`{c}`") for c in docs.columns if c != text)))).alias("row")).select("row.*")
+    return single.unionByName(several)
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
