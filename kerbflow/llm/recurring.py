@@ -25,12 +25,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from kerbflow.llm.blocks import block, mix, powers, sliding_min, word_hashes
 from kerbflow.llm.rows import pieces
-from kerbflow.session import store
+from kerbflow.session import discard, store
 
-#: Grams with more distinct stretches than this are resolved window by window.
-HOT = 256
-#: Stretches are handed to a search in lots of about this many bytes.
+#: Stretches are handed to a search in lots of about this many bytes; those of one gram stay together.
 LOT_BYTES = 1 << 19
+#: Grams with more bytes of distinct stretches than this are resolved window by window.
+HOT_BYTES = 1 << 21
 
 Search = Callable[[list[tuple[bytes, int]]], list[list[tuple[int, int]]]]
 
@@ -135,17 +135,20 @@ def candidates_of(rows: DataFrame, keys: DataFrame, units: Units) -> DataFrame:
     several = met.where("least.n > 1").groupBy("key", "copies").agg(F.min("text").alias("text"), F.first("cuts").alias("cuts"))
     cut_out = (single.unionByName(several).select("key", "copies", F.col("text").cast("binary").alias("text"), F.explode("cuts").alias("c"))
                .select("key", "copies", "c.gram", "c.unit", F.expr("substring(text, c.low + 1, c.high - c.low)").alias("body")))
-    return settled(cut_out.withColumn("stretch", digest(F.col("body"))), "candidates")
+    candidates = settled(cut_out.withColumn("stretch", digest(F.col("body"))), "candidates")
+    discard(found)
+    return candidates
 
 
-def covered_stretches(candidates: DataFrame, units: Units, search: Search, windows: Callable[[bytes], list[bytes]]) -> DataFrame:
-    """(gram, stretch, covered): the unit ranges of each distinct stretch that recurring windows cover.
+def covered_stretches(candidates: DataFrame, units: Units, search: Search, windows: Callable[[bytes], list[bytes]]) -> tuple[DataFrame, list[DataFrame]]:
+    """(gram, stretch, covered): the unit ranges of each distinct stretch that recurring windows cover; and stored steps.
 
     `search` takes all stretches of a few grams, each with the number of places where it stands (two stands for more),
     and gives for each the covered ranges. `windows` lists the contents of the windows of a stretch.
     """
     distinct = settled(candidates.groupBy("gram", "stretch", "body").agg(F.sum(F.least("copies", F.lit(2))).alias("places")), "distinct-stretches")
-    crowd = settled(distinct.groupBy("gram").count().where(F.col("count") > HOT).select("gram", F.lit(True).alias("crowded")), "crowded-grams")
+    size = distinct.groupBy("gram").agg(F.sum(F.octet_length("body")).alias("size"))
+    crowd = settled(size.where(F.col("size") > HOT_BYTES).select("gram", F.lit(True).alias("crowded")), "crowded-grams")
     marked = distinct.join(crowd, "gram", "left")
     ranges = "array<struct<low:int,high:int>>"
     schema = f"gram long, stretch binary, covered {ranges}"
@@ -190,7 +193,7 @@ def covered_stretches(candidates: DataFrame, units: Units, search: Search, windo
     many = (each.join(again, "content").groupBy("gram", "stretch").agg(F.array_sort(F.collect_set("at")).alias("at"))
             .select("gram", "stretch", F.transform("at", lambda x: F.struct(x.alias("low"), (x + F.lit(units.window)).alias("high")))
                     .cast(ranges).alias("covered")))
-    return few.unionByName(many)
+    return few.unionByName(many), [distinct, crowd, each]
 
 
 def with_recurring(docs: DataFrame, id_column: str, text: str, units: Units, search: Search,
@@ -205,12 +208,13 @@ def with_recurring(docs: DataFrame, id_column: str, text: str, units: Units, sea
             .agg(F.sum("count").alias("copies"), F.min(F.struct("id", F.col("count").alias("n"))).alias("least")))
     keys = settled(keys, "text-keys")
     candidates = candidates_of(rows, keys, units)
-    covered = covered_stretches(candidates, units, search, windows)
+    covered, steps = covered_stretches(candidates, units, search, windows)
     runs = (candidates.where("copies = 1").select("key", "gram", "stretch", "unit").join(covered, ["gram", "stretch"])
             .groupBy("key").agg(F.flatten(F.collect_list(F.transform("covered", lambda c: F.struct(
                 (c.low + F.col("unit")).alias("low"), (c.high + F.col("unit")).alias("high"))))).alias("_runs")))
     verdicts = settled(runs.select("key", "_runs", F.lit(False).alias("_whole")).unionByName(
         keys.where("copies > 1").select("key", F.lit(None).alias("_runs"), F.lit(True).alias("_whole"))), "covered")
+    discard(keys, candidates, *steps)
     return (keyed.join(verdicts, keyed["_key"] == verdicts["key"], "left").drop("_key", "key")
             .withColumn("_whole", F.coalesce("_whole", F.lit(False))))
 
