@@ -7,12 +7,13 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbflow.functions.timefns import micros
 from kerbflow.operators.sequence import ROWS_PER_SLICE, carry_forward, cut_hot_keys, neighbour
+from kerbflow.session import store
 
-# A dimension up to this size is broadcast as it is; beyond it the join runs as an ordered pass.
-BROADCAST_VERSIONS = 200_000
+# With more versions of one key the join runs as an ordered pass.
 VERSIONS_PER_KEY = 64
 
 
@@ -48,10 +49,10 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, check_cols: list[str], tie:
                   rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Whole type-2 history from a log of observations: one version per run of equal checked columns."""
     order = [ts, *(tie or [])]
-    cut = cut_hot_keys(log, [key], ts, rows_per_slice).withColumn("__now", F.struct(*check_cols))
-    seen = neighbour(cut, [key], order, {"__now": "__before"})
-    changes = seen.where(F.col("__before").isNull() | ~F.col("__now").eqNullSafe(F.col("__before"))).drop("__before")
-    linked = neighbour(changes, [key], order, {ts: "valid_to"}, step=1)
+    cut = cut_hot_keys(log, [key], order, rows_per_slice)
+    seen = neighbour(cut.of(cut.rows.withColumn("__now", F.struct(*check_cols))), order, {"__now": "__before"})
+    changes = seen.of(seen.rows.where(F.col("__before").isNull() | ~F.col("__now").eqNullSafe(F.col("__before"))).drop("__before"))
+    linked = neighbour(changes, order, {ts: "valid_to"}, step=1).rows
     return linked.select(key, *check_cols, F.col(ts).alias("valid_from"), "valid_to")
 
 
@@ -62,27 +63,40 @@ def dim_stations(history: DataFrame, key: str = "station_uid") -> DataFrame:
         F.md5(F.concat_ws("|", F.col(key), start)).alias("station_sk"), "*", F.col("valid_to").isNull().alias("is_current"))
 
 
+def without_overlaps(dim: DataFrame, key: str, columns: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Versions (key, valid_from, valid_to, columns) of which at most one is valid at any time.
+
+    A version ends at the latest when the next one of its key starts, also if that one closes first: the version that
+    started last decides. Of versions with one start the one that ends last decides, an open one before all, then the
+    one with the greatest columns. Versions without a key or a start, and those that end when they start, do not count.
+    """
+    lasting = dim.select(key, "valid_from", "valid_to", *columns).where(
+        F.col(key).isNotNull() & F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
+    ranked = lasting.withColumn("__open", F.col("valid_to").isNull())
+    order = ["valid_from", "__open", "valid_to", *columns]
+    linked = neighbour(cut_hot_keys(ranked, [key], order, rows_per_slice), order, {"valid_from": "__next"}, step=1).rows
+    return linked.withColumn("valid_to", F.least("valid_to", "__next")).where(
+        F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))).select(key, "valid_from", "valid_to", *columns)
+
+
 def asof_dim_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, columns: list[str],
-                  method: Literal["auto", "broadcast", "ordered"] = "auto",
+                  method: Literal["auto", "pairs", "ordered"] = "auto",
                   rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Facts with the attributes of the dimension version valid at their time (inner join).
+    """Facts with the attributes of the dimension version that started last at or before their time, if valid then.
 
-    A small dimension with few versions a key is broadcast, and facts stay where they are. Otherwise facts and
-    versions are ordered together and the last version is carried forward, which never pairs all facts of a key
-    with all of its versions.
+    Overlaps are taken out of the dimension first (`without_overlaps`), so a fact meets one version at most and both forms
+    give the same rows. With few versions a key, facts and versions are paired by key; Spark broadcasts the dimension if
+    its stored size allows. Otherwise both are ordered together and the last version is carried forward, which never
+    pairs all facts of a key with all of its versions. Facts without a key or a time match nothing.
     """
-    versions = dim.select(key, "valid_from", "valid_to", *columns)
+    versions = store(without_overlaps(dim, key, columns, rows_per_slice), "versions")
     if method == "auto":
-        # The size check reads no more than the limit plus one row.
-        few = versions.limit(BROADCAST_VERSIONS + 1).count() <= BROADCAST_VERSIONS
-        if few:
-            most = versions.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-            few = most <= VERSIONS_PER_KEY
-        method = "broadcast" if few else "ordered"
-    if method == "broadcast":
+        most = versions.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+        method = "pairs" if most <= VERSIONS_PER_KEY else "ordered"
+    if method == "pairs":
         at = F.col(f"f.{ts}")
         return fact.alias("f").join(
-            F.broadcast(versions.alias("d")),
+            versions.alias("d"),
             (F.col(f"f.{key}") == F.col(f"d.{key}")) & (at >= F.col("d.valid_from"))
             & (F.col("d.valid_to").isNull() | (at < F.col("d.valid_to"))),
         ).select("f.*", "d.valid_from", "d.valid_to", *[f"d.{c}" for c in columns])
@@ -90,14 +104,19 @@ def asof_dim_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, columns: l
     dtype = fact.schema[ts].dataType
     version = F.struct(F.col("valid_from").cast(dtype).alias("valid_from"), F.col("valid_to").cast(dtype).alias("valid_to"),
                        *columns)
-    lasting = versions.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
-    as_rows = lasting.select(
+    as_rows = versions.select(
         F.col(key), F.col("valid_from").cast(dtype).alias(ts), F.lit(0).alias("__kind"), version.alias("__version"))
-    facts = fact.withColumn("__kind", F.lit(1))
+    facts = fact.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withColumn("__kind", F.lit(1))
     mixed = facts.unionByName(as_rows, allowMissingColumns=True)
-    cut = cut_hot_keys(mixed, [key], ts, rows_per_slice)
-    joined = carry_forward(cut, [key], [ts, "__kind"], F.col("__version"), "__valid").where("__kind = 1")
+    # Facts of one instant are cut by their content where one slice cannot hold them.
+    order = [ts, "__kind", *(c for c in fact.columns if c not in (key, ts) and _orderable(fact, c))]
+    cut = cut_hot_keys(mixed, [key], order, rows_per_slice)
+    joined = carry_forward(cut, [ts, "__kind"], F.col("__version"), "__valid").rows.where("__kind = 1")
     valid = F.col("__valid")
     return joined.where(
         valid.isNotNull() & (valid["valid_to"].isNull() | (F.col(ts) < valid["valid_to"]))
     ).select(*fact.columns, "__valid.*")
+
+
+def _orderable(df: DataFrame, column: str) -> bool:
+    return not isinstance(df.schema[column].dataType, (T.MapType, T.VariantType))

@@ -65,8 +65,8 @@ def counter_increase(samples: DataFrame, as_of: datetime, span: timedelta, by: l
                      series: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Growth of counters within the range. A fall is a restart from zero. Known series without samples give zero."""
     recent = in_range(samples, as_of, span)
-    cut = cut_hot_keys(recent, by, "ts", rows_per_slice)
-    steps = neighbour(cut, by, ["ts", "value"], {"value": "__before"})
+    cut = cut_hot_keys(recent.select(*by, "ts", "value"), by, ["ts", "value"], rows_per_slice)
+    steps = neighbour(cut, ["ts", "value"], {"value": "__before"}).rows
     grown = F.when(F.col("value") < F.col("__before"), F.col("value")).otherwise(F.col("value") - F.col("__before"))
     total = steps.groupBy(*by).agg(F.coalesce(F.sum(grown), F.lit(0.0)).alias("increase"))
     if series is None:

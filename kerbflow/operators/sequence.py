@@ -1,82 +1,98 @@
 """Neighbours in a time-ordered sequence, safe for keys of any size.
 
-A plain `lag` over one key orders all rows of that key in one task. Here a key with too many rows is cut into
-time slices. Slices are ordered in parallel, and the value that crosses from one slice into the next is carried
-over by a small table of slice edges. The results are those of the plain window.
+A plain `lag` over one key orders all rows of that key in one task. Here a key with too many rows is cut into slices of
+about equal row counts along the full order, ties included, so neither a burst nor a single instant can fill one. Slices
+are ordered in parallel, and the value that crosses from one slice into the next is carried over by a small table of
+slice edges. The results are those of the plain window.
 
-Bound of what is broadcast: a key is cut only above `max(rows_per_slice, total / MAX_HOT)` rows, so there are
-at most MAX_HOT such keys and at most 2 x MAX_HOT slices, whatever the size of the data.
+The size of a slice is fixed, so their number grows with the data. Their edges are joined as Spark sees fit by their true
+size; no broadcast is asked for. Where no key is that large, the plain window runs and nothing else.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbflow.functions.timefns import micros
+from kerbflow.session import store
 
 ROWS_PER_SLICE = 2_000_000
-MAX_HOT = 10_000
 
 HOT, SLICE = "__hot", "__slice"
 
 
-def cut_hot_keys(df: DataFrame, key: list[str], ts: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Add the slice of each row: 0 for usual keys, a time slice for keys that are too large for one task."""
-    per_key = df.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(micros(F.col(ts))).alias("__lo"), F.max(micros(F.col(ts))).alias("__hi")
-    )
-    total = df.agg(F.count(F.lit(1))).scalar()
-    limit = F.greatest(F.lit(rows_per_slice).cast("double"), total / F.lit(MAX_HOT))
-    hot = (
-        per_key.withColumn("__limit", limit)
-        .where(F.col("__n") > F.col("__limit"))
-        .withColumn("__width", F.floor((F.col("__hi") - F.col("__lo")) / F.ceil(F.col("__n") / F.col("__limit"))) + 1)
-        .select(*key, "__lo", "__width")
-    )
-    joined = df.join(F.broadcast(hot), key, "left")
-    return joined.select(
-        *df.columns,
-        F.col("__lo").isNotNull().alias(HOT),
-        F.coalesce(F.floor((micros(F.col(ts)) - F.col("__lo")) / F.col("__width")), F.lit(0)).alias(SLICE),
-    )
-
-
-def slice_keys(key: list[str]) -> list[str]:
-    return [*key, HOT, SLICE]
-
-
-def neighbour(cut: DataFrame, key: list[str], order: list[str], columns: dict[str, str], step: int = -1) -> DataFrame:
+@dataclass(frozen=True)
+class Cut:
+    """Rows, and whether some of their keys are cut: then the columns HOT and SLICE say where a row belongs."""
+
+    rows: DataFrame
+    key: list[str]
+    sliced: bool
+
+    def of(self, rows: DataFrame) -> Cut:
+        """Rows derived from these, one for one or fewer, in the same places."""
+        return replace(self, rows=rows)
+
+    @property
+    def parts(self) -> list[str]:
+        return [*self.key, HOT, SLICE] if self.sliced else self.key
+
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.rows.columns if c not in (HOT, SLICE)]
+
+
+def cut_hot_keys(df: DataFrame, key: list[str], order: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> Cut:
+    """Place the rows: usual keys stay whole, keys that are too large for one task become slices along `order`.
+
+    Counting the rows per key is one aggregation; the rows are read a second time, and written once if a key is cut.
+    """
+    large = store(df.groupBy(*key).count().where(F.col("count") > rows_per_slice), "large-keys")
+    total = large.agg(F.sum("count")).first()[0]
+    if not total:
+        return Cut(df, key, False)
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"l.{k}")) for k in key]
+    hot = df.alias("r").join(large.alias("l"), same, "left_semi")
+    placed = (hot.repartitionByRange(-(-total // rows_per_slice), *key, *order)
+              .withColumns({HOT: F.lit(True), SLICE: F.spark_partition_id() + 1}))
+    rest = df.alias("r").join(large.alias("l"), same, "left_anti").withColumns({HOT: F.lit(False), SLICE: F.lit(0)})
+    return Cut(store(placed.unionByName(rest), "cut-rows"), key, True)
+
+
+def neighbour(cut: Cut, order: list[str], columns: dict[str, str], step: int = -1) -> Cut:
     """Add the values of the row before (`step=-1`) or after (`step=1`) in the same key.
 
-    `cut` comes from `cut_hot_keys`; `columns` maps source columns to the names of the added ones.
+    `columns` maps source columns to the names of the added ones.
     """
     back = step < 0
-    parts = slice_keys(key)
-    window = Window.partitionBy(*parts).orderBy(*order)
     move = F.lag if back else F.lead
     packed = F.struct(*[F.col(c).alias(new) for c, new in columns.items()])
-    within = cut.withColumn("__near", move(packed).over(window))
-
+    within = cut.rows.withColumn("__near", move(packed).over(Window.partitionBy(*cut.parts).orderBy(*order)))
+    if not cut.sliced:
+        return cut.of(within.select(*cut.rows.columns, *[F.col("__near")[new].alias(new) for new in columns.values()]))
     edge = F.max_by if back else F.min_by
-    edges = (
-        cut.where(F.col(HOT)).groupBy(*parts).agg(edge(packed, F.struct(*order)).alias("__edge"))
-    )
-    across = edges.select(*parts, move("__edge").over(Window.partitionBy(*key).orderBy(SLICE)).alias("__carried"))
-    joined = within.join(F.broadcast(across), parts, "left")
-    found = F.coalesce("__near", "__carried")
-    return joined.select(*cut.columns, *[found[new].alias(new) for new in columns.values()])
+    edges = cut.rows.where(F.col(HOT)).groupBy(*cut.parts).agg(edge(packed, F.struct(*order)).alias("__edge"))
+    across = edges.withColumn("__carried", move("__edge").over(Window.partitionBy(*cut.key).orderBy(SLICE)))
+    return cut.of(_across(cut, within, across).select(
+        "r.*", *[F.coalesce("__near", "__carried")[new].alias(new) for new in columns.values()]).drop("__near"))
 
 
-def carry_forward(cut: DataFrame, key: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+def carry_forward(cut: Cut, order: list[str], value: Column, name: str) -> Cut:
     """Add the latest non-null `value` at or before each row of the same key, across slices."""
-    parts = slice_keys(key)
-    window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = cut.withColumn("__seen", F.last(value, ignorenulls=True).over(window))
-    edges = cut.where(F.col(HOT)).groupBy(*parts).agg(
-        F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias("__edge")
-    )
-    before = Window.partitionBy(*key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    across = edges.select(*parts, F.last("__edge", ignorenulls=True).over(before).alias("__carried"))
-    joined = within.join(F.broadcast(across), parts, "left")
-    return joined.select(*cut.columns, F.coalesce("__seen", "__carried").alias(name))
+    window = Window.partitionBy(*cut.parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = cut.rows.withColumn("__near", F.last(value, ignorenulls=True).over(window))
+    if not cut.sliced:
+        return cut.of(within.withColumnRenamed("__near", name))
+    edges = cut.rows.where(F.col(HOT)).groupBy(*cut.parts).agg(
+        F.max_by(value, F.when(value.isNotNull(), F.struct(*order))).alias("__edge"))
+    before = Window.partitionBy(*cut.key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    across = edges.withColumn("__carried", F.last("__edge", ignorenulls=True).over(before))
+    return cut.of(_across(cut, within, across).select("r.*", F.coalesce("__near", "__carried").alias(name)).drop("__near"))
+
+
+def _across(cut: Cut, within: DataFrame, across: DataFrame) -> DataFrame:
+    """Rows (as r) with what comes over from other slices of their key."""
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}")) for c in cut.parts]
+    return within.alias("r").join(across.select(*cut.parts, "__carried").alias("e"), same, "left")

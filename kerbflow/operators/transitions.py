@@ -9,25 +9,28 @@ from kerbflow.functions.status import NORMAL, classify
 from kerbflow.functions.timefns import micros, seconds_between
 from kerbflow.operators.dedupe import first_per_key
 from kerbflow.operators.merge import upsert
-from kerbflow.operators.sequence import HOT, ROWS_PER_SLICE, SLICE, cut_hot_keys, neighbour, slice_keys
+from kerbflow.operators.sequence import ROWS_PER_SLICE, Cut, cut_hot_keys, neighbour
 
 KEY, TS = "station_uid", "source_updated_at"
 EVENT_COLUMNS = ["station_uid", "status", "previous_status", "changed_at", "previous_duration_seconds",
                  "bikes_available", "docks_available"]
 
 
-def _changes(observations: DataFrame, arrival: list[str], rows_per_slice: int) -> DataFrame:
-    """Rows at which the status differs from the one before (the first sight of a station included)."""
-    cut = cut_hot_keys(observations, [KEY], TS, rows_per_slice)
-    once = first_per_key(cut, [*slice_keys([KEY]), TS], arrival) if arrival else cut
-    rows = once.withColumn(
-        "status", classify(F.col("bikes_available"), F.col("docks_available"), F.col("service_status")))
-    seen = neighbour(rows, [KEY], [TS], {"status": "__before"})
-    return seen.where(~F.col("status").eqNullSafe(F.col("__before"))).drop("__before")
+def _with_status(cut: Cut) -> Cut:
+    return cut.of(cut.rows.withColumn(
+        "status", classify(F.col("bikes_available"), F.col("docks_available"), F.col("service_status"))))
+
+
+def _one_per_instant(observations: DataFrame, arrival: list[str]) -> DataFrame:
+    """The first copy of each instant to arrive. The key holds the instant, so a hot station is spread by time."""
+    return first_per_key(observations, [KEY, TS], arrival) if arrival else observations
 
 
-def _with_previous(changes: DataFrame) -> DataFrame:
-    return neighbour(changes, [KEY], [TS], {"status": "previous_status", TS: "__since"})
+def _changes(observations: DataFrame, arrival: list[str], rows_per_slice: int) -> Cut:
+    """Rows at which the status differs from the one before (the first sight of a station included)."""
+    cut = cut_hot_keys(_one_per_instant(observations, arrival), [KEY], [TS], rows_per_slice)
+    seen = neighbour(_with_status(cut), [TS], {"status": "__before"})
+    return seen.of(seen.rows.where(~F.col("status").eqNullSafe(F.col("__before"))).drop("__before"))
 
 
 def _as_events(changes: DataFrame) -> DataFrame:
@@ -41,7 +44,8 @@ def _as_events(changes: DataFrame) -> DataFrame:
 
 def status_events_batch(observations: DataFrame, arrival: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """All status changes of a whole history. Copies of one instant count once, the first to arrive."""
-    return _as_events(_with_previous(_changes(observations, arrival, rows_per_slice)))
+    changes = _changes(observations, arrival, rows_per_slice)
+    return _as_events(neighbour(changes, [TS], {"status": "previous_status", TS: "__since"}).rows)
 
 
 def advance_status(state: DataFrame, batch: DataFrame, arrival: list[str],
@@ -59,14 +63,11 @@ def advance_status(state: DataFrame, batch: DataFrame, arrival: list[str],
         batch.join(old, KEY, "left")
         .where(F.col("__old_seen").isNull() | (micros(F.col(TS)) > F.col("__old_seen")))
     )
-    cut = cut_hot_keys(fresh, [KEY], TS, rows_per_slice)
-    once = first_per_key(cut, [*slice_keys([KEY]), TS], arrival) if arrival else cut
-    rows = once.withColumn(
-        "status", classify(F.col("bikes_available"), F.col("docks_available"), F.col("service_status")))
-    seen = neighbour(rows, [KEY], [TS], {"status": "__before"})
+    cut = cut_hot_keys(_one_per_instant(fresh, arrival), [KEY], [TS], rows_per_slice)
+    seen = neighbour(_with_status(cut), [TS], {"status": "__before"})
     before = F.coalesce("__before", "__old_status")
-    changes = seen.where(~F.col("status").eqNullSafe(before)).drop("__before")
-    linked = neighbour(changes, [KEY], [TS], {"status": "__ps", TS: "__pt"})
+    changes = seen.rows.where(~F.col("status").eqNullSafe(before)).drop("__before")
+    linked = neighbour(seen.of(changes), [TS], {"status": "__ps", TS: "__pt"}).rows
     linked = linked.withColumn("previous_status", F.coalesce("__ps", "__old_status")).withColumn(
         "__since", F.coalesce(F.col("__pt").cast("timestamp"), F.timestamp_micros("__old_since")))
     events = _as_events(linked)
@@ -82,6 +83,3 @@ def advance_status(state: DataFrame, batch: DataFrame, arrival: list[str],
         "last_seen_us",
     )
     return events, upsert(state.select(KEY, "status", "since_us", "last_seen_us"), new_rows, [KEY])
-
-
-__all__ = ["status_events_batch", "advance_status", "EVENT_COLUMNS", "HOT", "SLICE"]

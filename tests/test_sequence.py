@@ -19,26 +19,45 @@ def series(spark):
 @pytest.mark.parametrize("rows_per_slice", [10**6, 300, 25])
 @pytest.mark.parametrize("step", [-1, 1])
 def test_neighbour_equals_plain_window(series, rows_per_slice, step):
-    cut = cut_hot_keys(series, ["key"], "ts", rows_per_slice)
-    got = neighbour(cut, ["key"], ["ts", "v"], {"v": "other"}, step).select("v", "other")
+    cut = cut_hot_keys(series, ["key"], ["ts", "v"], rows_per_slice)
+    got = neighbour(cut, ["ts", "v"], {"v": "other"}, step).rows.select("v", "other")
     move = F.lag if step < 0 else F.lead
     want = series.select("v", move("v").over(Window.partitionBy("key").orderBy("ts", "v")).alias("other"))
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
 def test_only_large_keys_are_cut(series):
-    cut = cut_hot_keys(series, ["key"], "ts", 300)
+    cut = cut_hot_keys(series, ["key"], ["ts", "v"], 300).rows
     slices = {r["key"]: r["n"] for r in cut.groupBy("key").agg(F.count_distinct(SLICE).alias("n")).collect()}
     assert slices["hot"] >= 4 and {n for k, n in slices.items() if k != "hot"} == {1}
     assert cut.where(HOT).select("key").distinct().count() == 1
 
 
+@pytest.mark.parametrize("seconds", [lambda i: 0 if i == 0 else 10**9 + i % 50, lambda i: 7])
+def test_bursts_and_single_instants_are_cut_by_rows(spark, seconds):
+    """One early row and a burst, and all rows of one instant: no slice holds much more than its share."""
+    rows = spark.createDataFrame([("k", seconds(i), i) for i in range(4000)], "key string, sec long, v long").withColumn("ts", F.timestamp_seconds("sec"))
+    cut = cut_hot_keys(rows, ["key"], ["ts", "v"], 500)
+    sizes = [r["count"] for r in cut.rows.groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 1000 and len(sizes) >= 6
+    got = neighbour(cut, ["ts", "v"], {"v": "other"}).rows.select("v", "other")
+    want = rows.select("v", F.lag("v").over(Window.partitionBy("key").orderBy("ts", "v")).alias("other"))
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_null_keys_match_nothing_in_either_form(spark, series):
+    dim = spark.createDataFrame([(None, T0, None, 1), ("a", T0, None, 2)], "key string, valid_from timestamp, valid_to timestamp, size int")
+    facts = spark.createDataFrame([(None, T0, 1), ("a", T0, 2), ("a", None, 3)], "key string, ts timestamp, v long")
+    for method in ("pairs", "ordered"):
+        assert [r["v"] for r in asof_dim_join(facts, dim, "key", "ts", ["size"], method=method).collect()] == [2]
+
+
 @pytest.mark.parametrize("rows_per_slice", [10**6, 40])
 def test_asof_forms_agree(spark, series, rows_per_slice):
     log = series.where("v % 7 = 0").select("key", "ts", (F.col("v") % 5).alias("size"), "v")
     dim = scd2_from_log(log, "key", "ts", ["size"], ["v"], rows_per_slice)
     facts = series.select("key", "ts", "v")
-    a = asof_dim_join(facts, dim, "key", "ts", ["size"], method="broadcast")
+    a = asof_dim_join(facts, dim, "key", "ts", ["size"], method="pairs")
     b = asof_dim_join(facts, dim, "key", "ts", ["size"], method="ordered", rows_per_slice=rows_per_slice)
     columns = ["key", "v", "size", "valid_from"]
     assert sorted(a.select(columns).collect()) == sorted(b.select(columns).collect()) and a.count() > 1000

@@ -430,6 +430,44 @@ def c7_lineitem(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
 
 
+# The version that started last decides (of equal starts the one that ends last, then the greatest priority), if still valid.
+OVERLAPS = """
+    SELECT l_orderkey, l_linenumber, valid_from, o_orderpriority FROM (
+      SELECT l.l_orderkey, l.l_linenumber, l.l_shipdate, d.*, row_number() OVER (
+        PARTITION BY l.line ORDER BY d.valid_from DESC, d.valid_to DESC NULLS FIRST, d.o_orderpriority DESC) AS r
+      FROM (SELECT *, row_number() OVER () AS line FROM lineitem) l JOIN orders o ON o.o_orderkey = l.l_orderkey
+      JOIN spans d ON d.station_uid = CAST(o.o_custkey AS VARCHAR) AND l.l_shipdate >= d.valid_from
+       AND (d.valid_to IS NULL OR d.valid_to > d.valid_from))
+    WHERE r = 1 AND (valid_to IS NULL OR l_shipdate < valid_to)"""
+
+SPANS = """
+    SELECT CAST(o_custkey AS VARCHAR) AS station_uid, o_orderdate AS valid_from, o_orderpriority,
+           CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate + to_days(CAST(o_orderkey % 400 AS INTEGER)) END AS valid_to FROM orders"""
+
+
+def _overlapping(spark, sf, method):
+    orders = v.table(spark, sf, "orders")
+    owner = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("station_uid"))
+    lines = v.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(owner, "l_orderkey")
+    dim = orders.select(
+        F.col("o_custkey").cast("string").alias("station_uid"), F.col("o_orderdate").alias("valid_from"), "o_orderpriority",
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate") + F.make_dt_interval((F.col("o_orderkey") % 400).cast("int"))).alias("valid_to"))
+    return asof_dim_join(lines, dim, "station_uid", "l_shipdate", ["o_orderpriority"], method=method).select(
+        "l_orderkey", "l_linenumber", "valid_from", "o_orderpriority")
+
+
+@query("c7_asof_overlaps_pairs", OVERLAPS, spans=SPANS)
+def c7_overlaps_pairs(spark, sf):
+    """Versions that overlap, close early or start together: one meaning, here by pairing."""
+    return _overlapping(spark, sf, "pairs")
+
+
+@query("c7_asof_overlaps_ordered", OVERLAPS, spans=SPANS)
+def c7_overlaps_ordered(spark, sf):
+    """The same by the ordered pass."""
+    return _overlapping(spark, sf, "ordered")
+
+
 HOURLY = f"""
     SELECT h.*, s.station_name, s.capacity, s.lat, s.lng, CAST(hour_local AS DATE) AS local_date
     FROM (SELECT station_uid, CAST(date_trunc('hour', source_updated_at + INTERVAL 8 HOUR) AS TIMESTAMP) AS hour_local,
