@@ -215,7 +215,8 @@ def with_recurring(docs: DataFrame, id_column: str, text: str, units: Units, sea
     verdicts = settled(runs.select("key", "_runs", F.lit(False).alias("_whole")).unionByName(
         keys.where("copies > 1").select("key", F.lit(None).alias("_runs"), F.lit(True).alias("_whole"))), "covered")
     discard(keys, candidates, *steps)
-    return (keyed.join(verdicts, keyed["_key"] == verdicts["key"], "left").drop("_key", "key")
+    verdicts = verdicts.withColumnRenamed("key", "_match")
+    return (keyed.join(verdicts, F.col("_key") == F.col("_match"), "left").drop("_key", "_match")
             .withColumn("_whole", F.coalesce("_whole", F.lit(False))))
 
 
