@@ -55,9 +55,10 @@ def map_texts(docs: DataFrame, keep: list[str], text: str, make: Callable[[], Ca
     """
     added = T.StructType.fromDDL(fields)
     keep = [c for c in keep if c not in added.names]
-    whole = text if text in keep and docs.schema[text].dataType == T.StringType() else "_text"
+    carried = text in keep and docs.schema[text].dataType == T.StringType()
+    whole = text if carried else "_text"
     source = docs.select(*keep, *(F.col(c).alias(f"_use_{c}") for c in use),
-                         *([] if whole == text else [F.col(text).cast("string").alias("_text")]))
+                         *([] if carried else [F.col(text).cast("string").alias("_text")]))
     schema = T.StructType([*source.schema.fields[:len(keep)], *added.fields])
     arrow = to_arrow_schema(schema)
 
