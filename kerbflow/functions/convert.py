@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 def to_int(col: Column) -> Column:
     """Whole number from a number or numeric text; text, fractions and blanks give null."""
-    number = col.cast("string").try_cast("double")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    text = F.trim(col.cast("string"))
+    # Beyond 2**53 a double loses digits, so it only reads what is not written as a whole number.
+    number = text.try_cast("double")
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")).otherwise(
+        F.when((number == F.floor(number)) & (F.abs(number) < F.lit(2.0**53)), number.try_cast("bigint")))
 
 
 def to_double(col: Column) -> Column:

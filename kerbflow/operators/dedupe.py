@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1, rank: str | None = None) -> DataFrame:
-    """The first n rows of each key in the given order; `rank` keeps the position as a column."""
+def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int | None = 1, rank: str | None = None) -> DataFrame:
+    """The first n rows of each key in the given order, or all for None; `rank` keeps the position as a column."""
     name = rank or "__rank"
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    kept = ranked.where(F.col(name) <= n)
+    kept = ranked if n is None else ranked.where(F.col(name) <= n)
     return kept if rank else kept.drop(name)
 
 

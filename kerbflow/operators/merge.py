@@ -52,11 +52,14 @@ def incremental_slice(source: DataFrame, target: DataFrame, loaded_at: str, even
                       bound: timedelta, as_of: datetime) -> DataFrame:
     """Source rows loaded since the newest load in the target minus the look-back, inside the merge window.
 
-    An empty target gives the whole source: there is nothing to look back from.
+    An empty target gives the whole source: there is nothing to look back from. The newest load is one value, read
+    first, so that both bounds are literals that prune directories and row groups of the source.
     """
-    newest = target.agg(F.max(loaded_at) - F.expr(f"INTERVAL {int(lookback.total_seconds())} SECONDS")).scalar()
-    in_window = F.col(event_at) >= lit_like(source, event_at, as_of - bound)
-    return source.where(newest.isNull() | ((F.col(loaded_at) >= newest) & in_window))
+    newest = target.agg(F.max(loaded_at)).first()[0]
+    if newest is None:
+        return source
+    return source.where((F.col(loaded_at) >= lit_like(source, loaded_at, newest - lookback))
+                        & (F.col(event_at) >= lit_like(source, event_at, as_of - bound)))
 
 
 def merge_incremental(target: DataFrame, batch: DataFrame, keys: list[str], event_at: str, since: datetime,

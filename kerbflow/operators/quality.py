@@ -21,9 +21,12 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Repeated keys with their row count. Counts are combined before the shuffle, so hot copies are cheap."""
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    """Repeated keys with their row count. Counts are combined before the shuffle, so hot copies are cheap.
+
+    Rows without a value of a single column are not compared; in a key of several columns a null is a value like others.
+    """
+    rows = df.where(F.col(keys[0]).isNotNull()) if len(keys) == 1 else df
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
 def accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
@@ -45,8 +48,13 @@ def counts_negative(df: DataFrame) -> DataFrame:
     return violates(df, (F.col("bikes_available") < 0) | (F.col("docks_available") < 0))
 
 
-def counts_above_capacity(joined: DataFrame) -> DataFrame:
-    """Observations joined with their station version that hold more bikes and docks than the station has."""
+def counts_above_capacity(joined: DataFrame, since: datetime | None = None, at: str = "source_updated_at") -> DataFrame:
+    """Observations joined with their station version that hold more bikes and docks than the station has.
+
+    `since` bounds the check to recent observations; the filter reaches the scan, through the join.
+    """
+    if since is not None:
+        joined = joined.where(F.col(at) >= lit_like(joined, at, since))
     return violates(joined, F.col("bikes_available") + F.col("docks_available") > F.col("capacity"))
 
 

@@ -18,7 +18,6 @@ from kerbflow.operators.knn import knn, knn_columns
 CANDIDATES = 6
 RISK_PENALTY_MIN = 4.0
 OPTIONS = 3
-LEG_CAP = 12
 NAMED_WITHIN_M = 60.0
 OUT_OF_AREA_M = 3000.0
 WALK_SLACK_MIN = 2.0
@@ -155,8 +154,8 @@ def option_legs(options: DataFrame) -> DataFrame:
         "trip_id", "option_rank", "l.*")
 
 
-def missing_legs(options: DataFrame, cap: int = LEG_CAP) -> DataFrame:
-    """Legs still to be looked up for the options of a trip, in order of need, each once, at most `cap`."""
+def missing_legs(options: DataFrame, cap: int | None = None) -> DataFrame:
+    """Legs still to be looked up for the options of a trip, in order of need, each once; with `cap`, the first ones."""
     unknown = option_legs(options).where(~F.col("known"))
     once = top_per_key(unknown, ["trip_id", "profile", "from_key", "to_key"],
                        [F.col("option_rank").asc(), F.col("priority").asc()])
@@ -195,6 +194,3 @@ def service_area(stations: DataFrame, pad: float = 0.08) -> DataFrame:
     dlat, dlng = (F.col("n") - F.col("s")) * F.lit(pad), (F.col("e") - F.col("w")) * F.lit(pad)
     return box.select((F.col("s") - dlat).alias("south"), (F.col("n") + dlat).alias("north"),
                       (F.col("w") - dlng).alias("west"), (F.col("e") + dlng).alias("east"))
-
-
-__all__ = ["DETOUR_FACTOR", "distance_mm", "recommend", "trip_pairs", "missing_legs", "leg_status", "walk_only"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbflow.functions.convert import to_double
 from kerbflow.operators.dedupe import top_per_key
 
 GRAM = 3
@@ -50,11 +51,15 @@ def match_stations(queries: DataFrame, stations: DataFrame, limit: int = 5) -> D
 
 
 def clean_places(places: DataFrame, country: str, unnamed: str, separator: str = "・", parts: int = 3) -> DataFrame:
-    """Geocoder results as a short name and a detail line without postcode, country and the name itself."""
+    """Geocoder results as a short name and a detail line without postcode, country and the name itself.
+
+    Coordinates that came as text become numbers.
+    """
     pieces = F.filter(F.transform(F.split(F.coalesce("display_name", F.lit("")), ","), lambda p: F.trim(p)),
                       lambda p: p != "")
     name = F.coalesce(F.when(F.col("name") != "", F.col("name")), F.try_element_at(pieces, F.lit(1)), F.lit(unnamed))
     # `name` is computed first so that the filter compares with one column.
     named = places.withColumn("__pieces", pieces).withColumn("name", name)
     detail = F.filter(F.col("__pieces"), lambda p: (p != F.col("name")) & ~p.rlike("^[0-9]+$") & (p != F.lit(country)))
-    return named.withColumn("detail", F.array_join(F.slice(detail, 1, parts), separator)).drop("__pieces")
+    placed = named.withColumns({c: to_double(F.col(c)) for c in ("lat", "lon", "lng") if c in places.columns})
+    return placed.withColumn("detail", F.array_join(F.slice(detail, 1, parts), separator)).drop("__pieces")

@@ -60,7 +60,7 @@ def fit_forecaster(training: DataFrame, l2: float = 1.0, rows: int | None = None
                       handleInvalid="keep"),
         VectorAssembler(inputCols=[*NUMBERS, "weekend", *[f"{c}_vector" for c in CATEGORIES]], outputCol="inputs"),
         LinearRegression(featuresCol="inputs", labelCol="label", predictionCol="raw_prediction",
-                         regParam=l2 / max(rows, 1), elasticNetParam=0.0, solver="normal"),
+                         regParam=l2 / max(rows, 1), elasticNetParam=0.0, solver="auto"),
     ]
     return Pipeline(stages=stages).fit(_model_input(training).withColumn("label", F.col(LABEL).cast("double")))
 

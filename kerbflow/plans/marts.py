@@ -25,7 +25,8 @@ def fact_availability(raw: DataFrame, tz: str) -> DataFrame:
 def station_hourly(fact: DataFrame, stations: DataFrame, tz: str, since: datetime | None = None) -> DataFrame:
     """Use of each station per local hour, in-service observations only.
 
-    Rows are aggregated before the station names join in, so the join sees one row per station and hour.
+    Rows are aggregated before the station names join in, so the join sees one row per station and hour. Of a dimension
+    with versions the current ones give the names.
     """
     rows = fact.where(F.col("is_in_service"))
     if since is not None:
@@ -38,5 +39,7 @@ def station_hourly(fact: DataFrame, stations: DataFrame, tz: str, since: datetim
         round_to(F.count_if(F.col("bikes_available") == 0) / F.count(F.lit(1)), 4).alias("empty_ratio"),
         round_to(F.count_if(F.col("docks_available") == 0) / F.count(F.lit(1)), 4).alias("full_ratio"),
     )
+    if "is_current" in stations.columns:
+        stations = stations.where("is_current")
     names = stations.select("station_uid", "station_name", "capacity", "lat", "lng")
     return hourly.join(names, "station_uid", "left").withColumn("local_date", F.to_date("hour_local"))

@@ -69,12 +69,3 @@ def discard(*stored: DataFrame) -> None:
         context = df.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than cores, spread over them; anything larger is left as it is.
-
-    For work that is heavy per row, on inputs so small that their one file makes one task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbflow.functions.geo import point_key
 from kerbflow.schemas import SNAPSHOT
+from kerbflow.session import discard, store
 
 
 class EmptyResultError(ValueError):
@@ -38,17 +41,41 @@ def snapshot_lines(payload: DataFrame, generated_at: Column) -> DataFrame:
     return ends.unionByName(body).orderBy("part", "id").select("value")
 
 
-def write_snapshot(payload: DataFrame, generated_at: Column, path: str) -> None:
-    """Publish as text files that form the document in the order of their names.
+def _versions(spark: SparkSession, path: str) -> tuple[list[str], object]:
+    """Finished versions of a document, oldest first, and the file system they are on."""
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(context._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return [], fs
+    found = [str(x.getPath()) for x in fs.listStatus(root) if x.getPath().getName().startswith("version=")]
+    return sorted(p for p in found if fs.exists(context._jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS"))), fs
+
 
-    An empty payload leaves the previous document in place.
+def write_snapshot(payload: DataFrame, generated_at: Column, path: str, keep: int = 2) -> None:
+    """Publish a new version of the document: text files that form it in the order of their names.
+
+    A version counts once its mark of success is there, so readers see the old document or the new one, never a part.
+    The newest `keep` versions stay for readers that are under way. An empty payload leaves everything as it is.
     """
-    snapshot_lines(require_rows(payload, "no station has a recent status"), generated_at).write.mode("overwrite").text(path)
+    spark = payload.sparkSession
+    fixed = store(payload, "payload")
+    if fixed.isEmpty():
+        discard(fixed)
+        raise EmptyResultError("no station has a recent status")
+    snapshot_lines(fixed, generated_at).write.text(f"{path}/version={time.time_ns():020}")
+    discard(fixed)
+    versions, fs = _versions(spark, path)
+    for old in versions[:-keep]:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old), True)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Station rows of a document written by `write_snapshot`."""
-    lines = spark.read.text(path)
+    """Station rows of the newest version of a document written by `write_snapshot`."""
+    versions, _ = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no document at {path}")
+    lines = spark.read.text(versions[-1])
     head = lines.where(F.col("value").startswith('{"generated_at"'))
     generated = head.agg(F.max(F.get_json_object(F.concat("value", F.lit("]}")), "$.generated_at"))).scalar()
     one = SNAPSHOT["stations"].dataType.elementType

@@ -12,7 +12,6 @@ from kerbflow.functions.timefns import to_local
 
 # Fixed value: timestamps in staged files, always UTC.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
-STAMP_FORMAT = "%Y%m%dT%H%M%SZ"
 
 
 def read_raw(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
@@ -21,7 +20,7 @@ def read_raw(spark: SparkSession, path: str | list[str], schema: T.StructType) -
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Staged rows: one JSON object per line. Partition columns of the layout (city, dt, hour) come along."""
+    """Staged rows: one JSON object per line. Directory columns of the layout (city, dt, hour, load) come along."""
     return spark.read.schema(schema).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX").json(path)
 
 
@@ -30,21 +29,31 @@ def to_ndjson(df: DataFrame) -> DataFrame:
     return df.select(to_ndjson_column(df.columns).alias("value"))
 
 
+# Directories of a load, below the dataset.
+LAYOUT = ["city", "dt", "hour", "load"]
+
+
 def with_layout(df: DataFrame, tz: str, at: str = "ingested_at") -> DataFrame:
-    """Add the directory columns: local date and hour of the load."""
+    """Add the directory columns: local date and hour of the load, and its UTC stamp."""
     local = to_local(F.col(at), tz)
-    return df.withColumn("dt", F.date_format(local, "yyyy-MM-dd")).withColumn("hour", F.date_format(local, "HH"))
+    return df.withColumns({"dt": F.date_format(local, "yyyy-MM-dd"), "hour": F.date_format(local, "HH"),
+                           "load": F.date_format(at, "yyyyMMdd'T'HHmmss'Z'")})
 
 
-def land(df: DataFrame, root: str, dataset: str, tz: str) -> None:
-    """Write staged rows as `<root>/staged/<dataset>/city=/dt=/hour=` NDJSON.
+def _write_text(lines: DataFrame, path: str) -> None:
+    """Rebalancing gives most loads one file and splits a load that is too heavy for one task."""
+    lines.hint("rebalance", *LAYOUT).write.mode("append").partitionBy(*LAYOUT).text(path)
 
-    Rebalancing gives most hours one file and splits an hour that is too heavy for one task.
-    """
+
+def land(df: DataFrame, root: str, dataset: str, tz: str) -> None:
+    """Write staged rows as `<root>/staged/<dataset>/city=/dt=/hour=/load=` NDJSON."""
     placed = with_layout(df, tz)
-    lines = placed.select(to_ndjson_column(df.columns).alias("value"), "city", "dt", "hour")
-    lines.hint("rebalance", "city", "dt", "hour").write.mode("append").partitionBy("city", "dt", "hour").text(
-        f"{root}/staged/{dataset}")
+    _write_text(placed.select(to_ndjson_column(df.columns).alias("value"), *LAYOUT), f"{root}/staged/{dataset}")
+
+
+def land_raw(responses: DataFrame, root: str, dataset: str, tz: str) -> None:
+    """Keep responses (city, ingested_at, body) as they came under `<root>/raw/<dataset>`, laid out like staged rows."""
+    _write_text(with_layout(responses, tz).select(F.col("body").alias("value"), *LAYOUT), f"{root}/raw/{dataset}")
 
 
 def to_ndjson_column(columns: list[str]) -> Column:
@@ -52,12 +61,6 @@ def to_ndjson_column(columns: list[str]) -> Column:
         "ignoreNullFields": "false", "timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT})
 
 
-def batch_paths(root: str, dataset: str, city: str, loaded_at: datetime, local: datetime) -> tuple[str, str]:
-    """Paths of one load: (raw, staged). Directories use local time, the file name carries the UTC stamp."""
-    where = f"{dataset}/city={city}/dt={local:%Y-%m-%d}/hour={local:%H}/{loaded_at.strftime(STAMP_FORMAT)}"
-    return f"{root}/raw/{where}.json", f"{root}/staged/{where}.ndjson"
-
-
 def recent_days(df: DataFrame, as_of: datetime, tz: str, days: int = 2) -> DataFrame:
     """Rows of the last local days. The filter is on the directory column, so older directories are not listed."""
     today = F.to_date(to_local(F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"), tz))
@@ -65,11 +68,12 @@ def recent_days(df: DataFrame, as_of: datetime, tz: str, days: int = 2) -> DataF
 
 
 def newest_batch(df: DataFrame) -> DataFrame:
-    """Rows of the newest file, by the UTC stamp in its name and not by its directory; nothing gives nothing."""
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    tagged = df.withColumn("__file", name)
-    newest = tagged.agg(F.max("__file")).scalar()
-    return tagged.where(F.col("__file") == newest).drop("__file")
+    """Rows of the newest load, by its UTC stamp and not by its local directory; nothing gives nothing.
+
+    The stamp is a directory name, so finding it lists directories and reading it opens no other load.
+    """
+    newest = df.agg(F.max("load")).first()[0]
+    return df.where(F.col("load") == F.lit(newest))
 
 
 def append_raw(df: DataFrame, path: str) -> None:

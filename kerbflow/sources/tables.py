@@ -1,28 +1,32 @@
 """Keyed tables on plain parquet.
 
 A merge writes the new content of the touched partitions to a staging folder first and then replaces exactly those
-partitions. The plan never overwrites what it reads, a rerun of the same batch gives the same table, and
-partitions outside the batch are neither read nor written. One writer per table.
+partitions. The plan never overwrites what it reads, a rerun of the same batch gives the same table, and partitions
+outside the batch are neither read nor written. Where a job dies between the two writes, the finished staging folder is
+applied before the next read or merge, so no partition is lost. Insert-only batches append the rows whose key is absent.
+One writer per table.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbflow.operators.merge import insert_new, upsert
-
-BUCKETS = 16
+from kerbflow.operators.merge import new_rows, upsert
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A parquet table with a key, partitioned by the day of a time column or by a hash of the key."""
+    """A parquet table with a key, partitioned by the day of a time column or by a hash of the key.
+
+    `buckets` belongs to the table and must not change once it holds rows: choose it so that a bucket fits a task. Columns
+    that a batch brings beyond the schema are added; older rows have nulls there.
+    """
 
     spark: SparkSession
     path: str
@@ -30,6 +34,7 @@ class KeyedTable:
     keys: list[str]
     day_of: str | None = None
     stamped: str | None = None  # column that holds the time of the write
+    buckets: int = 16
 
     @property
     def part(self) -> str:
@@ -38,41 +43,87 @@ class KeyedTable:
     def _placed(self, df: DataFrame) -> DataFrame:
         if self.day_of:
             return df.withColumn(self.part, F.to_date(self.day_of))
-        return df.withColumn(self.part, F.pmod(F.xxhash64(*self.keys), F.lit(BUCKETS)).cast("int"))
+        return df.withColumn(self.part, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+
+    def _hadoop(self, path: str):
+        context = self.spark.sparkContext
+        at = context._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        at, fs = self._hadoop(path)
+        return fs.exists(at)
+
+    def _with_part(self, schema: T.StructType) -> T.StructType:
+        return T.StructType([*schema.fields, T.StructField(self.part, T.DateType() if self.day_of else T.IntegerType())])
+
+    def _columns(self) -> T.StructType:
+        """The schema, with the columns that batches have added."""
+        if not self._exists(f"{self.path}.schema"):
+            return self.schema
+        return T.StructType.fromJson(json.loads(self.spark.read.text(f"{self.path}.schema").first()[0]))
 
     def _stored(self) -> DataFrame:
-        part_type = T.DateType() if self.day_of else T.IntegerType()
-        full = T.StructType([*self.schema.fields, T.StructField(self.part, part_type)])
-        try:
-            return self.spark.read.schema(full).parquet(self.path)
-        except AnalysisException:  # nothing written yet
+        """All stored rows. Only a table that is not there is empty; any other failure to read is an error."""
+        self._recover()
+        full = self._with_part(self._columns())
+        if not self._exists(self.path):
             return self.spark.createDataFrame([], full)
+        return self.spark.read.schema(full).parquet(self.path)
 
     def read(self) -> DataFrame:
         return self._stored().drop(self.part)
 
-    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], staging: str) -> None:
+    def _prepared(self, batch: DataFrame) -> DataFrame:
+        """The batch with all columns of the table; new columns are noted first."""
+        if self.stamped:
+            batch = batch.withColumn(self.stamped, F.current_timestamp())
+        known = self._columns()
+        fresh = [f for f in batch.schema.fields if f.name not in known.names]
+        if fresh:
+            known = T.StructType([*known.fields, *(T.StructField(f.name, f.dataType) for f in fresh)])
+            self.spark.createDataFrame([(known.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}.schema")
+        return batch.select(*(F.col(f.name) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in known.fields))
+
+    def _touched(self, placed: DataFrame) -> DataFrame:
+        """Stored rows of the partitions of a batch; their values are literals, so other directories are not listed.
+
+        There is one value per calendar day of the batch, or per bucket.
+        """
+        parts = [r[0] for r in placed.select(self.part).distinct().collect()]
+        return self._stored().where(F.col(self.part).isin(parts) if parts else F.lit(False))
+
+    def _write(self, df: DataFrame, path: str, mode: str, replaced: str = "dynamic") -> None:
+        # Rebalancing makes files of an even size: a heavy day is split over tasks, light days share one.
+        df.hint("rebalance", self.part).sortWithinPartitions(self.part, *self.keys).write.mode(mode).option(
+            "partitionOverwriteMode", replaced).partitionBy(self.part).parquet(path)
+
+    def _recover(self) -> None:
+        """Apply a staging folder that was finished, and remove it; one without its mark is what a dead job left."""
+        staging, done = f"{self.path}.staging", f"{self.path}.staged"
+        if self._exists(done):
+            staged = self.spark.read.schema(self._with_part(self._columns())).parquet(staging)
+            self._write(staged, self.path, "overwrite")
+        for left in (done, staging):
+            at, fs = self._hadoop(left)
+            fs.delete(at, True)
+
+    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         """Replace the partitions that the batch touches by `combine(their rows, batch)`.
 
         A day-partitioned table has the day in its key, so a key never moves between partitions.
         """
-        if self.stamped:
-            batch = batch.withColumn(self.stamped, F.current_timestamp())
-        placed = self._placed(batch.select(*self.schema.names))
-        # At most one row per calendar day, or per hash bucket.
-        touched = placed.select(self.part).distinct()
-        current = self._stored().join(F.broadcast(touched), self.part, "left_semi")
-        merged = combine(current.drop(self.part), batch.select(*self.schema.names))
-        # Rebalancing makes files of an even size: a heavy day is split over tasks, light days share one.
-        self._placed(merged).hint("rebalance", self.part).sortWithinPartitions(self.part, *self.keys).write.mode(
-            "overwrite").partitionBy(self.part).parquet(staging)
-        part_type = T.DateType() if self.day_of else T.IntegerType()
-        full = T.StructType([*self.schema.fields, T.StructField(self.part, part_type)])
-        self.spark.read.schema(full).parquet(staging).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy(self.part).parquet(self.path)
-
-    def upsert(self, batch: DataFrame, staging: str, order: list[str] | None = None) -> None:
-        self.merge(batch, lambda t, b: upsert(t, b, self.keys, order), staging)
-
-    def insert_new(self, batch: DataFrame, staging: str, order: list[str] | None = None) -> None:
-        self.merge(batch, lambda t, b: insert_new(t, b, self.keys, order), staging)
+        rows = self._prepared(batch)
+        merged = combine(self._touched(self._placed(rows)).drop(self.part), rows)
+        self._write(self._placed(merged), f"{self.path}.staging", "overwrite", "static")
+        at, fs = self._hadoop(f"{self.path}.staged")
+        fs.create(at).close()
+        self._recover()
+
+    def upsert(self, batch: DataFrame, order: list[str] | None = None) -> None:
+        self.merge(batch, lambda t, b: upsert(t, b, self.keys, order))
+
+    def insert_new(self, batch: DataFrame, order: list[str] | None = None) -> None:
+        """Append the rows whose key is absent. A batch that runs again finds its keys and appends nothing."""
+        rows = self._prepared(batch)
+        self._write(self._placed(new_rows(self._touched(self._placed(rows)).drop(self.part), rows, self.keys, order)), self.path, "append")

@@ -1,5 +1,8 @@
+"""Landing and normalising of generated records, against the same rules in plain Python."""
+
 import json
-from datetime import datetime
+import random
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,98 +14,145 @@ from kerbflow.schemas import (
 from kerbflow.sources import landing
 from kerbflow.sources.normalize import SchemaError, normalize, station_rows
 
-LOADED = datetime(2027, 2, 28, 10, 25)
-AVAILABILITY = [
-    {"StationUID": "S1", "StationID": "1", "ServiceStatus": 1, "ServiceType": 2, "AvailableRentBikes": 5,
-     "AvailableReturnBikes": 15, "AvailableRentBikesDetail": {"GeneralBikes": 4, "ElectricBikes": 1},
-     "SrcUpdateTime": "2027-02-28T18:21:07+08:00", "UpdateTime": "2027-02-28T18:21:15+08:00"},
-    {"StationUID": "S2", "StationID": "2", "ServiceStatus": 2, "ServiceType": 2, "AvailableRentBikes": 0,
-     "AvailableReturnBikes": "20", "SrcUpdateTime": "2027-02-28T18:20:30+08:00", "UpdateTime": "soon"},
-    {"StationID": "3", "AvailableRentBikes": "many", "AvailableReturnBikes": 5.5, "SrcUpdateTime": "2027-02-28T18:20:30+08:00"},
-]
-STATIONS = [{"StationUID": "S1", "StationName": {"Zh_tw": "Brand_港口", "En": "Main"}, "BikesCapacity": 20,
-             "StationPosition": {"PositionLon": 121.56789, "PositionLat": 25.01234, "GeoHash": "w"}}]
-
-
-@pytest.fixture
-def raw(spark, tmp_path):
-    (tmp_path / "raw").mkdir()
-    (tmp_path / "raw" / "a.json").write_text(json.dumps(AVAILABILITY, ensure_ascii=False), encoding="utf-8")
-    return landing.read_raw(spark, str(tmp_path / "raw"), RAW_AVAILABILITY)
-
-
-def test_flatten_cast_and_utc(raw):
-    rows = {r["station_uid"]: r for r in normalize(raw, AVAILABILITY_FIELDS, "T", LOADED, AVAILABILITY_REQUIRED).collect()}
-    assert set(rows) == {"S1", "S2"}  # the record without a key is dropped
-    assert rows["S1"]["bikes_available"] == 5 and rows["S1"]["ebikes_available"] == 1
-    assert rows["S2"]["docks_available"] == 20 and rows["S2"]["general_bikes_available"] is None
-    assert rows["S1"]["source_updated_at"] == datetime(2027, 2, 28, 10, 21, 7) and rows["S2"]["api_updated_at"] is None
-    assert rows["S1"]["ingested_at"] == LOADED and rows["S1"]["city"] == "T"
-
-
-def test_staged_columns_follow_the_schema(raw):
-    staged = normalize(raw, AVAILABILITY_FIELDS, "T", LOADED)
-    assert [(f.name, f.dataType) for f in staged.schema] == [(f.name, f.dataType) for f in STAGED_AVAILABILITY]
-
+LOADED = datetime(2031, 6, 30, 15, 59, 59)
+NUMBERS = {"ServiceStatus": "service_status", "ServiceType": "service_type", "AvailableRentBikes": "bikes_available",
+           "AvailableReturnBikes": "docks_available"}
 
-def test_required_field_missing_in_all_records_fails_the_batch(spark):
-    lines = spark.createDataFrame([('{"StationUID":"X","AvailableRentBikes":1}',)], "j string")
-    partial = lines.select(F.from_json("j", RAW_AVAILABILITY).alias("r")).select("r.*")
-    with pytest.raises(SchemaError, match="AvailableReturnBikes"):
-        normalize(partial, AVAILABILITY_FIELDS, "T", LOADED, AVAILABILITY_REQUIRED)
-    assert normalize(partial.limit(0), AVAILABILITY_FIELDS, "T", LOADED, AVAILABILITY_REQUIRED).count() == 0
 
+def whole(value):
+    """What the rules make of a number or a text."""
+    try:
+        number = float(value)
+    except (TypeError, ValueError):
+        return None
+    return int(number) if number == int(number) else None
 
-@pytest.mark.parametrize("text,expected", [("20", 20), ("5.5", None), ("x", None), (None, None), ("7.0", 7), (" 3 ", 3)])
-def test_to_int(spark, text, expected):
-    assert spark.createDataFrame([(text,)], "t string").select(to_int(F.col("t"))).first()[0] == expected
 
+def generated(n, seed):
+    r, out = random.Random(seed), []
+    for i in range(n):
+        record = {"StationUID": r.choice([f"u{i}", f"u{i}", f"u{i}", None]), "StationID": str(i)}
+        for field in NUMBERS:
+            if r.random() < 0.9:
+                record[field] = r.choice([r.randrange(40), str(r.randrange(40)), f" {r.randrange(9)}", r.random() + 0.1, "n/a", "", None, 3.0])
+        if r.random() < 0.5:
+            record["AvailableRentBikesDetail"] = {"GeneralBikes": r.randrange(5), "ElectricBikes": str(r.randrange(5))}
+        at = datetime(2031, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=r.randrange(10**7))
+        zone = timezone(timedelta(hours=r.choice([-5, 0, 8])))
+        record["SrcUpdateTime"] = r.choice([at.astimezone(zone).isoformat(), at.astimezone(zone).isoformat(), "yesterday"])
+        out.append(record)
+    return out
 
-def test_station_names_lose_their_prefix(spark):
-    body = spark.createDataFrame([(json.dumps(s),) for s in STATIONS], "j string")
-    flat = normalize(body.select(F.from_json("j", RAW_STATION).alias("r")).select("r.*"), STATION_FIELDS, "T", LOADED)
-    row = station_rows(flat, "Brand_").first()
-    assert (row["station_name"], row["lat"], row["capacity"]) == ("港口", 25.01234, 20)
-    none = spark.createDataFrame([(None,)], "n string").select(display_name(F.col("n"), "Brand_")).first()[0]
-    assert none == ""
 
-
-def test_ndjson_has_utc_micros_and_explicit_nulls(raw):
-    lines = [json.loads(r["value"]) for r in landing.to_ndjson(normalize(raw, AVAILABILITY_FIELDS, "T", LOADED)).collect()]
-    by_id = {r["station_uid"]: r for r in lines}
-    assert by_id["S1"]["source_updated_at"] == "2027-02-28T10:21:07.000000Z"
-    assert by_id["S2"]["general_bikes_available"] is None and "general_bikes_available" in by_id["S2"]
+@pytest.fixture
+def records():
+    return generated(60, 12)
 
 
-def test_landing_layout_uses_local_time_and_reads_back(spark, raw, tmp_path):
-    staged = normalize(raw, AVAILABILITY_FIELDS, "T", datetime(2027, 2, 28, 17, 30))
-    landing.land(staged, str(tmp_path), "avail", "Asia/Taipei")
-    assert list((tmp_path / "staged/avail/city=T/dt=2027-03-01/hour=01").glob("*.txt"))
-    back = landing.read_staged(spark, str(tmp_path / "staged/avail"), STAGED_AVAILABILITY)
-    assert sorted(back.select(*staged.columns).collect()) == sorted(staged.collect())
-    assert landing.recent_days(back, datetime(2027, 3, 1, 17, 30), "Asia/Taipei").count() == 2
-    assert landing.recent_days(back, datetime(2027, 3, 2, 17, 30), "Asia/Taipei").count() == 0
+@pytest.fixture
+def raw(spark, records, tmp_path):
+    for k in range(3):
+        folder = tmp_path / "raw" / f"part{k}"
+        folder.mkdir(parents=True)
+        (folder / "x.json").write_text(json.dumps(records[k::3], ensure_ascii=False), encoding="utf-8")
+    return landing.read_raw(spark, str(tmp_path / "raw"), RAW_AVAILABILITY)
 
 
-def test_batch_paths():
-    raw_path, staged_path = landing.batch_paths("r", "avail", "T", datetime(2027, 2, 28, 17, 30), datetime(2027, 3, 1, 1, 30))
-    assert raw_path == "r/raw/avail/city=T/dt=2027-03-01/hour=01/20270228T173000Z.json"
-    assert staged_path.endswith("hour=01/20270228T173000Z.ndjson")
+def test_every_record_with_a_key_is_typed_by_the_rules(raw, records):
+    rows = {r["station_id"]: r for r in normalize(raw, AVAILABILITY_FIELDS, "K", LOADED, AVAILABILITY_REQUIRED).collect()}
+    assert set(rows) == {r["StationID"] for r in records if r["StationUID"]}
+    for record in records:
+        if not record["StationUID"]:
+            continue
+        row = rows[record["StationID"]]
+        assert {name: row[name] for name in NUMBERS.values()} == {name: whole(record.get(field)) for field, name in NUMBERS.items()}
+        assert row["ebikes_available"] == whole(record.get("AvailableRentBikesDetail", {}).get("ElectricBikes"))
+        text = record["SrcUpdateTime"]
+        want = None if text == "yesterday" else datetime.fromisoformat(text).astimezone(timezone.utc).replace(tzinfo=None)
+        assert row["source_updated_at"] == want and (row["ingested_at"], row["city"]) == (LOADED, "K")
 
 
-def test_newest_batch_goes_by_stamp_not_directory(spark, tmp_path):
-    for where, stamp, uid in [("dt=2027-03-01/hour=00", "20270228T163000Z", "a"), ("dt=2027-02-28/hour=23", "20270228T173000Z", "b")]:
-        (tmp_path / where).mkdir(parents=True)
-        (tmp_path / where / f"{stamp}.ndjson").write_text(json.dumps({"station_uid": uid}) + "\n")
-    staged = landing.read_staged(spark, str(tmp_path), STAGED_AVAILABILITY)
-    assert [r["station_uid"] for r in landing.newest_batch(staged).collect()] == ["b"]
+def test_staged_columns_follow_the_schema(raw):
+    staged = normalize(raw, AVAILABILITY_FIELDS, "K", LOADED)
+    assert [(f.name, f.dataType) for f in staged.schema] == [(f.name, f.dataType) for f in STAGED_AVAILABILITY]
 
 
-def test_raw_table_appends_and_prunes(spark, raw, tmp_path):
+@pytest.mark.parametrize("lost", AVAILABILITY_REQUIRED)
+def test_a_batch_without_a_required_field_fails(spark, records, lost):
+    bare = [{k: v for k, v in r.items() if k != lost} for r in records]
+    frame = spark.createDataFrame([(json.dumps(r),) for r in bare], "j string").select(F.from_json("j", RAW_AVAILABILITY).alias("r")).select("r.*")
+    with pytest.raises(SchemaError, match=lost):
+        normalize(frame, AVAILABILITY_FIELDS, "K", LOADED, AVAILABILITY_REQUIRED)
+    assert normalize(frame.limit(0), AVAILABILITY_FIELDS, "K", LOADED, AVAILABILITY_REQUIRED).count() == 0
+
+
+def test_whole_numbers_keep_all_digits(spark):
+    big = [str(2**53 + 1), str(-(2**63)), str(2**63 - 1)]
+    texts = [*big, str(2**63), "1e3", "-0", "+5", "1.50", "0x1f", "NaN", "Infinity", "", " ", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(to_int(F.col("t"))).collect()]
+    assert got == [int(b) for b in big] + [None, 1000, 0, 5, None, None, None, None, None, None, None]
+
+
+def test_stations_keep_their_place_and_lose_the_brand(spark):
+    r = random.Random(3)
+    stations = [{"StationUID": f"s{i}" if i % 7 else None, "StationName": {"Zh_tw": r.choice(["Net+ Platz", "Platz Net+", None])},
+                 "BikesCapacity": i, "StationPosition": {"PositionLon": r.uniform(-180, 180), "PositionLat": r.uniform(-90, 90)}} for i in range(30)]
+    body = spark.createDataFrame([(json.dumps(s),) for s in stations], "j string")
+    flat = normalize(body.select(F.from_json("j", RAW_STATION).alias("r")).select("r.*"), STATION_FIELDS, "K", LOADED)
+    got = {x["station_uid"]: (x["station_name"], x["lat"], x["lng"], x["capacity"]) for x in station_rows(flat, "Net+ ").collect()}
+    assert got == {s["StationUID"]: ((s["StationName"]["Zh_tw"] or "").removeprefix("Net+ "), s["StationPosition"]["PositionLat"],
+                                     s["StationPosition"]["PositionLon"], s["BikesCapacity"]) for s in stations if s["StationUID"]}
+    assert spark.range(1).select(display_name(F.lit("a.b"), "a+")).first()[0] == "a.b"
+
+
+def test_staged_lines_hold_every_column_in_utc(raw):
+    staged = normalize(raw, AVAILABILITY_FIELDS, "K", LOADED)
+    for line in landing.to_ndjson(staged).collect():
+        row = json.loads(line["value"])
+        assert list(row) == staged.columns
+        if row["source_updated_at"]:
+            assert datetime.strptime(row["source_updated_at"], "%Y-%m-%dT%H:%M:%S.%fZ")
+
+
+@pytest.mark.parametrize("zone,hours", [("Asia/Taipei", 8), ("UTC", 0), ("America/Lima", -5)])
+def test_landed_loads_lie_under_local_time_and_stamp(spark, raw, tmp_path, zone, hours):
+    loads = [LOADED + timedelta(hours=7 * i) for i in range(3)]
+    for at in loads:
+        landing.land(normalize(raw, AVAILABILITY_FIELDS, "K", at), str(tmp_path), "seen", zone)
+    for at in loads:
+        local = at + timedelta(hours=hours)
+        where = f"city=K/dt={local:%Y-%m-%d}/hour={local:%H}/load={at:%Y%m%dT%H%M%SZ}"
+        assert list((tmp_path / "staged/seen" / where).glob("*.txt"))
+    back = landing.read_staged(spark, str(tmp_path / "staged/seen"), STAGED_AVAILABILITY)
+    staged = normalize(raw, AVAILABILITY_FIELDS, "K", loads[-1])
+    newest = landing.newest_batch(back)
+    assert sorted(newest.select(*staged.columns).collect(), key=str) == sorted(staged.collect(), key=str)
+    assert "PartitionFilters" in newest._jdf.queryExecution().executedPlan().toString()
+    days = {(at + timedelta(hours=hours)).date() for at in loads}
+    for day in days:
+        noon = datetime(day.year, day.month, day.day, 12) - timedelta(hours=hours)
+        got = {r["dt"] for r in landing.recent_days(back, noon, zone, days=1).select(F.col("dt").cast("string").alias("dt")).distinct().collect()}
+        assert got == {str(day)}
+
+
+def test_raw_responses_land_as_they_came(spark, tmp_path):
+    bodies = spark.createDataFrame([("K", LOADED, '[{"a": 1}]'), ("L", LOADED, "[]")], "city string, ingested_at timestamp_ntz, body string")
+    landing.land_raw(bodies, str(tmp_path), "seen", "UTC")
+    files = list(tmp_path.glob("raw/seen/city=K/dt=*/hour=*/load=20310630T155959Z/*.txt"))
+    assert [f.read_text() for f in files] == ['[{"a": 1}]\n']
+
+
+def test_nothing_landed_gives_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], STAGED_AVAILABILITY).withColumn("load", F.lit(""))
+    assert landing.newest_batch(empty).count() == 0
+
+
+def test_raw_table_reads_only_the_days_asked_for(spark, raw, tmp_path):
     path = str(tmp_path / "table")
-    for day in (1, 2):
-        landing.append_raw(normalize(raw, AVAILABILITY_FIELDS, "T", datetime(2027, 3, day, 11, 45)), path)
-    recent = landing.read_raw_table(spark, path, datetime(2027, 3, 2))
-    assert recent.count() == 2 and landing.read_raw_table(spark, path).count() == 4
-    plan = recent._jdf.queryExecution().executedPlan().toString()
+    for day in (1, 2, 3):
+        landing.append_raw(normalize(raw, AVAILABILITY_FIELDS, "K", datetime(2031, 3, day, 11, 45)), path)
+    one = landing.read_raw_table(spark, path).count() // 3
+    assert landing.read_raw_table(spark, path, datetime(2031, 3, 2)).count() == 2 * one
+    assert landing.read_raw_table(spark, path, datetime(2031, 3, 2, 12)).count() == one
+    plan = landing.read_raw_table(spark, path, datetime(2031, 3, 2))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan

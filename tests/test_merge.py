@@ -60,13 +60,53 @@ def test_replaying_a_batch_changes_nothing(spark, frame, tmp_path, day_of):
     assert table.read().count() == 0
     first, second = frame([("a", at(0), 1), ("b", at(30), 2)]), frame([("a", at(0), 9), ("c", at(60), 3)])
     for i, batch in enumerate([first, second, second]):
-        table.upsert(batch, str(tmp_path / f"s{i}"))
+        table.upsert(batch)
     assert {(r["k"], r["v"]) for r in table.read().collect()} == {("a", 9), ("b", 2), ("c", 3)}
 
 
 def test_untouched_partitions_are_not_rewritten(spark, frame, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), frame([]).schema, ["k", "at"], day_of="at")
-    table.upsert(frame([("a", at(0), 1), ("b", at(48), 2)]), str(tmp_path / "s0"))
+    table.upsert(frame([("a", at(0), 1), ("b", at(48), 2)]))
     before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("part_day=2027-03-01/*.parquet")}
-    table.upsert(frame([("b", at(48), 3)]), str(tmp_path / "s1"))
+    table.upsert(frame([("b", at(48), 3)]))
     assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("part_day=2027-03-01/*.parquet")} == before
+
+
+def test_a_job_that_dies_between_staging_and_table_loses_nothing(spark, frame, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "t"), frame([]).schema, ["k", "at"], day_of="at")
+    table.upsert(frame([("a", at(0), 1), ("b", at(1), 2), ("c", at(48), 3)]))
+    whole = KeyedTable._write
+
+    def die(self, df, path, mode, replaced="dynamic"):
+        if path == self.path:
+            raise RuntimeError("gone")
+        whole(self, df, path, mode, replaced)
+    monkeypatch.setattr(KeyedTable, "_write", die)
+    with pytest.raises(RuntimeError):
+        table.upsert(frame([("a", at(0), 9)]))
+    monkeypatch.setattr(KeyedTable, "_write", whole)
+    for p in (tmp_path / "t").glob("part_day=2027-03-01/*"):  # as if the old partition had already been taken away
+        p.unlink()
+    assert sorted((r["k"], r["v"]) for r in table.read().collect()) == [("a", 9), ("b", 2), ("c", 3)]
+    assert not list(tmp_path.glob("t.stag*"))
+
+
+def test_new_columns_are_kept_and_inserts_append(spark, frame, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), frame([]).schema, ["k", "at"], day_of="at")
+    table.insert_new(frame([("a", at(0), 1)]))
+    kept = {p.name for p in (tmp_path / "t").glob("part_day=*/*.parquet")}
+    wide = frame([("a", at(0), 7), ("b", at(0), 2)]).withColumn("extra", F.lit("x"))
+    for _ in range(2):
+        table.insert_new(wide)
+    assert sorted((r["k"], r["v"], r["extra"]) for r in table.read().collect()) == [("a", 1, None), ("b", 2, "x")]
+    assert kept <= {p.name for p in (tmp_path / "t").glob("part_day=*/*.parquet")}
+    table.upsert(frame([("b", at(0), 5)]))
+    assert sorted((r["k"], r["v"], r["extra"]) for r in table.read().collect()) == [("a", 1, None), ("b", 5, None)]
+
+
+def test_a_table_that_cannot_be_read_is_no_empty_table(spark, frame, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), frame([]).schema, ["k", "at"], day_of="at")
+    (tmp_path / "t" / "part_day=2027-03-01").mkdir(parents=True)
+    (tmp_path / "t" / "part_day=2027-03-01" / "part-0.parquet").write_text("broken")
+    with pytest.raises(Exception):
+        table.upsert(frame([("a", at(0), 1)]))

@@ -1,4 +1,7 @@
+"""Published documents, name search, place labels and route replies on generated data."""
+
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -6,80 +9,115 @@ from pyspark.sql import functions as F
 
 from kerbflow.operators.search import clean_places, match_stations
 from kerbflow.plans.serving import iso_utc, snapshot, snapshot_payload
-from kerbflow.sources.documents import (
-    EmptyResultError, parse_routes, parse_snapshot, read_snapshot, write_snapshot,
-)
+from kerbflow.sources.documents import EmptyResultError, parse_routes, parse_snapshot, read_snapshot, write_snapshot
 
 ROW = ("station_uid string, station_name string, lat double, lng double, bikes_available long, docks_available long, "
        "is_in_service boolean, forecast_for timestamp, predicted_bikes_available double")
-AT = datetime(2027, 3, 1, 12)
+AT = datetime(2031, 11, 5, 23, 30)
 
 
-@pytest.fixture
-def rows(spark):
-    return spark.createDataFrame([
-        ("S1", "Brand_港口中央站", 25.0123412, 121.5678978, 5, 15, True, None, None),
-        ("S2", None, 24.1, 120.6, 0, 20, False, AT + timedelta(hours=1), 3.24),
-        ("S3", "Brand_x", 24.2, 120.7, 1, 2, True, AT, None)], ROW)
+def stations(n, seed):
+    r, out = random.Random(seed), []
+    for i in range(n):
+        due, value = r.choice([(None, None), (AT + timedelta(minutes=r.randrange(1, 900)), r.randrange(400) / 16), (AT, None), (None, 1.5)])
+        out.append((f"k{i:03}", r.choice([None, f"Net {r.choice('äöü')}{i}", f'Quo"te, {i}']), r.uniform(-80, 80), r.uniform(-170, 170),
+                    r.randrange(30), r.randrange(30), r.random() < 0.8, due, value))
+    return out
 
 
 def at():
     return F.lit(AT.isoformat(sep=" ")).cast("timestamp")
 
 
-def test_document_is_one_compact_json(spark, rows, tmp_path):
+def half_up(x, digits):
+    import math
+    return math.floor(x * 10**digits + 0.5) / 10**digits
+
+
+def test_document_holds_each_station_once_and_reads_back(spark, tmp_path):
+    rows = stations(70, 1)
     path = str(tmp_path / "snapshot")
-    write_snapshot(snapshot_payload(rows, "Brand_"), iso_utc(at()), path)
-    text = "".join(p.read_text(encoding="utf-8") for p in sorted((tmp_path / "snapshot").glob("part-*"))).replace("\n", "")
-    doc = json.loads(text)
-    assert doc["generated_at"] == "2027-03-01T12:00:00Z" and ", " not in text and "港口中央站" in text
-    assert doc["stations"][0] == {"id": "S1", "name": "港口中央站", "lat": 25.01234, "lng": 121.5679, "bikes": 5, "docks": 15, "in_service": True}
-    assert doc["stations"][1]["name"] == "" and doc["stations"][1]["forecast"] == {"at": "2027-03-01T13:00:00Z", "bikes": 3.2}
-    assert "forecast" not in doc["stations"][2]
+    write_snapshot(snapshot_payload(spark.createDataFrame(rows, ROW).repartition(5), "Net "), iso_utc(at()), path)
+    newest = max(p for p in (tmp_path / "snapshot").iterdir() if p.name.startswith("version="))
+    text = "".join(p.read_text(encoding="utf-8") for p in sorted(newest.glob("part-*"))).replace("\n", "")
+    document = json.loads(text)
+    assert document["generated_at"] == AT.strftime("%Y-%m-%dT%H:%M:%SZ") and [s["id"] for s in document["stations"]] == [r[0] for r in rows]
+    for shown, (uid, name, lat, lng, bikes, docks, open_, due, value) in zip(document["stations"], rows):
+        want = {"id": uid, "name": (name or "").removeprefix("Net "), "lat": half_up(lat, 5), "lng": half_up(lng, 5), "bikes": bikes, "docks": docks, "in_service": open_}
+        if due and value is not None:
+            want["forecast"] = {"at": due.strftime("%Y-%m-%dT%H:%M:%SZ"), "bikes": half_up(value, 1)}
+        assert shown == want
     back = read_snapshot(spark, path)
-    whole = parse_snapshot(spark.createDataFrame([(text,)], "value string"))
-    assert sorted(back.collect()) == sorted(whole.collect()) and back.count() == 3
-    assert {r["generated_at"] for r in back.collect()} == {AT}
+    assert sorted(back.collect(), key=str) == sorted(parse_snapshot(spark.createDataFrame([(text,)], "value string")).collect(), key=str)
 
 
-def test_empty_result_keeps_the_old_document(spark, rows, tmp_path):
+def test_a_new_version_replaces_the_old_one_whole_or_not_at_all(spark, tmp_path):
     path = str(tmp_path / "snapshot")
-    write_snapshot(snapshot_payload(rows, ""), iso_utc(at()), path)
+    frame = spark.createDataFrame(stations(9, 2), ROW)
+    for n in (5, 9, 3):
+        write_snapshot(snapshot_payload(frame.limit(n), ""), iso_utc(at()), path)
+        assert read_snapshot(spark, path).count() == n
     with pytest.raises(EmptyResultError):
-        write_snapshot(snapshot_payload(rows.limit(0), ""), iso_utc(at()), path)
+        write_snapshot(snapshot_payload(frame.limit(0), ""), iso_utc(at()), path)
+    half = tmp_path / "snapshot" / "version=99999999999999999999"  # a writer that died has left no mark of success
+    half.mkdir()
+    (half / "part-00000.txt").write_text('{"generated_at":"x","stations":[\n')
     assert read_snapshot(spark, path).count() == 3
 
 
-def test_snapshot_without_forecast_table(spark, rows):
-    stations = rows.select("station_uid", "station_name", "lat", "lng").withColumn("is_current", F.col("station_uid") != "S3")
-    seen = rows.select("station_uid", "bikes_available", "docks_available", F.lit(None).cast("long").alias("service_status"), F.lit(1).alias("source_updated_at"))
-    got = snapshot(stations, seen).collect()
-    assert len(got) == 2 and {r["is_in_service"] for r in got} == {False} and {r["forecast_for"] for r in got} == {None}
-
-
-def test_search_order_limit_case_and_blanks(spark):
-    names = ["港口中央站", "新山腳中央站", "中央站前廣場", "河濱大學", "ABCD Mall"]
-    stations = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "station_uid string, station_name string")
-    queries = spark.createDataFrame([(1, "中央站"), (2, "  "), (3, "abcd"), (4, "站"), (5, "nothing"), (6, " 中央站 ")], "q int, query string")
+def test_only_current_placed_stations_with_a_status_are_shown(spark):
+    r = random.Random(4)
+    known = [(f"k{i}", f"n{i}", r.choice([None, 1.0]), r.choice([None, 2.0, 2.0]), r.random() < 0.7) for i in range(60)]
+    status = [(f"k{i}", 1, 2, r.choice([None, 0, 1, 2]), AT) for i in range(0, 80, 2)]
+    got = snapshot(spark.createDataFrame(known, "station_uid string, station_name string, lat double, lng double, is_current boolean"),
+                   spark.createDataFrame(status, "station_uid string, bikes_available long, docks_available long, service_status long, source_updated_at timestamp")).collect()
+    seen = {s[0]: s[3] == 1 for s in status}
+    assert {x["station_uid"]: x["is_in_service"] for x in got} == {k[0]: seen[k[0]] for k in known if k[4] and k[2] and k[3] and k[0] in seen}
+    assert all(x["forecast_for"] is None for x in got)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 50])
+def test_search_equals_a_scan_of_all_names(spark, limit):
+    r = random.Random(6)
+    names = [(f"{i:03}", "".join(r.choice("abAB 公園") for _ in range(r.randrange(1, 9)))) for i in range(120)]
+    asked = [(i, r.choice(["", " "]) + "".join(r.choice("abA公園") for _ in range(r.randrange(4))) + r.choice(["", "  "])) for i in range(25)]
+    want = {}
+    for q, text in asked:
+        key = text.strip().lower()
+        hits = sorted((n.lower().find(key), len(n), uid) for uid, n in names if key and key in n.lower())
+        if hits:
+            want[q] = [uid for *_, uid in hits[:limit]]
+    found = match_stations(spark.createDataFrame(asked, "q int, query string"),
+                           spark.createDataFrame(names, "station_uid string, station_name string"), limit=limit)
     got = {}
-    for r in match_stations(queries, stations).orderBy("q", "match_rank").collect():
-        got.setdefault(r["q"], []).append(r["station_name"])
-    assert got == {1: ["中央站前廣場", "港口中央站", "新山腳中央站"], 3: ["ABCD Mall"], 4: ["中央站前廣場", "港口中央站", "新山腳中央站"],
-                   6: ["中央站前廣場", "港口中央站", "新山腳中央站"]}
-    assert match_stations(queries.where("q = 4"), stations, limit=2).count() == 2
-
-
-def test_place_labels(spark):
-    places = spark.createDataFrame([
-        ("河濱大學", "河濱大學, 花園路, 北山區, 港口市, 123, 某國"), ("", "花園路100號, 北山區, 港口市"), (None, None)], "name string, display_name string")
-    got = [(r["name"], r["detail"]) for r in clean_places(places, "某國", "unnamed").collect()]
-    assert got == [("河濱大學", "花園路・北山區・港口市"), ("花園路100號", "北山區・港口市"), ("unnamed", "")]
-
-
-def test_routes(spark):
-    body = json.dumps({"code": "Ok", "routes": [{"duration": 600, "distance": 2500, "geometry": {"coordinates": [[10.65, 35.15], [10.66, 35.16]]}}]})
-    replies = spark.createDataFrame([("ride", 35.15, 10.65, 35.16, 10.66, b) for b in (body, '{"code":"NoRoute"}', '{"code":"Ok","routes":[]}')],
-                                    "profile string, from_lat double, from_lng double, to_lat double, to_lng double, body string")
-    leg = parse_routes(replies).collect()
-    assert len(leg) == 1 and leg[0]["minutes"] == 10 and leg[0]["meters"] == 2500
-    assert leg[0]["path"] == [[35.15, 10.65], [35.16, 10.66]]
+    for row in found.orderBy("q", "match_rank").collect():
+        got.setdefault(row["q"], []).append(row["station_uid"])
+    assert got == want
+
+
+def test_place_labels_and_coordinates(spark):
+    r = random.Random(7)
+    places = []
+    for _ in range(40):
+        parts = [r.choice(["Ufer", "Tor 3", "80331", "Land", "Nord", ""]) for _ in range(r.randrange(6))]
+        places.append((r.choice([None, "", "Ufer", "Hof"]), r.choice([None, ", ".join(parts), ",".join(parts)]), str(r.uniform(-90, 90)), r.choice(["7.5", "east", None])))
+    got = clean_places(spark.createDataFrame(places, "name string, display_name string, lat string, lon string"), "Land", "?", "/").collect()
+    for row, (name, shown, lat, lon) in zip(got, places):
+        parts = [p.strip() for p in (shown or "").split(",") if p.strip()]
+        short = name or (parts[0] if parts else "?")
+        detail = [p for p in parts if p not in (short, "Land") and not p.isdigit()][:3]
+        assert (row["name"], row["detail"], row["lat"], row["lon"]) == (short, "/".join(detail), float(lat), 7.5 if lon == "7.5" else None)
+
+
+def test_routes_turn_pairs_around_and_drop_failures(spark):
+    r = random.Random(8)
+    replies, want = [], {}
+    for i in range(20):
+        line = [[r.uniform(5, 15), r.uniform(45, 55)] for _ in range(r.randrange(2, 6))]
+        body = {"code": r.choice(["Ok", "Ok", "NoRoute"]), "routes": r.choice([[], [{"duration": 30.0 * i, "distance": 10.0 * i, "geometry": {"coordinates": line}}]])}
+        replies.append((f"p{i}", 50.0, 10.0, 50.1, 10.1, json.dumps(body)))
+        if body["code"] == "Ok" and body["routes"]:
+            want[f"p{i}"] = (i / 2, 10.0 * i, [[b, a] for a, b in line])
+    replies.append(("broken", 50.0, 10.0, 50.1, 10.1, "{"))
+    legs = parse_routes(spark.createDataFrame(replies, "profile string, from_lat double, from_lng double, to_lat double, to_lng double, body string")).collect()
+    assert {x["profile"]: (x["minutes"], x["meters"], x["path"]) for x in legs} == want

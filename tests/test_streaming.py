@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kerbflow.operators.transitions import status_events_batch
 from kerbflow.streaming import jobs
-from kerbflow.streaming.progress import ProgressTable
+from kerbflow.streaming.progress import ProgressLog, read_samples
 from kerbflow.streaming.stateful import status_events
 from tests.conftest import T0
 from tests.test_transitions import ARRIVAL, dedupe, random_rows, seen
@@ -36,15 +36,15 @@ class Feed:
     def windows(self):
         table = jobs.window_table(self.spark, str(self.root / "stats"))
         jobs.start_sink(jobs.window_stats(jobs.dedupe_stream(self.observations())), "window_stats",
-                        jobs.upsert_sink(table, str(self.root / "staging")), str(self.root / "cp"), None).awaitTermination()
+                        jobs.upsert_sink(table), str(self.root / "cp"), None).awaitTermination()
         return {(r["station_uid"], int((r["window_start"] - T0).total_seconds() // 60)): r for r in table.read().collect()}
 
     def events(self, kind):
         table = jobs.event_table(self.spark, str(self.root / "events"))
         if kind == "stateful":
-            df, sink = status_events(self.observations()), jobs.insert_sink(table, str(self.root / "staging_e"))
+            df, sink = status_events(self.observations()), jobs.insert_sink(table)
         else:
-            df, sink = self.observations(), jobs.status_sink(table, str(self.root / "state"), str(self.root / "staging_e"))
+            df, sink = self.observations(), jobs.status_sink(table, str(self.root / "state"))
         jobs.start_sink(df, "status_events", sink, str(self.root / "cp"), None).awaitTermination()
         return seen(table.read())
 
@@ -84,7 +84,7 @@ def test_stream_equals_batch_and_survives_restarts(feed, observations, kind):
 
 def test_replayed_batch_changes_no_table(spark, feed, observations, tmp_path):
     table = jobs.event_table(spark, str(tmp_path / "e"))
-    sink = jobs.status_sink(table, str(tmp_path / "s"), str(tmp_path / "st"))
+    sink = jobs.status_sink(table, str(tmp_path / "s"))
     batch = observations([("A", 0, 0, 5, 1), ("A", 3, 2, 3, 1)])
     sink(batch, 0)
     once = seen(table.read())
@@ -98,19 +98,18 @@ def test_both_queries_from_one_source_and_progress(spark, feed):
     feed.send(message("A", 1, 0, 10), message("B", 2, 5, 5))
     feed.send(message("A", 90, 3, 7))
     feed.send(message("A", 91, 3, 7))
-    progress = ProgressTable()
-    spark.streams.addListener(progress)
+    log = ProgressLog(spark, str(feed.root / "progress"))
+    spark.streams.addListener(log)
     try:
-        jobs.wait_all(jobs.run_stream(spark, feed.observations(), str(feed.root / "job"), trigger_seconds=None))
-        for _ in range(50):  # listeners are called a little later
-            samples = progress.samples(spark)
-            read = samples.where("metric = 'input_rows'").groupBy("series").agg(F.sum("value").alias("n"))
-            if {r["series"]: r["n"] for r in read.collect()} == {"window_stats": 4.0, "status_events": 4.0}:
-                break
-        else:
-            pytest.fail("progress of both queries is incomplete")
+        queries = jobs.run_stream(spark, feed.observations(), str(feed.root / "job"), trigger_seconds=None)
+        jobs.wait_all(queries)
+        for query in queries:
+            log.wait_for(query)
     finally:
-        spark.streams.removeListener(progress)
+        spark.streams.removeListener(log)
+    samples = read_samples(spark, str(feed.root / "progress"))
+    read = samples.where("metric = 'input_rows'").groupBy("series").agg(F.sum("value").alias("n"))
+    assert {r["series"]: r["n"] for r in read.collect()} == {"window_stats": 4.0, "status_events": 4.0}
     assert jobs.window_table(spark, str(feed.root / "job/window_stats")).read().count() == 2
     assert jobs.event_table(spark, str(feed.root / "job/status_events")).read().count() == 2
     assert {"batch_duration_seconds", "watermark_timestamp"} <= {r["metric"] for r in samples.collect()}

@@ -193,6 +193,3 @@ def d18_recent(spark, sf):
 @query("d19_persistence_forecast", "SELECT * FROM forecasts")
 def d19(spark, sf):
     return v.forecasts(spark, sf)
-
-
-__all__ = ["sql_bucket"]

@@ -13,7 +13,7 @@ from kerbflow.plans import dashboards as dash
 from kerbflow.schemas import STATUS_EVENT
 from kerbflow.session import prepare, scratch_dir, store
 from kerbflow.streaming import jobs
-from kerbflow.streaming.progress import ProgressTable
+from kerbflow.streaming.progress import ProgressLog, read_samples
 from kerbflow.streaming.stateful import status_events as stateful_events
 from workload import views as v
 from workload.registry import query
@@ -51,7 +51,7 @@ def e3_stream(spark, sf):
     root = scratch_dir(spark, "stream")
     table = jobs.window_table(spark, f"{root}/stats")
     stats = jobs.window_stats(jobs.dedupe_stream(stream_obs(spark, sf)))
-    jobs.start_sink(stats, "window_stats", jobs.upsert_sink(table, f"{root}/staging"), f"{root}/cp", None).awaitTermination()
+    jobs.start_sink(stats, "window_stats", jobs.upsert_sink(table), f"{root}/cp", None).awaitTermination()
     return table.read().drop("updated_at")
 
 
@@ -78,7 +78,7 @@ def e5(spark, sf):
     root = scratch_dir(spark, "stream")
     table = jobs.event_table(spark, f"{root}/events")
     found = stateful_events(stream_obs(spark, sf))
-    jobs.start_sink(found, "status_events", jobs.insert_sink(table, f"{root}/staging"), f"{root}/cp", None).awaitTermination()
+    jobs.start_sink(found, "status_events", jobs.insert_sink(table), f"{root}/cp", None).awaitTermination()
     return table.read().drop("detected_at")
 
 
@@ -87,7 +87,7 @@ def e5_tables(spark, sf):
     """The detector as a micro-batch step over state tables."""
     root = scratch_dir(spark, "stream")
     table = jobs.event_table(spark, f"{root}/events")
-    sink = jobs.status_sink(table, f"{root}/state", f"{root}/staging")
+    sink = jobs.status_sink(table, f"{root}/state")
     jobs.start_sink(stream_obs(spark, sf), "status_events", sink, f"{root}/cp", None).awaitTermination()
     return table.read().drop("detected_at")
 
@@ -143,23 +143,25 @@ def e9(spark, sf):
         windows.read().agg(F.count(F.lit(1)).alias("n")).withColumn("result", F.lit("windows")))
 
 
-@query("e10_stream_progress")
+@query("e10_stream_progress", """
+    SELECT 'window_stats' AS series, CAST(count(*) AS DOUBLE) AS input_rows, epoch(max(ts)) AS max_event_timestamp,
+           epoch(max(ts)) - 600 AS watermark_timestamp FROM events""")
 def e10(spark, sf):
-    """Progress samples of a stream over the events: rows read, durations, event time and watermark."""
+    """Reports of a stream over the events: rows read in all, greatest event time and watermark."""
     root = scratch_dir(spark, "stream")
-    progress = ProgressTable()
-    spark.streams.addListener(progress)
+    log = ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
     try:
         table = jobs.window_table(spark, f"{root}/stats")
         stats = jobs.window_stats(jobs.dedupe_stream(stream_obs(spark, sf)))
-        jobs.start_sink(stats, "window_stats", jobs.upsert_sink(table, f"{root}/staging"), f"{root}/cp", None).awaitTermination()
-        progress.flush(spark, f"{root}/progress")
+        query = jobs.start_sink(stats, "window_stats", jobs.upsert_sink(table), f"{root}/cp", None)
+        query.awaitTermination()
+        log.wait_for(query)
     finally:
-        spark.streams.removeListener(progress)
-    try:
-        return spark.read.parquet(f"{root}/progress").groupBy("metric", "series").agg(F.max("value").alias("value"))
-    except Exception:  # the listener had not been called yet
-        return progress.samples(spark).groupBy("metric", "series").agg(F.max("value").alias("value"))
+        spark.streams.removeListener(log)
+    samples = read_samples(spark, f"{root}/progress")
+    of = lambda agg, metric: agg(F.when(F.col("metric") == metric, F.col("value"))).alias(metric)
+    return samples.groupBy("series").agg(of(F.sum, "input_rows"), of(F.max, "max_event_timestamp"), of(F.max, "watermark_timestamp"))
 
 
 @query("i10_stream_latency")
@@ -168,7 +170,7 @@ def i10_stream(spark, sf):
     from kerbflow.operators.monitor import event_latency
     root = scratch_dir(spark, "stream")
     table = jobs.event_table(spark, f"{root}/events")
-    sink = jobs.status_sink(table, f"{root}/state", f"{root}/staging")
+    sink = jobs.status_sink(table, f"{root}/state")
     jobs.start_sink(stream_obs(spark, sf), "status_events", sink, f"{root}/cp", None).awaitTermination()
     return event_latency(table.read(), "changed_at", "detected_at", ["status"], exact=False)
 
@@ -254,5 +256,3 @@ def i10(spark, sf):
     written = events.withColumn("detected_at", F.col("changed_at") + F.make_interval(mins=F.floor(delay / 60).cast("int"), secs=(delay % 60).cast("decimal(18,6)")))
     return event_latency(written, "changed_at", "detected_at", ["status"])
 
-
-__all__ = ["STATUS_EVENT", "timedelta"]

@@ -128,7 +128,7 @@ def a8_stored(spark, sf):
     root = scratch_dir(spark, "table")
     table = KeyedTable(spark, f"{root}/t", early.schema, ["station_uid"])
     for i, batch in enumerate([early, late, late]):
-        table.upsert(batch, f"{root}/staging/{i}", order=["source_updated_at"])
+        table.upsert(batch, order=["source_updated_at"])
     return table.read()
 
 
@@ -219,7 +219,7 @@ def a11_stored(spark, sf):
     for i in range(3):
         lo, hi = bounds[i] - timedelta(days=1), bounds[i + 1]
         batch = raw.where((at >= lit_like(raw, "ingested_at", lo)) & (at < lit_like(raw, "ingested_at", hi)))
-        table.insert_new(batch, f"{root}/staging/{i}", order=["ingested_at"])
+        table.insert_new(batch, order=["ingested_at"])
     return table.read().groupBy(F.to_date("source_updated_at").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("newest"))
 
@@ -299,8 +299,8 @@ def b9_table(spark, sf):
     root = scratch_dir(spark, "stations")
     table = station_table(spark, f"{root}/t")
     stations = v.stations(spark, sf)
-    table.upsert(station_rows(stations.withColumn("station_name", F.lit("old")), "Customer#"), f"{root}/staging/0")
-    table.upsert(station_rows(stations, "Customer#"), f"{root}/staging/1")
+    table.upsert(station_rows(stations.withColumn("station_name", F.lit("old")), "Customer#"))
+    table.upsert(station_rows(stations, "Customer#"))
     return table.read().drop("updated_at")
 
 

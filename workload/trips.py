@@ -370,6 +370,3 @@ def f21(spark, sf):
                        F.col("dest_lat").alias("to_lat"), F.col("dest_lng").alias("to_lng"), body.alias("body"))
     return parse_routes(replies).select("profile", "from_key", "to_key", "minutes", "meters",
                                         F.col("path")[0][0].alias("first_lat"), F.col("path")[1][1].alias("last_lng"))
-
-
-__all__ = ["datetime"]

@@ -16,7 +16,7 @@ from kerbflow.plans.features import station_features
 from kerbflow.plans.forecast import persistence_forecast
 from kerbflow.plans.marts import fact_availability
 from kerbflow.plans.serving import latest_availability, pending_forecast, snapshot
-from kerbflow.session import prepare, spread
+from kerbflow.session import prepare
 from kerbflow.streaming.jobs import window_stats
 
 TZ = "Asia/Taipei"
@@ -131,7 +131,7 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
 
     def spot(base: float, factor: int):
         return F.lit(base) + (key * factor % 997).cast("double") / F.lit(2000.0)
-    return spread(table(spark, sf, "orders").select("o_orderkey")).select(
+    return table(spark, sf, "orders").select("o_orderkey").repartition(spark.sparkContext.defaultParallelism).select(
         key.alias("trip_id"), spot(24.0, 53).alias("origin_lat"), spot(120.5, 71).alias("origin_lng"),
         spot(24.0, 29).alias("dest_lat"), spot(120.5, 83).alias("dest_lng"))
 
