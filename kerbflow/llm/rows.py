@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 #: ASCII: upper case becomes lower, what is no letter or digit becomes a space; bytes of longer UTF-8 sequences stay.
 FOLD_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
