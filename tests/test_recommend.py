@@ -1,121 +1,148 @@
 import math
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from kerbflow.functions.geo import haversine, point_key
+from kerbflow.functions.geo import point_key
 from kerbflow.functions.status import availability_level
 from kerbflow.operators import recommend as rec
 from kerbflow.operators.knn import knn
 
 STATION = ("station_uid string, station_name string, lat double, lng double, bikes_available long, docks_available long, "
            "is_in_service boolean, forecast_for timestamp, predicted_bikes_available double")
-ORIGIN, DEST = (35.15, 10.65), (35.17, 10.65)
-
-
-@pytest.fixture
-def city(spark):
-    """Stations south to north on one meridian: (id, latitude offset, bikes, docks, in service, minutes ahead, forecast)."""
-    def make(*rows):
-        data = [(r[0], r[0], 35.15 + r[1], 10.65, r[2], r[3], r[4] if len(r) > 4 else True) for r in rows]
-        base = spark.createDataFrame(data, STATION.split(", forecast")[0])
-        ahead = {r[0]: (r[5], r[6]) for r in rows if len(r) > 6}
-        due = spark.createDataFrame([(k, m, float(b)) for k, (m, b) in ahead.items()], "station_uid string, m int, predicted_bikes_available double")
-        return base.join(due, "station_uid", "left").withColumn(
-            "forecast_for", now() + F.make_interval(mins="m")).drop("m")
-    return make
-
-
-@pytest.fixture
-def trip(spark):
-    return spark.createDataFrame([(1, *ORIGIN, *DEST)], "trip_id long, origin_lat double, origin_lng double, dest_lat double, dest_lng double")
+NOW = datetime(2031, 4, 9, 7, 45)
 
 
 def now():
-    return F.lit("2027-03-01 12:00:00").cast("timestamp")
-
-
-def options(trip, stations, legs=None):
-    return rec.recommend(trip, stations, now(), legs).orderBy("option_rank").collect()
-
-
-def test_hundredth_of_a_degree_is_about_1112_metres(spark):
-    m = spark.range(1).select(haversine(F.lit(35.15), F.lit(10.65), F.lit(35.16), F.lit(10.65))).first()[0]
-    assert abs(m - 1112) < 5
-
-
-@pytest.mark.parametrize("minutes,bikes,ahead,forecast,expected", [
-    (30, (7, 3), None, None, (7, False)), (0, (10, 10), 60, 4, (10, False)), (30, (10, 10), 60, 4, (7, True)),
-    (60, (10, 10), 60, 4, (4, True)), (90, (10, 10), 60, 4, (4, True)), (60, (2, 8), 60, 15, (10, True)),
-    (30, (10, 10), -1, 0, (10, False))])
-def test_estimate(spark, minutes, bikes, ahead, forecast, expected):
-    row = spark.createDataFrame([(*bikes, ahead, None if forecast is None else float(forecast), float(minutes))], "b long, d long, a int, f double, m double")
+    return F.lit(NOW.isoformat(sep=" ")).cast("timestamp")
+
+
+def metres(a, b):
+    h = math.sin(math.radians(b[0] - a[0]) / 2) ** 2 + math.cos(math.radians(a[0])) * math.cos(math.radians(b[0])) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+    return 2 * 6371000 * math.asin(min(1, math.sqrt(h)))
+
+
+def town(seed, n=40):
+    """Stations strewn over some kilometres; some closed, empty or full, some with forecasts due, overdue or halved."""
+    r, out = random.Random(seed), []
+    for i in range(n):
+        ahead = r.choice([None, None, -20, 5, 25, 90])
+        out.append((f"q{i:02}", f"name {i}", -33.4 + r.uniform(-.02, .02), -70.6 + r.uniform(-.02, .02), r.choice([0, 1, 2, 9, 20]), r.choice([0, 1, 2, 9, 20]),
+                    r.random() < 0.85, None if ahead is None else NOW + timedelta(minutes=ahead), None if ahead is None else r.uniform(-3, 40)))
+    return out
+
+
+def journeys(seed, n=25):
+    r = random.Random(seed)
+    spot = lambda: (-33.4 + r.uniform(-.025, .025), -70.6 + r.uniform(-.025, .025))
+    return [(i, *spot(), *spot()) for i in range(n)]
+
+
+def expected_bikes(station, minutes):
+    bikes, docks, due, value = station[4], station[5], station[7], station[8]
+    if due is None or value is None or due <= NOW:
+        return float(bikes)
+    share = min(1.0, max(0.0, minutes / ((due - NOW).total_seconds() / 60)))
+    return min(max(bikes + (value - bikes) * share, 0.0), float(bikes + docks))
+
+
+def known_legs(seed, trips, stations):
+    """Looked-up times for some legs, in one direction only, some twice."""
+    r, legs = random.Random(seed), []
+    for trip in trips:
+        for s in r.sample(stations, 12):
+            a, b = r.choice([(trip[1:3], s[2:4]), (s[2:4], trip[3:5]), (s[2:4], r.choice(stations)[2:4])])
+            legs += [(r.choice(["walk", "ride"]), *a, *b, r.uniform(1, 30), r.uniform(50, 5000))] * r.choice([1, 1, 2])
+    return legs
+
+
+def leg_key(a, b):
+    return tuple(round(x, 5) for x in (*a, *b))
+
+
+def ranked(trip, stations, legs):
+    """The options of a trip, best first, by going through all pairs of the six nearest stations of both ends."""
+    times = {}
+    for profile, *points, minutes, length in legs:
+        key = (profile, leg_key(points[:2], points[2:]))
+        times[key] = min(times.get(key, (minutes, length)), (minutes, length))
+    o, d = trip[1:3], trip[3:5]
+    near = lambda p: sorted((s for s in stations if s[6]), key=lambda s: (round(metres(p, s[2:4]), 3), s[0]))[:6]
+
+    def minutes(profile, a, b):
+        return times[profile, leg_key(a, b)][0] if (profile, leg_key(a, b)) in times else metres(a, b) * 1.3 / (75 if profile == "walk" else 250)
+    found = []
+    for i, rent in enumerate(near(o)):
+        first = minutes("walk", o, rent[2:4])
+        bikes = expected_bikes(rent, first)
+        for j, back in enumerate(near(d)):
+            ride = minutes("ride", rent[2:4], back[2:4])
+            docks = back[4] + back[5] - expected_bikes(back, first + ride)
+            if rent is back or bikes < 1 or docks < 1:
+                continue
+            score = first + ride + minutes("walk", back[2:4], d) + 4 * (bikes < 3) + 4 * (docks < 3)
+            found.append((math.floor(score * 1000 + .5), i, j, rent[0], back[0], round(score, 6)))
+    return [(x[3], x[4], x[5]) for x in sorted(found)[:3]]
+
+
+@pytest.mark.parametrize("seed,legs", [(1, False), (2, True), (3, True)])
+def test_options_equal_a_walk_through_all_pairs(spark, seed, legs):
+    stations, trips = town(seed), journeys(seed + 50)
+    looked_up = known_legs(seed, trips, stations) if legs else []
+    table = spark.createDataFrame(looked_up, "profile string, a double, b double, c double, d double, minutes double, meters double").select(
+        "profile", point_key(F.col("a"), F.col("b")).alias("from_key"), point_key(F.col("c"), F.col("d")).alias("to_key"), "minutes", "meters") if legs else None
+    frame = spark.createDataFrame(trips, "trip_id long, origin_lat double, origin_lng double, dest_lat double, dest_lng double")
+    options = rec.recommend(frame, spark.createDataFrame(stations, STATION), now(), table)
+    got = {}
+    for r in options.orderBy("trip_id", "option_rank").collect():
+        got.setdefault(r["trip_id"], []).append((r["rent_uid"], r["return_uid"], round(r["score"], 6)))
+    assert got == {t[0]: ranked(t, stations, looked_up) for t in trips if ranked(t, stations, looked_up)}
+    open_legs = rec.missing_legs(options).collect()
+    asked = {}
+    for r in open_legs:
+        asked.setdefault(r["trip_id"], []).append(r)
+    for mine in asked.values():
+        assert sorted(r["request"] for r in mine) == list(range(1, len(mine) + 1))
+        assert len({(r["profile"], r["from_key"], r["to_key"]) for r in mine}) == len(mine)
+        first = min(mine, key=lambda r: r["request"])
+        assert all((first["option_rank"], first["priority"]) <= (r["option_rank"], r["priority"]) for r in mine)
+    exact = {r["trip_id"] for r in rec.leg_status(options).where("routing = 'exact'").collect()}
+    assert exact == set(got) - set(asked)
+    assert rec.missing_legs(options, cap=2).count() == sum(min(2, len(m)) for m in asked.values())
+
+
+def test_estimates_stay_in_range_and_move_one_way(spark):
+    """Over a grid of stations, forecasts and times: within the docks, and from today's count towards the forecast."""
+    r = random.Random(9)
+    rows = [(b, d, a, f, float(m)) for b in (0, 4, 11) for d in (0, 3, 8) for a in (None, -5, 1, 45) for f in (None, -2.5, 3.5, 60.0) for m in (0, 7, 45, 300)]
+    r.shuffle(rows)
     due = now() + F.make_interval(mins="a")
     value, moved = rec.estimate_bikes(F.col("b"), F.col("d"), due, F.col("f"), F.col("m"), now())
-    assert tuple(row.select(value, moved).first()) == expected
-
-
-def test_nearest_with_bikes_and_docks_win(trip, city):
-    best = options(trip, city(("near-o", .001, 8, 8), ("far-o", .004, 8, 8), ("near-d", .019, 8, 8), ("far-d", .015, 8, 8)))[0]
-    assert (best["rent_uid"], best["return_uid"], best["few_bikes"]) == ("near-o", "near-d", False)
-    assert 10 < best["total_minutes"] < 25
-
-
-def test_empty_and_closed_stations_are_left_out(trip, city):
-    got = options(trip, city(("empty", .001, 0, 16), ("closed", .0015, 8, 8, False), ("bikes", .003, 6, 10), ("dest", .019, 8, 8)))
-    assert got[0]["rent_uid"] == "bikes"
-    assert not {"closed"} & {o["rent_uid"] for o in got} | {"closed"} & {o["return_uid"] for o in got}
-    assert all(o["rent_uid"] != "empty" for o in got)
-
-
-def test_station_that_fills_up_on_the_way_is_left_out(trip, city):
-    got = options(trip, city(("origin", .001, 8, 8), ("filling", .02, 15, 5, True, 10, 20), ("other", .017, 8, 8)))
-    assert got[0]["return_uid"] == "other" and all(o["return_uid"] != "filling" for o in got)
-
-
-def test_few_bikes_rank_behind(trip, city):
-    got = options(trip, city(("one", .001, 1, 15), ("plenty", .002, 9, 7), ("dest", .019, 8, 8)))
-    assert got[0]["rent_uid"] == "plenty"
-    assert [o["few_bikes"] for o in got if o["rent_uid"] == "one"][0]
-
-
-def test_no_option_still_gives_the_walk(trip, city):
-    none = rec.recommend(trip, city(("e1", .001, 0, 16), ("e2", .019, 0, 16)), now())
-    assert none.count() == 0
-    walk = rec.walk_only(trip, none).first()
-    assert walk["walk_only_minutes"] > 30 and walk["walking_is_as_fast"] is False
-
-
-def test_known_legs_change_the_ranking_and_have_a_direction(spark, trip, city):
-    stations = city(("near", .001, 8, 8), ("far", .003, 8, 8), ("end", .019, 8, 8))
-    assert options(trip, stations)[0]["rent_uid"] == "near"
-
-    def leg(profile, a, b, minutes):
-        return spark.createDataFrame([(profile, *a, *b, float(minutes), 500.0)], "profile string, a double, b double, c double, d double, minutes double, meters double").select(
-            "profile", point_key(F.col("a"), F.col("b")).alias("from_key"), point_key(F.col("c"), F.col("d")).alias("to_key"), "minutes", "meters")
-    detour = leg("walk", ORIGIN, (35.151, 10.65), 15)
-    ride = leg("ride", (35.153, 10.65), (35.169, 10.65), 5)
-    back = leg("walk", (35.151, 10.65), ORIGIN, 1)
-    got = rec.recommend(trip, stations, now(), detour.union(ride).union(back))
-    best = got.where("option_rank = 1").first()
-    assert (best["rent_uid"], best["ride"], best["ride_meters"], best["ride_known"]) == ("far", 5.0, 500.0, True)
-    assert rec.leg_status(got).first()["routing"] == "partial"
-    todo = rec.missing_legs(got).orderBy("request").collect()
-    assert [t["leg"] for t in todo][:2] == ["walk_to_rent", "walk_from_return"]  # the ride is known
-    assert [t["request"] for t in todo] == list(range(1, len(todo) + 1)) and len(todo) <= 12
-
-
-def test_unknown_legs_come_ride_first(trip, city):
-    got = rec.recommend(trip, city(("rent", .001, 8, 8), ("ret", .019, 8, 8)), now()).where("option_rank = 1")
-    assert [r["leg"] for r in rec.missing_legs(got).orderBy("request").collect()] == ["ride", "walk_to_rent", "walk_from_return"]
+    by_case = {}
+    for x in spark.createDataFrame(rows, "b long, d long, a int, f double, m double").select("*", value.alias("v"), moved.alias("x")).collect():
+        assert 0 <= x["v"] <= x["b"] + x["d"]
+        assert x["x"] == (x["a"] is not None and x["a"] > 0 and x["f"] is not None and x["m"] > 0)
+        assert x["x"] or x["v"] == x["b"]
+        by_case.setdefault((x["b"], x["d"], x["a"], x["f"]), []).append((x["m"], x["v"]))
+    for case, line in by_case.items():
+        values = [v for _, v in sorted(line)]
+        assert values in (sorted(values), sorted(values, reverse=True)) and values[0] == case[0]
+
+
+def test_trips_without_an_option_still_give_the_walk(spark):
+    trips = spark.createDataFrame(journeys(4, 6), "trip_id long, origin_lat double, origin_lng double, dest_lat double, dest_lng double")
+    closed = spark.createDataFrame([(*s[:6], False, *s[7:]) for s in town(4)], STATION)
+    none = rec.recommend(trips, closed, now())
+    walks = {r["trip_id"]: r for r in rec.walk_only(trips, none).collect()}
+    assert none.count() == 0 and len(walks) == 6 and not any(w["walking_is_as_fast"] for w in walks.values())
+    for t in journeys(4, 6):
+        assert walks[t[0]]["walk_only_minutes"] == pytest.approx(metres(t[1:3], t[3:5]) * 1.3 / 75)
 
 
 def brute(points, stations, k):
-    def far(a, b):
-        h = math.sin(math.radians(b[0] - a[0]) / 2) ** 2 + math.cos(math.radians(a[0])) * math.cos(math.radians(b[0])) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
-        return round(2 * 6371000 * math.asin(min(1, math.sqrt(h))), 3)
-    return {p[0]: [s for _, s in sorted((far(p[1:], s[1:]), s[0]) for s in stations)[:k]] for p in points}
+    return {p[0]: [s for _, s in sorted((round(metres(p[1:], s[1:]), 3), s[0]) for s in stations)[:k]] for p in points}
 
 
 @pytest.mark.parametrize("side", [None, 50.0, 5000.0])
@@ -138,12 +165,17 @@ def test_knn_with_fewer_stations_than_k(spark):
     assert [n["station_uid"] for n in got["neighbours"]] == ["a", "b"]
 
 
-def test_point_labels_levels_and_area(spark, city):
-    stations = city(("a", 0, 8, 8), ("b", .01, 8, 8))
-    points = spark.createDataFrame([(1, 35.1501, 10.65), (2, 35.152, 10.65), (3, 35.5, 10.65)], "id int, lat double, lng double")
-    got = {r["id"]: (r["label"], r["out_of_area"]) for r in rec.describe_points(points, stations).collect()}
-    assert got == {1: ("a", False), 2: ("near a", False), 3: ("near b", True)}
-    area = rec.service_area(stations).first()
-    assert area["south"] == pytest.approx(35.15 - .0008) and area["north"] == pytest.approx(35.16 + .0008)
-    levels = spark.createDataFrame([(False, 9), (True, 0), (True, 2), (True, 3)], "o boolean, n int")
-    assert [r[0] for r in levels.select(availability_level(F.col("o"), F.col("n"))).collect()] == ["closed", "none", "low", "ok"]
+def test_point_labels_levels_and_area(spark):
+    stations = town(5, 12)
+    points = [(i, *s[2:4]) for i, s in enumerate(stations)] + [(100 + i, s[2] + 0.001, s[3]) for i, s in enumerate(stations)] + [(999, -30.0, -70.0)]
+    got = rec.describe_points(spark.createDataFrame(points, "id int, lat double, lng double"), spark.createDataFrame(stations, STATION)).collect()
+    for r in got:
+        far, uid = min((round(metres((r["lat"], r["lng"]), s[2:4]), 3), s[0]) for s in stations)
+        name = next(s[1] for s in stations if s[0] == uid)
+        assert (r["station_uid"], r["label"], r["out_of_area"]) == (uid, name if far < 60 else f"near {name}", far > 3000)
+    area = rec.service_area(spark.createDataFrame(stations, STATION)).first()
+    lats, lngs = [s[2] for s in stations], [s[3] for s in stations]
+    assert area["south"] == pytest.approx(min(lats) - .08 * (max(lats) - min(lats))) and area["east"] == pytest.approx(max(lngs) + .08 * (max(lngs) - min(lngs)))
+    levels = spark.createDataFrame([(o, n) for o in (True, False) for n in range(6)], "o boolean, n int")
+    shown = levels.select("o", "n", availability_level(F.col("o"), F.col("n")).alias("x")).collect()
+    assert all(r["x"] == ("closed" if not r["o"] else "none" if r["n"] == 0 else "low" if r["n"] < 3 else "ok") for r in shown)

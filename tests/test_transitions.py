@@ -1,6 +1,5 @@
 import random
 
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,50 +34,32 @@ def by_hand(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("bikes,docks,status,expected", [
-    (3, 10, 1, "normal"), (0, 13, 1, "empty"), (13, 0, 1, "full"), (0, 0, 0, "out_of_service"), (5, 5, None, "out_of_service")])
-def test_classify(spark, bikes, docks, status, expected):
-    row = spark.createDataFrame([(bikes, docks, status)], "b int, d int, s int")
-    assert row.select(classify(F.col("b"), F.col("d"), F.col("s"))).first()[0] == expected
-
-
-def test_first_sight_counts_only_when_not_normal(observations):
-    events = status_events_batch(observations([("A", 0, 5, 5, 1), ("B", 0, 0, 10, 1)]), ARRIVAL)
-    assert seen(events) == [("B", 0, "empty", None, None)]
-
-
-def test_one_event_per_change_with_duration(observations):
-    rows = [("A", 0, 2, 8, 1), ("A", 1, 0, 10, 1), ("A", 2, 0, 10, 1), ("A", 3, 0, 10, 1), ("A", 4, 1, 9, 1)]
-    assert seen(status_events_batch(observations(rows), ARRIVAL)) == [
-        ("A", 1, "empty", "normal", 60), ("A", 4, "normal", "empty", 180)]
-
+def test_status_of_every_small_count(spark):
+    """Over all counts up to three and all codes: what the row loop below takes as its rule."""
+    codes = [None, -1, 0, 1, 2, 7]
+    rows = [(b, d, c) for b in range(4) for d in range(4) for c in codes]
+    got = spark.createDataFrame(rows, "b int, d int, s int").select("*", classify(F.col("b"), F.col("d"), F.col("s")).alias("x")).collect()
+    for r in got:
+        want = [status for _, _, status, *_ in by_hand([("z", 0, r["b"], r["d"], r["s"])])] or ["normal"]
+        assert r["x"] == want[0]
 
-def test_unordered_input_and_copies(observations):
-    rows = [("A", 2, 3, 7, 1), ("A", 1, 0, 10, 1), ("A", 0, 3, 7, 1), ("A", 1, 0, 10, 1)]
-    assert seen(status_events_batch(observations(rows), ARRIVAL)) == [
-        ("A", 1, "empty", "normal", 60), ("A", 2, "normal", "empty", 60)]
 
-
-def test_state_carries_across_batches(spark, observations):
-    empty = spark.createDataFrame([], STATE_TABLE)
-    first, state = advance_status(empty, observations([("A", 0, 0, 10, 1)]), ARRIVAL)
-    assert seen(first) == [("A", 0, "empty", None, None)]
-    again, state = advance_status(store(state, "state"), observations([("A", 1, 0, 10, 1)]), ARRIVAL)
-    state = store(state, "state")
-    assert seen(again) == []
-    row = state.first()
-    assert row["last_seen_us"] - row["since_us"] == 60_000_000
-    third, _ = advance_status(state, observations([("A", 5, 10, 0, 1)]), ARRIVAL)
-    assert seen(third) == [("A", 5, "full", "empty", 300)]
-
-
-def test_old_and_repeated_rows_change_nothing(spark, observations):
-    empty = spark.createDataFrame([], STATE_TABLE)
-    _, state = advance_status(empty, observations([("A", 5, 4, 6, 1), ("B", 1, 4, 6, 1)]), ARRIVAL)
-    state = store(state, "state")
-    events, after = advance_status(state, observations([("A", 5, 4, 6, 1), ("A", 2, 0, 10, 1)]), ARRIVAL)
-    assert seen(events) == []
-    assert sorted(after.collect()) == sorted(state.collect())
+@pytest.mark.parametrize("seed", range(3))
+def test_state_after_each_batch_is_that_of_all_rows_so_far(spark, observations, seed):
+    """Batches in time order, each with rows of the ones before mixed in again."""
+    rows, state, got = dedupe(random_rows(20 + seed, 120)), spark.createDataFrame([], STATE_TABLE), []
+    for lo in range(0, 300, 150):
+        batch = [r for r in rows if r[1] < lo + 150 and (r[1] >= lo or r[1] % 3 == 0)]
+        events, after = advance_status(state, observations(batch), ARRIVAL)
+        got += seen(events)
+        state = store(after, "state")
+        newest = {}
+        for r in rows:
+            if r[1] < lo + 150:
+                newest[r[0]] = max(newest.get(r[0], -1), r[1])
+        assert {r["station_uid"]: r["last_seen_us"] for r in state.collect()} == {
+            uid: int((T0 - T0.replace(year=1970, month=1, day=1, hour=0)).total_seconds() + m * 60) * 10**6 for uid, m in newest.items()}
+    assert sorted(got) == by_hand(rows)
 
 
 def random_rows(seed, n=400):
