@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from kerbflow.functions.timefns import to_local
 
-# Fixed value: timestamps in staged files, always UTC.
+# Timestamps in staged files and stamps of loads, always UTC.
+STAMP_FORMAT = "%Y%m%dT%H%M%SZ"
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -33,27 +34,28 @@ def to_ndjson(df: DataFrame) -> DataFrame:
 LAYOUT = ["city", "dt", "hour", "load"]
 
 
-def with_layout(df: DataFrame, tz: str, at: str = "ingested_at") -> DataFrame:
-    """Add the directory columns: local date and hour of the load, and its UTC stamp."""
+def with_layout(df: DataFrame, tz: str, at: str = "ingested_at", loaded_at: datetime | None = None) -> DataFrame:
+    """Add the directory columns: local date and hour of each row's load time, and the UTC stamp of this write."""
     local = to_local(F.col(at), tz)
-    return df.withColumns({"dt": F.date_format(local, "yyyy-MM-dd"), "hour": F.date_format(local, "HH"),
-                           "load": F.date_format(at, "yyyyMMdd'T'HHmmss'Z'")})
+    stamp = (loaded_at or datetime.now(timezone.utc)).strftime(STAMP_FORMAT)
+    return df.withColumns({"dt": F.date_format(local, "yyyy-MM-dd"), "hour": F.date_format(local, "HH"), "load": F.lit(stamp)})
 
 
 def _write_text(lines: DataFrame, path: str) -> None:
-    """Rebalancing gives most loads one file and splits a load that is too heavy for one task."""
-    lines.hint("rebalance", *LAYOUT).write.mode("append").partitionBy(*LAYOUT).text(path)
+    """Rebalancing gives most hours one file and splits an hour that is too heavy for one task."""
+    lines.hint("rebalance", "city", "dt", "hour").write.mode("append").partitionBy(*LAYOUT).text(path)
 
 
-def land(df: DataFrame, root: str, dataset: str, tz: str) -> None:
-    """Write staged rows as `<root>/staged/<dataset>/city=/dt=/hour=/load=` NDJSON."""
-    placed = with_layout(df, tz)
+def land(df: DataFrame, root: str, dataset: str, tz: str, loaded_at: datetime | None = None) -> None:
+    """Write staged rows as `<root>/staged/<dataset>/city=/dt=/hour=/load=` NDJSON; one call is one load."""
+    placed = with_layout(df, tz, loaded_at=loaded_at)
     _write_text(placed.select(to_ndjson_column(df.columns).alias("value"), *LAYOUT), f"{root}/staged/{dataset}")
 
 
-def land_raw(responses: DataFrame, root: str, dataset: str, tz: str) -> None:
+def land_raw(responses: DataFrame, root: str, dataset: str, tz: str, loaded_at: datetime | None = None) -> None:
     """Keep responses (city, ingested_at, body) as they came under `<root>/raw/<dataset>`, laid out like staged rows."""
-    _write_text(with_layout(responses, tz).select(F.col("body").alias("value"), *LAYOUT), f"{root}/raw/{dataset}")
+    placed = with_layout(responses, tz, loaded_at=loaded_at)
+    _write_text(placed.select(F.col("body").alias("value"), *LAYOUT), f"{root}/raw/{dataset}")
 
 
 def to_ndjson_column(columns: list[str]) -> Column:

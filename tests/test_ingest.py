@@ -118,7 +118,7 @@ def test_staged_lines_hold_every_column_in_utc(raw):
 def test_landed_loads_lie_under_local_time_and_stamp(spark, raw, tmp_path, zone, hours):
     loads = [LOADED + timedelta(hours=7 * i) for i in range(3)]
     for at in loads:
-        landing.land(normalize(raw, AVAILABILITY_FIELDS, "K", at), str(tmp_path), "seen", zone)
+        landing.land(normalize(raw, AVAILABILITY_FIELDS, "K", at), str(tmp_path), "seen", zone, at)
     for at in loads:
         local = at + timedelta(hours=hours)
         where = f"city=K/dt={local:%Y-%m-%d}/hour={local:%H}/load={at:%Y%m%dT%H%M%SZ}"
@@ -137,7 +137,7 @@ def test_landed_loads_lie_under_local_time_and_stamp(spark, raw, tmp_path, zone,
 
 def test_raw_responses_land_as_they_came(spark, tmp_path):
     bodies = spark.createDataFrame([("K", LOADED, '[{"a": 1}]'), ("L", LOADED, "[]")], "city string, ingested_at timestamp_ntz, body string")
-    landing.land_raw(bodies, str(tmp_path), "seen", "UTC")
+    landing.land_raw(bodies, str(tmp_path), "seen", "UTC", LOADED)
     files = list(tmp_path.glob("raw/seen/city=K/dt=*/hour=*/load=20310630T155959Z/*.txt"))
     assert [f.read_text() for f in files] == ['[{"a": 1}]\n']
 

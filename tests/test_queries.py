@@ -22,7 +22,8 @@ def con():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    ok, text = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
+    # The training needs more rows than the smallest data set has; it has no SQL to compare with.
+    ok, text = compare(spark, con, name, QUERIES[name], ORACLES.get(name), "/root/testdata/sf0.01" if name.startswith("d12") else SF)
     assert ok, text
 
 

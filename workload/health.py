@@ -52,6 +52,15 @@ def g3(spark, sf):
     return q.unique(v.obs_raw(spark, sf), ["station_uid", "source_updated_at"])
 
 
+@query("g3_unique_key_with_nulls", """
+    SELECT o_custkey, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS priority, count(*) AS n
+    FROM orders GROUP BY 1, 2 HAVING count(*) > 1""")
+def g3_nulls(spark, sf):
+    """A part of the key may be null; repeated keys with a null count too."""
+    rows = v.table(spark, sf, "orders").select("o_custkey", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderpriority")).alias("priority"))
+    return q.unique(rows, ["o_custkey", "priority"])
+
+
 @query("g4_accepted_values", "SELECT station_uid, seq, o_orderstatus FROM station_log WHERE o_orderstatus NOT IN ('F', 'O')")
 def g4(spark, sf):
     return q.accepted_values(v.station_log(spark, sf), "o_orderstatus", ["F", "O"]).select("station_uid", "seq", "o_orderstatus")
@@ -73,6 +82,14 @@ def g7(spark, sf):
     return over(spark, sf)
 
 
+@query("g7_counts_above_capacity_last_day", """
+    SELECT over.* FROM over JOIN obs USING (seq) WHERE source_updated_at >= TIMESTAMP '2024-01-30'""", **OVER)
+def g7_recent(spark, sf):
+    """The daily run looks at the last day only."""
+    joined = asof_dim_join(v.obs(spark, sf), v.capacity_dim(spark, sf), "station_uid", "source_updated_at", ["capacity"])
+    return q.counts_above_capacity(joined, EVENTS_AS_OF - timedelta(days=1)).select("seq", "bikes_available", "docks_available", "capacity")
+
+
 @query("g8_freshness", f"""
     SELECT newest, age_seconds, CASE WHEN age_seconds > 7200 THEN 'error' WHEN age_seconds > 300 THEN 'warn' ELSE 'pass' END AS verdict
     FROM (SELECT max(source_updated_at) AS newest,

@@ -144,10 +144,11 @@ def e9(spark, sf):
 
 
 @query("e10_stream_progress", """
-    SELECT 'window_stats' AS series, CAST(count(*) AS DOUBLE) AS input_rows, epoch(max(ts)) AS max_event_timestamp,
-           epoch(max(ts)) - 600 AS watermark_timestamp FROM events""")
+    SELECT 'window_stats' AS series, CAST(count(*) AS DOUBLE) AS input_rows,
+           CAST(epoch_us(max(ts)) // 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS max_event_timestamp,
+           CAST(epoch_us(max(ts)) // 1000 - 600000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS watermark_timestamp FROM events""")
 def e10(spark, sf):
-    """Reports of a stream over the events: rows read in all, greatest event time and watermark."""
+    """Reports of a stream over the events: rows read in all, greatest event time and watermark, in whole milliseconds."""
     root = scratch_dir(spark, "stream")
     log = ProgressLog(spark, f"{root}/progress")
     spark.streams.addListener(log)
@@ -226,11 +227,12 @@ def h5(spark, sf):
     SELECT coalesce(n.station_name, s.station_uid) AS station, status, changed_at,
            CAST(floor((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(changed_at)) / 1000000) AS BIGINT) AS seconds
     FROM (SELECT * FROM status_events QUALIFY row_number() OVER (PARTITION BY station_uid ORDER BY changed_at DESC) = 1) s
-    LEFT JOIN (SELECT * FROM stations WHERE service_type < 20) n ON n.station_uid = s.station_uid
+    LEFT JOIN (SELECT station_uid, CASE WHEN service_type < 20 THEN station_name END AS station_name FROM stations) n
+      ON n.station_uid = s.station_uid
     WHERE status IN ('empty', 'full') ORDER BY changed_at, s.station_uid LIMIT 20""")
 def h6(spark, sf):
     """Some stations lack a name, and show their id."""
-    named = v.stations(spark, sf).where("service_type < 20")
+    named = v.stations(spark, sf).withColumn("station_name", F.when(F.col("service_type") < 20, F.col("station_name")))
     return dash.longest_ongoing(v.status_events(spark, sf), named, EVENTS_AS_OF)
 
 

@@ -17,7 +17,7 @@ from kerbflow.operators.merge import (
 from kerbflow.plans.marts import station_hourly
 from kerbflow.schemas import AVAILABILITY_FIELDS, RAW_AVAILABILITY, STAGED_AVAILABILITY
 from kerbflow.session import scratch_dir
-from kerbflow.sources.landing import append_raw, land, read_raw_table, read_staged, recent_days
+from kerbflow.sources.landing import append_raw, land, newest_batch, read_raw_table, read_staged, recent_days
 from kerbflow.sources.normalize import normalize, station_rows, stage_observations
 from kerbflow.sources.tables import KeyedTable
 from kerbflow.streaming.jobs import station_table
@@ -89,6 +89,19 @@ def a4(spark, sf):
     return recent_days(back, datetime(2024, 1, 30, 12), TZ).select("station_uid", "source_updated_at", "bikes_available")
 
 
+@query("a5_newest_of_three_loads", """
+    SELECT station_uid, source_updated_at, bikes_available FROM staged WHERE source_updated_at < TIMESTAMP '2024-01-11'""", staged=STAGED_SQL)
+def a5(spark, sf):
+    """Three loads of which the last one written to the oldest directories has the newest stamp."""
+    root, rows = scratch_dir(spark, "landing"), staged(spark, sf)
+    at = F.col("source_updated_at")
+    bounds = [lit_like(rows, "source_updated_at", datetime(2024, 1, d)) for d in (11, 21)]
+    for i, part in enumerate([at >= bounds[1], (at >= bounds[0]) & (at < bounds[1]), at < bounds[0]]):
+        land(rows.where(part), root, "bike_availability", TZ, datetime(2024, 2, 1, i))
+    back = read_staged(spark, f"{root}/staged/bike_availability", STAGED_AVAILABILITY)
+    return newest_batch(back).select("station_uid", "source_updated_at", "bikes_available")
+
+
 @query("a6_append_raw_table", """
     SELECT CAST(ingested_at AS DATE) AS ingest_date, count(*) AS n, CAST(sum(bikes_available) AS BIGINT) AS bikes
     FROM obs_raw WHERE ingested_at >= TIMESTAMP '2024-01-16' GROUP BY 1""")
@@ -484,6 +497,14 @@ def c8(spark, sf):
     return station_hourly(v.fact(spark, sf), v.stations(spark, sf), TZ)
 
 
+@query("c8_station_hourly_of_versions", HOURLY.format(where=""))
+def c8_versions(spark, sf):
+    """Stations with an older version each, which must not double the hours."""
+    now = v.stations(spark, sf).withColumn("is_current", F.lit(True))
+    old = now.withColumns({"is_current": F.lit(False), "station_name": F.lit("before")})
+    return station_hourly(v.fact(spark, sf), now.unionByName(old), TZ)
+
+
 @query("c9_station_hourly_lookback", HOURLY.format(where="AND source_updated_at >= TIMESTAMP '2024-01-24 05:00:00'"))
 def c9(spark, sf):
     """Recompute of whole hours only: the look-back start moves down to the full hour."""
