@@ -12,6 +12,7 @@ from kerbflow.operators.transitions import advance_status, status_events_batch
 from kerbflow.plans import dashboards as dash
 from kerbflow.schemas import STATUS_EVENT
 from kerbflow.session import prepare, scratch_dir, store
+from kerbflow.sources.landing import to_ndjson_column
 from kerbflow.streaming import jobs
 from kerbflow.streaming.progress import ProgressLog, read_samples
 from kerbflow.streaming.stateful import status_events as stateful_events
@@ -55,6 +56,20 @@ def e3_stream(spark, sf):
     return table.read().drop("updated_at")
 
 
+@query("e1_window_stats_json_stream", CLOSED)
+def e1_json(spark, sf):
+    """The same from JSON messages: every one comes twice, among lines that cannot be read."""
+    root, rows = scratch_dir(spark, "stream"), v.obs(spark, sf)
+    lines = rows.select(to_ndjson_column(["station_uid", "service_status", "bikes_available", "docks_available", "source_updated_at"]).alias("value"))
+    broken = rows.select(F.when(F.col("seq") % 2 == 0, "{").otherwise(F.concat(F.lit('{"station_uid": '), "station_uid", F.lit(', "bikes'))).alias("value"))
+    lines.unionByName(lines).unionByName(broken).write.text(f"{root}/in")
+    messages = jobs.read_messages(spark, {"kind": "files", "path": f"{root}/in"})
+    table = jobs.window_table(spark, f"{root}/stats")
+    stats = jobs.window_stats(jobs.dedupe_stream(jobs.parse_observations(messages)))
+    jobs.start_sink(stats, "window_stats", jobs.upsert_sink(table), f"{root}/cp", None).awaitTermination()
+    return table.read().drop("updated_at")
+
+
 @query("e3_window_stats_batch", "SELECT * FROM half_hours")
 def e3(spark, sf):
     return v.half_hours(spark, sf)
