@@ -14,6 +14,7 @@ from kerbflow.functions.convert import clip, round_to
 from kerbflow.functions.timefns import lit_like, local_hour, micros
 from kerbflow.operators.dedupe import latest_per_key
 from kerbflow.operators.merge import insert_new, new_rows
+from kerbflow.session import store
 from kerbflow.plans.features import complete
 
 LABEL = "bikes_available_at_target"
@@ -101,7 +102,11 @@ def evaluate(predictions: DataFrame) -> DataFrame:
 
 def train(training: DataFrame, days: int, as_of: datetime, min_rows: int = 1000,
           l2: float = 1.0) -> tuple[PipelineModel, DataFrame]:
-    """Candidate on the training part, evaluated on the holdout; then the final model on all rows."""
+    """Candidate on the training part, evaluated on the holdout; then the final model on all rows.
+
+    The solver passes over the rows many times, so the training set is written once and read from there.
+    """
+    training = store(training, "training-set")
     train_rows, holdout_rows = check_ready(training, min_rows)
     candidate = fit_forecaster(training.where(~F.col("is_holdout")), l2, train_rows)
     record = evaluate(apply_model(candidate, training.where(F.col("is_holdout")))).select(
@@ -110,6 +115,11 @@ def train(training: DataFrame, days: int, as_of: datetime, min_rows: int = 1000,
     return fit_forecaster(training, l2, train_rows + holdout_rows), record
 
 
+def append_evaluation(record: DataFrame, path: str) -> None:
+    """Add a record to the evaluation table; earlier ones stay."""
+    record.write.mode("append").parquet(path)
+
+
 def latest_evaluation(evaluations: DataFrame) -> DataFrame:
     return evaluations.orderBy(F.col("evaluated_at").desc()).limit(1)
 
