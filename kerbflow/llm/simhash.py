@@ -15,8 +15,10 @@ from kerbflow.llm.components import components
 from kerbflow.llm.recurring import digest
 from kerbflow.llm.registry import query, table
 from kerbflow.llm.rows import LOWER, map_texts
+from kerbflow.llm.similar import alike_roots, majority, with_sets
 from kerbflow.session import store
 
+#: The query op7 has shingles of this many words and links by differing bits alone.
 SHINGLE, SEED = 3, 42
 MAX_BITS = 2
 #: A fingerprint is cut into this many parts; two that differ in MAX_BITS bits agree in PARTS - MAX_BITS of them.
@@ -25,7 +27,7 @@ PARTS = 4
 HOT = 256
 
 
-def fingerprint(text: bytes) -> int:
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     """Majority of the bits of the hashes of all shingles; as a signed number."""
     words = text.translate(LOWER).split()
     if not words:
@@ -34,20 +36,16 @@ def fingerprint(text: bytes) -> int:
     for word in words:
         at += len(word) + 1
         ends.append(at)
-    k = min(SHINGLE, len(words))
+    k = min(shingle, len(words))
     digest, view = xxhash.xxh64_intdigest, memoryview(joined)
     starts = [0] + [e + 1 for e in ends]
     hashes = np.array([digest(view[s:e], SEED) for s, e in zip(starts, ends[k - 1:])], dtype="<u8")
-    ones = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 1 << 16):
-        ones += np.unpackbits(hashes[i:i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(ones * 2 > len(hashes), bitorder="little")
-    return int(bits.view("<i8")[0])
+    return majority(hashes)
 
 
-def with_fingerprints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+def with_fingerprints(docs: DataFrame, keep: list[str], text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The `keep` columns and `fp`, the fingerprint as a long; zero for a null text and one without words."""
-    return map_texts(docs, keep, text, lambda: lambda texts: [[fingerprint(t) for t in texts]], "fp long")
+    return map_texts(docs, keep, text, lambda: lambda texts: [[fingerprint(t, shingle) for t in texts]], "fp long")
 
 
 def trie_pairs(values: np.ndarray, budget: int, bits: int = 64) -> np.ndarray:
@@ -189,38 +187,49 @@ def links(fingerprints: DataFrame) -> DataFrame:
     return placed.mapInArrow(join, schema)
 
 
-def _members(rows: DataFrame, id_column: str) -> DataFrame:
-    """(fp, root) of every fingerprint: the smallest fingerprint that links lead to."""
-    nodes = store(rows.select("fp").distinct(), "fingerprint-nodes")
-    roots = components(links(nodes))
-    return store(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
+def _rows(docs: DataFrame, id_column: str, text: str, shingle: int, similarity: float | None) -> DataFrame:
+    """(id, key, fp, node, ...) of every row; rows with one node are copies to the method."""
+    keyed = docs.select(id_column, text, digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("key"))
+    if similarity is not None:
+        return store(with_sets(keyed, [id_column, "key"], text, shingle, similarity), "shingle-sets")
+    return store(with_fingerprints(keyed, [id_column, "key"], text, shingle).withColumn("node", F.col("fp")), "fingerprints")
+
 
+def _members(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shingle: int, similarity: float | None) -> DataFrame:
+    """(node, root) of every node: the smallest node that links lead to."""
+    nodes = store(rows.select("node").distinct(), "fingerprint-nodes")
+    roots = (components(links(nodes.withColumnRenamed("node", "fp"))) if similarity is None
+             else alike_roots(docs, rows, id_column, text, shingle, similarity)).withColumnRenamed("node", "linked")
+    return store(nodes.join(roots, nodes.node == roots.linked, "left").select("node", F.coalesce("root", "node").alias("root")), "fingerprint-roots")
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp, component_id) of every row: fingerprints at MAX_BITS or fewer differing bits are linked, links chained.
 
-    component_id is the smallest id in the component. Rows with equal fingerprints meet as one node before any join,
-    so copies are never paired. Null and empty texts have fingerprint zero and link like any other. A row without an id
-    gets the component of its fingerprint, which is null if no row there has an id. Repeated rows give repeated rows.
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 5,
+                    similarity: float | None = 0.8) -> DataFrame:
+    """(id, fp, component_id) of every row: texts whose sets of shingles have this Jaccard similarity are linked, links chained.
+
+    Where `similarity` is None, fingerprints at MAX_BITS or fewer differing bits are linked instead, texts unseen.
+    component_id is the smallest id in the component. Rows with equal sets (equal fingerprints) meet as one node before any
+    join, so copies are never paired. Null and empty texts are copies of each other. A row without an id gets the component
+    of its node, which is null if no row there has an id. Repeated rows give repeated rows.
     """
-    rows = store(with_fingerprints(docs, [id_column], text), "fingerprints")
-    member = _members(rows, id_column)
-    least = rows.groupBy("fp").agg(F.min(id_column).alias("least")).join(member, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
-    named = member.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(id_column, "fp", "component_id")
+    rows = _rows(docs, id_column, text, shingle, similarity)
+    member = _members(docs, rows, id_column, text, shingle, similarity)
+    least = rows.groupBy("node").agg(F.min(id_column).alias("least")).join(member, "node").groupBy("root").agg(F.min("least").alias("component_id"))
+    named = member.join(least, "root").select("node", "component_id")
+    return rows.join(named, "node").select(id_column, "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 5,
+                similarity: float | None = 0.8) -> DataFrame:
     """All columns of one row of each component: the row with the smallest id (a null id comes first), then smallest digest.
 
-    Of rows that repeat both id and text one stays. Texts meet the chosen ids once; only texts whose id and content are
-    repeated take a further step.
+    Components are those of near_duplicates. Of rows that repeat both id and text one stays. Texts meet the chosen ids once;
+    only texts whose id and content are repeated take a further step.
     """
-    keyed = docs.select(id_column, text, digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("key"))
-    rows = store(with_fingerprints(keyed, [id_column, "key"], text), "fingerprints")
-    member = _members(rows, id_column)
-    same = rows.groupBy(F.col(id_column).alias("id"), "key", "fp").count()
-    chosen = store(same.join(member, "fp").groupBy("root").agg(F.min(F.struct("id", "key", F.col("count").alias("n"))).alias("m"))
+    rows = _rows(docs, id_column, text, shingle, similarity)
+    member = _members(docs, rows, id_column, text, shingle, similarity)
+    same = rows.groupBy(F.col(id_column).alias("id"), "key", "node").count()
+    chosen = store(same.join(member, "node").groupBy("root").agg(F.min(F.struct("id", "key", F.col("count").alias("n"))).alias("m"))
                    .select("m.*"), "chosen")
     met = (docs.withColumn("_key", digest(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("d")
            .join(chosen.alias("c"), F.col(f"d.{id_column}").eqNullSafe(F.col("c.id")) & (F.col("d._key") == F.col("c.key"))))
@@ -232,5 +241,5 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
 
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=SHINGLE, similarity=None)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
