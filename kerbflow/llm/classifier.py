@@ -103,6 +103,11 @@ class QualityModel:
     weights: np.ndarray
     bias: float
 
+    @property
+    def taught(self) -> bool:
+        """Has any label moved the model? If not, every score is 0.5."""
+        return bool(self.bias) or bool(self.weights.any())
+
     def score(self, b: Block) -> np.ndarray:
         rows, index = features(b)
         total = np.bincount(rows, self.weights[index], b.rows) * scale(b.counts()) + self.bias

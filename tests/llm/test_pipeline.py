@@ -48,3 +48,11 @@ def test_empty_documents(spark):
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
     assert corpus_pipeline.packing(spark, docs, SF).count() == 0
+
+
+@pytest.mark.parametrize("usable", ["false", "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2", "doc_id < 0"])
+def test_without_a_usable_label_all_rows_pass_the_quality_stage(spark, monkeypatch, usable):
+    docs = table(spark, SF, "documents")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: table(*a).where(usable))
+    kept = corpus_pipeline.quality(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.exceptAll(docs).count() == docs.exceptAll(kept).count() == 0
