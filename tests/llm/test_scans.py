@@ -276,3 +276,12 @@ def test_marks_are_shared_by_equal_windows():
         window = words[a:a + 10] if a < len(words) else second[a - len(words):a - len(words) + 10]
         seen.setdefault(tuple(window), set()).add(m)
     assert all(len(x) == 1 for x in seen.values())
+
+
+def test_sequences_closed_by_the_limit_of_segments_need_no_padding(documents):
+    rows = [(i, "a b c d e") for i in range(5000)]
+    pieces = packing.pack_texts(documents(rows).coalesce(1), "doc_id", packing.word_bpe)
+    sizes = [r["n"] for r in pieces.groupBy("sequence_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()]
+    counts = [r["count"] for r in pieces.groupBy("sequence_id").count().collect()]
+    assert max(counts) <= packing.SEGMENTS and sum((1 << (n - 1).bit_length()) - n for n in sizes) == 0
+    assert sum(sizes) == sum(r["doc_tokens"] for r in pieces.select("doc_id", "doc_tokens").distinct().collect())
