@@ -12,8 +12,11 @@ from kerbflow.session import scratch_dir, store
 
 #: Characters that do not count when texts are compared.
 BLANK = " \t\n\x0b\x0c\r"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small stores: without this each one reserves megabytes before it holds a row.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Hits are looked for in this many parts of the digests, so the filter that is broadcast has as many numbers at most.
 HIT_PARTS = 1 << 20
 
@@ -52,13 +55,18 @@ def observe(stream: DataFrame, where: str, id_column: str = "doc_id", text: str
     spark = stream.sparkSession
     state = (_entries(stream, id_column, text, digest).groupBy("digest")
              .agg(F.min("entry").alias("keep"), F.count("*").alias("group_size")))
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         running = (state.writeStream.outputMode("update").option("checkpointLocation", f"{where}/state").trigger(availableNow=True)
                    .foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{where}/changes/batch={number}")).start())
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     running.awaitTermination()
 
 
