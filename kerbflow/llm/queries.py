@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from kerbflow.llm import classifier, decontaminate, exact, licenses, packing, phrases, quality_rules, simhash, suffixes, toxicity, url_filter  # noqa: F401
+from kerbflow.llm import alignment, classifier, decontaminate, exact, licenses, packing, phrases, quality_rules, simhash, spelling, suffixes, toxicity, url_filter  # noqa: F401
 from kerbflow.llm.registry import ORACLES, QUERIES  # noqa: F401
