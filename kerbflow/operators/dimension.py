@@ -108,15 +108,11 @@ def asof_dim_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, columns: l
         F.col(key), F.col("valid_from").cast(dtype).alias(ts), F.lit(0).alias("__kind"), version.alias("__version"))
     facts = fact.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withColumn("__kind", F.lit(1))
     mixed = facts.unionByName(as_rows, allowMissingColumns=True)
-    # Facts of one instant are cut by their content where one slice cannot hold them.
-    order = [ts, "__kind", *(c for c in fact.columns if c not in (key, ts) and _orderable(fact, c))]
-    cut = cut_hot_keys(mixed, [key], order, rows_per_slice)
+    # Facts of one instant are dealt out by a hash of their content.
+    mixed = mixed.withColumn("__deal", F.xxhash64(*[c for c in fact.columns if not isinstance(fact.schema[c].dataType, (T.MapType, T.VariantType))]))
+    cut = cut_hot_keys(mixed, [key], [ts, "__kind", "__deal"], rows_per_slice)
     joined = carry_forward(cut, [ts, "__kind"], F.col("__version"), "__valid").rows.where("__kind = 1")
     valid = F.col("__valid")
     return joined.where(
         valid.isNotNull() & (valid["valid_to"].isNull() | (F.col(ts) < valid["valid_to"]))
     ).select(*fact.columns, "__valid.*")
-
-
-def _orderable(df: DataFrame, column: str) -> bool:
-    return not isinstance(df.schema[column].dataType, (T.MapType, T.VariantType))
