@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 import time
 import uuid
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 REPORT = (T.StructType().add("name", "string").add("timestamp", "timestamp").add("batchId", "long").add("numInputRows", "long")
           .add("batchDuration", "long").add("eventTime", T.StructType().add("max", "timestamp").add("watermark", "timestamp"))
+          .add("stateOperators", T.ArrayType(T.StructType().add("numRowsDroppedByWatermark", "long"))).add("idle", "boolean")
           .add("sources", T.ArrayType(T.StructType().add("metrics", T.MapType(T.StringType(), T.StringType())))))
 #: Set by sources that know how far behind they are.
 BEHIND = "maxOffsetsBehindLatest"
@@ -25,23 +27,28 @@ class ProgressLog(StreamingQueryListener):
         super().__init__()
         self._context, self._folder = spark.sparkContext, folder.rstrip("/")
         self._written: dict[str, int] = {}
+        self._names: dict[str, str | None] = {}
         self._more = threading.Condition()
 
+    def _write(self, report: str) -> None:
+        path = self._context._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{uuid.uuid4().hex}.json")
+        out = path.getFileSystem(self._context._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(report.replace("\n", " "), "utf-8"))
+        out.close()
+
     def onQueryStarted(self, event) -> None:
-        pass
+        self._names[str(event.runId)] = event.name
 
     def onQueryProgress(self, event) -> None:
         report = event.progress
-        path = self._context._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{uuid.uuid4().hex}.json")
-        out = path.getFileSystem(self._context._jsc.hadoopConfiguration()).create(path)
-        out.write(bytearray(report.json.replace("\n", " "), "utf-8"))
-        out.close()
+        self._write(report.json)
         with self._more:
             self._written[str(report.runId)] = max(report.batchId, self._written.get(str(report.runId), -1))
             self._more.notify_all()
 
     def onQueryIdle(self, event) -> None:
-        pass
+        """A query that waits for data is alive: its report says when, and nothing else."""
+        self._write(json.dumps({"name": self._names.get(str(event.runId)), "timestamp": event.timestamp, "idle": True}))
 
     def onQueryTerminated(self, event) -> None:
         pass
@@ -65,6 +72,9 @@ def read_samples(spark: SparkSession, folder: str) -> DataFrame:
         "last_progress_timestamp": seconds(F.col("timestamp")),
         "max_event_timestamp": seconds(F.col("eventTime.max")),
         "watermark_timestamp": seconds(F.col("eventTime.watermark")),
+        "idle": F.when(F.col("idle"), F.lit(1.0)),
+        # Counted by the operators that drop them, before or after rows are summed up; the deduplication counts single rows.
+        "late_rows": F.aggregate("stateOperators", F.lit(0.0), lambda n, o: n + F.coalesce(o.numRowsDroppedByWatermark.cast("double"), F.lit(0.0))),
         "offsets_behind": F.array_max(F.transform("sources", lambda s: s.metrics[BEHIND].cast("double"))),
     }
     rows = F.explode(F.array(*(F.struct(F.lit(name).alias("metric"), value.alias("value")) for name, value in numbers.items())))

@@ -72,25 +72,65 @@ def test_untouched_partitions_are_not_rewritten(spark, frame, tmp_path):
     assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("part_day=2027-03-01/*.parquet")} == before
 
 
-def test_a_job_that_dies_between_staging_and_table_loses_nothing(spark, frame, tmp_path, monkeypatch):
+@pytest.mark.parametrize("gone", ["none", "old", "old and one staged"])
+def test_a_job_that_dies_between_staging_and_table_loses_nothing(spark, frame, tmp_path, monkeypatch, gone):
     table = KeyedTable(spark, str(tmp_path / "t"), frame([]).schema, ["k", "at"], day_of="at")
     table.upsert(frame([("a", at(0), 1), ("b", at(1), 2), ("c", at(48), 3)]))
-    whole = KeyedTable._write
+    old = list((tmp_path / "t").glob("part_day=2027-03-01/*.parquet"))
+    whole = KeyedTable._recover
 
-    def die(self, df, path, mode, replaced="dynamic"):
-        if path == self.path:
+    def die(self):
+        if (tmp_path / "t.staged").exists():
             raise RuntimeError("gone")
-        whole(self, df, path, mode, replaced)
-    monkeypatch.setattr(KeyedTable, "_write", die)
+        whole(self)
+    monkeypatch.setattr(KeyedTable, "_recover", die)
     with pytest.raises(RuntimeError):
-        table.upsert(frame([("a", at(0), 9)]))
-    monkeypatch.setattr(KeyedTable, "_write", whole)
-    for p in (tmp_path / "t").glob("part_day=2027-03-01/*"):  # as if the old partition had already been taken away
-        p.unlink()
-    assert sorted((r["k"], r["v"]) for r in table.read().collect()) == [("a", 9), ("b", 2), ("c", 3)]
+        table.upsert(frame([("a", at(0), 9), ("d", at(48), 4)]))
+    monkeypatch.setattr(KeyedTable, "_recover", whole)
+    if gone != "none":  # as if the recovery itself had died after its first steps
+        for p in old:
+            p.unlink()
+    if gone == "old and one staged":
+        staged = sorted((tmp_path / "t.staging").glob("part_day=*/*.parquet"))[0]
+        staged.rename(tmp_path / "t" / staged.parent.name / staged.name)
+    assert sorted((r["k"], r["v"]) for r in table.read().collect()) == [("a", 9), ("b", 2), ("c", 3), ("d", 4)]
     assert not list(tmp_path.glob("t.stag*"))
 
 
+def test_bytes_written_follow_the_batch(spark, tmp_path):
+    """Of many files an upsert replaces those that hold a key of its batch, and writes each row of them once."""
+    rows = spark.range(20_000).selectExpr("format_string('k%06d', id) AS k", "id AS v")
+    table = KeyedTable(spark, str(tmp_path / "t"), rows.schema, ["k"], buckets=4, rows_per_file=500)
+    table.upsert(rows)
+    files = lambda: {f"{p.parent.name}/{p.name}": p.stat().st_size for p in (tmp_path / "t").glob("part_bucket=*/*.parquet")}
+    before = files()
+    assert len(before) >= 40
+    for n in (1, 5):
+        table.upsert(rows.where(f"v % {20_000 // n} = 7").withColumn("v", -F.col("v")))
+        after = files()
+        new = {name: size for name, size in after.items() if name not in before}
+        assert len(before) - len(set(before) & set(after)) <= n and sum(new.values()) <= 1.5 * n * max(before.values())
+        before = after
+    assert table.read().count() == 20_000 and table.read().where("v < 0").count() == 5
+
+
+def test_a_schema_version_that_was_not_finished_does_not_count(spark, frame, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "t"), frame([]).schema, ["k", "at"], day_of="at")
+    table.insert_new(frame([("a", at(0), 1)]).withColumn("one", F.lit("x")))
+    whole = KeyedTable._write_file
+
+    def die(self, path, content):
+        whole(self, path + ".part", content[:20])  # what a crash leaves: an unfinished file under another name
+        raise RuntimeError("gone")
+    monkeypatch.setattr(KeyedTable, "_write_file", die)
+    with pytest.raises(RuntimeError):
+        table.insert_new(frame([("b", at(0), 2)]).withColumn("two", F.lit("y")))
+    monkeypatch.setattr(KeyedTable, "_write_file", whole)
+    assert table.read().columns == ["k", "at", "v", "one"]
+    table.insert_new(frame([("b", at(0), 2)]).withColumn("two", F.lit("y")))
+    assert sorted((r["k"], r["one"], r["two"]) for r in table.read().collect()) == [("a", "x", None), ("b", None, "y")]
+
+
 def test_new_columns_are_kept_and_inserts_append(spark, frame, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), frame([]).schema, ["k", "at"], day_of="at")
     table.insert_new(frame([("a", at(0), 1)]))

@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import timedelta
 
 import pytest
@@ -113,6 +114,8 @@ def test_both_queries_from_one_source_and_progress(spark, feed):
     assert jobs.window_table(spark, str(feed.root / "job/window_stats")).read().count() == 2
     assert jobs.event_table(spark, str(feed.root / "job/status_events")).read().count() == 2
     assert {"batch_duration_seconds", "watermark_timestamp"} <= {r["metric"] for r in samples.collect()}
+    sinks = spark.read.parquet(str(feed.root / "job/written")).where("metric = 'written_rows'").groupBy("series").agg(F.sum("value").alias("n"))
+    assert {r["series"]: r["n"] for r in sinks.collect()} == {"window_stats": 2.0, "status_events": 2.0}
 
 
 def test_a_failing_sink_stops_its_query(feed):
@@ -123,3 +126,82 @@ def test_a_failing_sink_stops_its_query(feed):
     query = jobs.start_sink(feed.observations(), "broken", fail, str(feed.root / "cp"), None)
     with pytest.raises(Exception, match="sink is down"):
         query.awaitTermination()
+
+
+def test_a_batch_is_evaluated_once(spark, feed, observations):
+    """Sinks read their batch several times; what made it runs once."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def passed(chunks):
+        for chunk in chunks:
+            runs.add(len(chunk))
+            yield chunk
+    batch = observations([("A", 0, 0, 5, 1), ("A", 3, 2, 3, 1)])
+    counted = batch.mapInPandas(passed, batch.schema)
+    jobs.status_sink(jobs.event_table(spark, str(feed.root / "e")), str(feed.root / "s"))(counted, 0)
+    assert runs.value == 2
+
+
+def test_change_feed_delivers_again_after_a_crash_and_loses_nothing(spark, feed):
+    feed.send(message("A", 1, 0, 10), message("B", 2, 5, 5))
+    feed.send(message("A", 1, 0, 10), message("A", 5, 1, 9), message("B", 1, 4, 6), message("C", 0, 1, 1))
+    feed.send(message("A", 5, 1, 9), message("C", 9, 2, 0))
+    sent, down = [], {1}
+
+    def deliver(fresh, number):
+        sent.append((number, sorted((r["station_uid"], r["bikes_available"]) for r in fresh.collect())))
+        if number in down:  # delivered, but the job dies before its marks are written
+            down.discard(number)
+            raise RuntimeError("gone")
+
+    def run():
+        sink = jobs.change_sink(deliver, str(feed.root / "marks"))
+        jobs.start_sink(feed.observations(), "feed", sink, str(feed.root / "cp"), None).awaitTermination()
+    with pytest.raises(Exception, match="gone"):
+        run()
+    run()
+    again = (1, [("A", 1), ("C", 1)])
+    assert sent[:4] == [(0, [("A", 0), ("B", 5)]), again, again, (2, [("C", 2)])] and not any(rows for _, rows in sent[4:])
+
+
+def test_an_idle_query_reports_that_it_lives(spark, feed):
+    """With nothing to read, the newest sample of a query still moves on."""
+    feed.send(message("A", 1, 0, 10))
+    before = spark.conf.get("spark.sql.streaming.noDataProgressEventInterval")
+    spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", "200")
+    log = ProgressLog(spark, str(feed.root / "progress"))
+    spark.streams.addListener(log)
+    query = None
+    try:
+        query = jobs.start_sink(feed.observations(), "idle_feed", lambda batch, number: None, str(feed.root / "cp"), 0)
+        until = time.monotonic() + 60
+        while time.monotonic() < until:
+            time.sleep(1)
+            found = read_samples(spark, str(feed.root / "progress")).where("series = 'idle_feed'") if (feed.root / "progress").exists() else None
+            if found is not None and found.where("metric = 'idle'").count() >= 2:
+                break
+        last = found.where("metric = 'last_progress_timestamp'").agg(F.max("value")).first()[0]
+        work = found.where("metric = 'input_rows'").agg(F.unix_micros(F.max("ts")) / 1e6).first()[0]
+        assert last > work and found.where("metric = 'idle'").count() >= 2
+    finally:
+        if query:
+            query.stop()
+        spark.streams.removeListener(log)
+        spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", before)
+
+
+def test_late_rows_are_counted(spark, feed):
+    feed.send(message("A", 100, 1, 9))
+    feed.send(message("A", 101, 1, 9))  # a row is judged by the watermark of the batch before
+    feed.send(message("A", 1, 1, 9), message("B", 2, 1, 9), message("A", 95, 1, 9))
+    feed.send(message("B", 3, 1, 9))
+    log = ProgressLog(spark, str(feed.root / "progress"))
+    spark.streams.addListener(log)
+    try:
+        query = jobs.start_sink(jobs.window_stats(jobs.dedupe_stream(feed.observations())), "late", lambda batch, number: batch.count(), str(feed.root / "cp"), None)
+        query.awaitTermination()
+        log.wait_for(query)
+    finally:
+        spark.streams.removeListener(log)
+    late = read_samples(spark, str(feed.root / "progress")).where("metric = 'late_rows'")
+    assert late.agg(F.sum("value")).first()[0] == 3.0

@@ -180,6 +180,58 @@ def e10(spark, sf):
     return samples.groupBy("series").agg(of(F.sum, "input_rows"), of(F.max, "max_event_timestamp"), of(F.max, "watermark_timestamp"))
 
 
+def _stream_of_files(spark, root, *parts):
+    """Observations of a file stream that takes one part a batch."""
+    for part in parts:
+        part.withColumn("source_updated_at", F.col("source_updated_at").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    schema = spark.read.parquet(f"{root}/in").schema
+    return jobs.usable(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"))
+
+
+@query("e8_written_rows", """
+    SELECT 'status_events' AS series, CAST(count(*) AS DOUBLE) AS written_rows, TRUE AS last_write_known FROM status_events UNION ALL
+    SELECT 'window_stats', CAST(count(*) AS DOUBLE), TRUE FROM half_hours WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def e8(spark, sf):
+    """What both sinks of a stream say they have written, as monitoring reads it."""
+    root = scratch_dir(spark, "stream")
+    jobs.wait_all(jobs.run_stream(spark, stream_obs(spark, sf), root, trigger_seconds=None))
+    of = lambda agg, metric: agg(F.when(F.col("metric") == metric, F.col("value")))
+    return spark.read.parquet(f"{root}/written").groupBy("series").agg(
+        of(F.sum, "written_rows").alias("written_rows"),
+        (of(F.max, "last_write_timestamp") > 0).alias("last_write_known"))
+
+
+@query("e11_late_rows", """
+    SELECT 'window_stats' AS series, CAST(count(*) AS DOUBLE) AS late_rows FROM events
+    WHERE event_id % 2 = 0 AND epoch_us(ts) <= ((SELECT epoch_us(max(ts)) FROM events WHERE event_id % 4 = 1) // 1000 - 600000) * 1000""")
+def e11(spark, sf):
+    """Every other observation comes two batches later, behind the watermark of the first one: how many rows were too late."""
+    root, rows = scratch_dir(spark, "stream"), v.obs(spark, sf)
+    observations = _stream_of_files(spark, root, rows.where("seq % 4 = 1"), rows.where("seq % 4 = 3"), rows.where("seq % 2 = 0"))
+    log = ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
+    try:
+        table = jobs.window_table(spark, f"{root}/stats")
+        query = jobs.start_sink(jobs.window_stats(jobs.dedupe_stream(observations)), "window_stats", jobs.upsert_sink(table), f"{root}/cp", None)
+        query.awaitTermination()
+        log.wait_for(query)
+    finally:
+        spark.streams.removeListener(log)
+    return read_samples(spark, f"{root}/progress").where("metric = 'late_rows'").groupBy("series").agg(F.sum("value").alias("late_rows"))
+
+
+@query("a14_change_feed_stream", "SELECT station_uid, source_updated_at, seq FROM obs")
+def a14_stream(spark, sf):
+    """A change feed over two fetches, the second of which repeats two days: every row is delivered once."""
+    root, rows = scratch_dir(spark, "stream"), v.obs(spark, sf)
+    at = F.col("source_updated_at")
+    fetches = (rows.where(at < lit_like(rows, "source_updated_at", datetime(2024, 1, 16))),
+               rows.where(at >= lit_like(rows, "source_updated_at", datetime(2024, 1, 14))))
+    send = lambda fresh, number: fresh.write.mode("overwrite").parquet(f"{root}/sent/batch={number}")
+    jobs.start_sink(_stream_of_files(spark, root, *fetches), "change_feed", jobs.change_sink(send, f"{root}/marks"), f"{root}/cp", None).awaitTermination()
+    return spark.read.parquet(f"{root}/sent").select("station_uid", "source_updated_at", "seq")
+
+
 @query("i10_stream_latency")
 def i10_stream(spark, sf):
     """Source time to write time of the events of a stream, by status; the write time is the clock's."""
