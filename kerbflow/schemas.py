@@ -32,6 +32,7 @@ STATION_FIELDS = {
     "SrcUpdateTime": "source_updated_at",
     "UpdateTime": "api_updated_at",
 }
+# Fields without which a batch is refused, and the kinds of the columns.
 AVAILABILITY_REQUIRED = ("StationUID", "AvailableRentBikes", "AvailableReturnBikes", "SrcUpdateTime")
 STATION_REQUIRED = ("StationUID", "StationName.Zh_tw", "StationPosition.PositionLat", "StationPosition.PositionLon")
 INT_COLUMNS = {
@@ -75,7 +76,7 @@ STAGED_STATION = staged_schema(STATION_FIELDS)
 RAW_AVAILABILITY = raw_schema(AVAILABILITY_FIELDS)
 RAW_STATION = raw_schema(STATION_FIELDS)
 
-# One message of the availability stream.
+# One message of the availability stream, and below it the rows of the result tables and of the snapshot.
 MESSAGE = T.StructType([
     T.StructField("station_uid", T.StringType()),
     T.StructField("service_status", T.IntegerType()),

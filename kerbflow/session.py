@@ -51,13 +51,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/kerbflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a derived table to the shared folder and read it back.
 
     It cuts the lineage, survives lost executors, and gives Spark the true size, by which it decides on broadcasts.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored.stored_at = path
     return stored

@@ -12,7 +12,7 @@ from kerbflow.schemas import (
     AVAILABILITY_FIELDS, AVAILABILITY_REQUIRED, RAW_AVAILABILITY, RAW_STATION, STAGED_AVAILABILITY, STATION_FIELDS,
 )
 from kerbflow.sources import landing
-from kerbflow.sources.normalize import SchemaError, normalize, station_rows
+from kerbflow.sources.normalize import SchemaError, normalize, normalize_records, read_records, station_rows
 
 LOADED = datetime(2031, 6, 30, 15, 59, 59)
 NUMBERS = {"ServiceStatus": "service_status", "ServiceType": "service_type", "AvailableRentBikes": "bikes_available",
@@ -86,6 +86,28 @@ def test_a_batch_without_a_required_field_fails(spark, records, lost):
     assert normalize(frame.limit(0), AVAILABILITY_FIELDS, "K", LOADED, AVAILABILITY_REQUIRED).count() == 0
 
 
+@pytest.mark.parametrize("lost", AVAILABILITY_REQUIRED)
+def test_a_field_that_is_null_everywhere_is_there_and_one_that_is_absent_is_not(spark, records, tmp_path, lost):
+    """The records as they came decide, two files of them: typed rows could not tell the two cases apart."""
+    def at(name, rows):
+        (tmp_path / name).mkdir()
+        for i in range(2):
+            (tmp_path / name / f"{i}.json").write_text(json.dumps(rows[i::2], indent=1))
+        return read_records(spark, str(tmp_path / name))
+    nulled = at("null", [{**r, lost: None} for r in records])
+    assert normalize_records(nulled, AVAILABILITY_FIELDS, "K", LOADED, AVAILABILITY_REQUIRED).count() == (0 if lost == "StationUID" else sum(bool(r["StationUID"]) for r in records))
+    absent = at("absent", [{k: v for k, v in r.items() if k != lost} for r in records])
+    with pytest.raises(SchemaError, match=lost):
+        normalize_records(absent, AVAILABILITY_FIELDS, "K", LOADED, AVAILABILITY_REQUIRED)
+    assert normalize_records(at("empty", []), AVAILABILITY_FIELDS, "K", LOADED, AVAILABILITY_REQUIRED).count() == 0
+
+
+def test_typed_records_are_those_of_the_schema(spark, records, raw, tmp_path):
+    whole = normalize_records(read_records(spark, str(tmp_path / "raw")), AVAILABILITY_FIELDS, "K", LOADED)
+    want = normalize(raw, AVAILABILITY_FIELDS, "K", LOADED)
+    assert whole.schema == want.schema and sorted(map(str, whole.collect())) == sorted(map(str, want.collect()))
+
+
 def test_whole_numbers_keep_all_digits(spark):
     big = [str(2**53 + 1), str(-(2**63)), str(2**63 - 1)]
     texts = [*big, str(2**63), "1e3", "-0", "+5", "1.50", "0x1f", "NaN", "Infinity", "", " ", None]

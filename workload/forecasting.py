@@ -171,6 +171,22 @@ def d17(spark, sf):
     return fc.predict(model, v.features(spark, sf), popular(spark, sf), EVENTS_AS_OF, EVENTS_AS_OF, MONTH)
 
 
+@query("d17_forecast_bounds", """
+    SELECT f.station_uid, feature_ts, feature_ts + INTERVAL 12 HOUR AS forecast_for, bikes_available AS bikes_available_now, total_docks,
+           TRUE AS within_docks, TRUE AS one_decimal, TIMESTAMP '2024-01-31' AS predicted_at
+    FROM features f SEMI JOIN popular p ON p.station_uid = f.station_uid
+    WHERE feature_ts >= TIMESTAMP '2024-01-31' - INTERVAL 31 DAY
+      AND fill_ratio IS NOT NULL AND bikes_change_1 IS NOT NULL AND bikes_change_2 IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY f.station_uid ORDER BY feature_ts DESC) = 1""", **SETS)
+def d17_bounds(spark, sf):
+    """Of the same forecasts: for whom and when they are made, and that each lies between no bike and all docks."""
+    made = d17(spark, sf)
+    value = F.col("predicted_bikes_available")
+    return made.select("station_uid", "feature_ts", "forecast_for", "bikes_available_now", "total_docks",
+                       value.between(0, F.col("total_docks")).alias("within_docks"),
+                       (F.abs(value * 10 - F.round(value * 10)) < 1e-9).alias("one_decimal"), "predicted_at")
+
+
 def _accuracy(table: str, where: str = "") -> str:
     model = "avg(abs(predicted_bikes_available - bikes_available_at_target))"
     base = "avg(abs(bikes_available_now - bikes_available_at_target))"

@@ -243,6 +243,13 @@ def i10_stream(spark, sf):
     return event_latency(table.read(), "changed_at", "detected_at", ["status"], exact=False)
 
 
+@query("i10_stream_latency_counts", "SELECT status, count(*) AS events, TRUE AS written_after_change FROM status_events GROUP BY 1")
+def i10_stream_counts(spark, sf):
+    """Of the same stream what does not depend on the clock: events by status, none written before it happened."""
+    found = i10_stream(spark, sf)
+    return found.select("status", "events", ((F.col("median_seconds") >= 0) & (F.col("p95_seconds") >= F.col("median_seconds"))).alias("written_after_change"))
+
+
 @query("h1_status_counts", """
     SELECT count(*) FILTER (WHERE status = 'empty') AS empty, count(*) FILTER (WHERE status = 'full') AS full,
            count(*) FILTER (WHERE status = 'out_of_service') AS out_of_service

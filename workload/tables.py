@@ -18,7 +18,7 @@ from kerbflow.plans.marts import station_hourly
 from kerbflow.schemas import AVAILABILITY_FIELDS, RAW_AVAILABILITY, STAGED_AVAILABILITY
 from kerbflow.session import scratch_dir
 from kerbflow.sources.landing import append_raw, land, newest_batch, read_raw_table, read_staged, recent_days
-from kerbflow.sources.normalize import normalize, station_rows, stage_observations
+from kerbflow.sources.normalize import field_presence, normalize, read_records, stage_observations, station_rows
 from kerbflow.sources.tables import KeyedTable
 from kerbflow.streaming.jobs import station_table
 from workload import views as v
@@ -120,6 +120,26 @@ LATEST_BOTH = """
     QUALIFY row_number() OVER (PARTITION BY station_uid ORDER BY source_updated_at DESC) = 1"""
 
 
+@query("b2_field_presence", """
+    SELECT field, present, count(*) OVER () * 0 + (SELECT count(*) FROM events) AS records FROM (
+        SELECT 'StationUID' AS field, (SELECT count(*) FROM events) AS present
+        UNION ALL SELECT 'ServiceStatus', (SELECT count(*) FROM events)
+        UNION ALL SELECT 'AvailableRentBikesDetail.ElectricBikes', (SELECT count(*) FROM events WHERE event_type <> 'error')
+        UNION ALL SELECT 'UpdateTime', 0)""")
+def b2_presence(spark, sf):
+    """Raw responses, one a station: a field that is null in every record is there, one that no record has is not."""
+    root = scratch_dir(spark, "raw")
+    seen = v.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("StationUID"), "event_type")
+    closed = F.col("event_type") == "error"
+    base = [F.col("StationUID"), F.lit(None).cast("string").alias("ServiceStatus")]
+    detail = F.struct(F.lit(1).alias("ElectricBikes")).alias("AvailableRentBikesDetail")
+    whole = {"ignoreNullFields": "false"}
+    record = F.when(closed, F.to_json(F.struct(*base), whole)).otherwise(F.to_json(F.struct(*base, detail), whole))
+    (seen.withColumn("record", record).groupBy("StationUID")
+     .agg(F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("value")).select("value").write.text(root))
+    return field_presence(read_records(spark, root, lines=True), ("StationUID", "ServiceStatus", "AvailableRentBikesDetail.ElectricBikes", "UpdateTime"))
+
+
 def _halves(spark, sf):
     obs = v.obs(spark, sf).drop("seq")
     cut = lit_like(obs, "source_updated_at", CUT)
