@@ -2,9 +2,11 @@
 
 Stations and points are placed in nested cubes of the globe. A cube whose 3x3x3 neighbourhood holds k stations
 bounds the distance of the k-th nearest one, so the stations of a slightly wider neighbourhood are a complete
-candidate set for every point of the cube. The candidates are then pruned per cube with the triangle inequality,
-again without losing any possible neighbour. Only then do points meet candidates, through an equi join on their
-cube, and each row ranks its own short list: points are never shuffled by trip and never grouped.
+candidate set for every point of the cube. Where that neighbourhood holds many stations (points far from all of them see
+them all in one cube), the cubes are descended instead: level by level, only those stay whose nearest corner is not
+beyond the k-th farthest one. The candidates are then pruned per cube with the triangle inequality, again without losing
+any possible neighbour. Only then do points meet candidates, through an equi join on their cube, and each row ranks its
+own short list: points are never shuffled by trip and never grouped.
 """
 
 from __future__ import annotations
@@ -22,6 +24,12 @@ CUBE = ["__x", "__y", "__z"]
 SPOT = ["px", "py", "pz"]
 HERE = ["__hx", "__hy", "__hz"]
 NEAR = (-1, 0, 1)
+FINE = ["__fx", "__fy", "__fz"]
+MIDDLE = ["__mx", "__my", "__mz"]
+LOW, HIGH = ["__lx", "__ly", "__lz"], ["__ux", "__uy", "__uz"]
+# With more stations in its neighbourhood a cube descends, so many levels at a time.
+MANY = 256
+STEP = 3
 
 
 def _levels(side: float) -> int:
@@ -75,43 +83,96 @@ def fitting_side(index: DataFrame, mean: float = 1.25, most: int = 64, finest: f
     return finest * 2 ** (level or 0)
 
 
-def candidates_per_cube(cubes: DataFrame, index: DataFrame, k: int, side: float) -> DataFrame:
-    """For each finest cube: all stations that may be among the k nearest of a point inside it."""
+def point_boxes(points: DataFrame, spots: list[tuple[str, str]], side: float) -> DataFrame:
+    """Cubes that hold points, and the box around the points in each."""
+    at = [points.select(*_cube(cartesian(F.col(lat), F.col(lng)), side), *[c.alias(n) for c, n in zip(cartesian(F.col(lat), F.col(lng)), SPOT)])
+          for lat, lng in spots]
+    ends = [f(p).alias(n) for f, names in ((F.min, LOW), (F.max, HIGH)) for p, n in zip(SPOT, names)]
+    return reduce(DataFrame.union, at).where(F.col("__x").isNotNull()).groupBy(*CUBE).agg(*ends)
+
+
+def _length(parts: list[Column]) -> Column:
+    return F.sqrt(sum((p * p for p in parts), F.lit(0.0)))
+
+
+def _descended(cubes: DataFrame, nodes: DataFrame, k: int, top: int) -> DataFrame:
+    """Finest cubes of stations that each of these cubes has to look at.
+
+    `cubes` start with the cubes around them at a coarse level. `nodes` has the number of stations and the box around them
+    for every STEP-th level. Of the cubes that are left, the k-th farthest corner bounds the way to the k-th station; what
+    lies wholly beyond it goes, and the others are replaced by the smaller cubes in them.
+    """
+    box = ["__n", *LOW, *HIGH]
+    own = [*FINE, *MIDDLE, "__margin"]
+
+    def pruned(front: DataFrame) -> DataFrame:
+        least = _length([F.greatest(F.col(lo) - F.col(m), F.col(m) - F.col(hi), F.lit(0.0)) for lo, hi, m in zip(LOW, HIGH, MIDDLE)])
+        most = _length([F.greatest(F.abs(F.col(lo) - F.col(m)), F.abs(F.col(hi) - F.col(m))) for lo, hi, m in zip(LOW, HIGH, MIDDLE)])
+        ranked = front.withColumns({"__least": least, "__most": most})
+        held = F.sum("__n").over(Window.partitionBy(*FINE).orderBy("__most").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        reach = F.min(F.when(F.col("__held") >= k, F.col("__most"))).over(Window.partitionBy(*FINE))
+        return ranked.withColumn("__held", held).withColumn("__reach", reach).where(
+            F.col("__reach").isNull() | (F.col("__least") <= F.col("__reach") + F.col("__margin"))).select(*own, "__level", *CUBE, *box)
+
+    front = cubes.withColumn("__d", F.explode(_neighbourhood())).select(*own, "__level", *_shifted()).join(nodes, ["__level", *CUBE])
+    for level in range(top, 0, -STEP):
+        left = store(pruned(front), "descent")
+        inside = [f"{c}_in" for c in CUBE]
+        smaller = nodes.where(F.col("__level") == level - STEP).select(
+            *[F.call_function("shiftright", F.col(c), F.lit(STEP)).alias(i) for c, i in zip(CUBE, inside)], "__level", *CUBE, *box)
+        down = left.where(F.col("__level") == level).select(*own, *[F.col(c).alias(i) for c, i in zip(CUBE, inside)])
+        front = left.where(F.col("__level") < level).unionByName(down.join(smaller, inside).select(*own, "__level", *CUBE, *box))
+    return pruned(front).select(*own, *CUBE)
+
+
+def candidates_per_cube(boxes: DataFrame, index: DataFrame, k: int, side: float) -> DataFrame:
+    """For each finest cube of `point_boxes`: all stations that may be among the k nearest of a point in its box."""
     top = _levels(side)
-    levels = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("__level")
+    coarsest = -(-top // STEP) * STEP
+    levels = F.explode(F.sequence(F.lit(0), F.lit(coarsest))).alias("__level")
     level = F.col("__level")
 
     placed = index.select("*", *_cube((F.col("px"), F.col("py"), F.col("pz")), side))
-    leveled = placed.select(*index.columns, *CUBE, levels).select(
-        *index.columns, "__level", *_at_level(CUBE, level))
-
-    # Cubes whose neighbourhood holds at least k stations. Counts are summed per cube before they are spread.
-    filled = leveled.groupBy("__level", *CUBE).agg(F.count(F.lit(1)).alias("__n"))
-    enough = (
-        filled.withColumn("__d", F.explode(_neighbourhood()))
-        .select("__level", "__n", *_shifted())
-        .groupBy("__level", *CUBE).agg((F.sum("__n") >= k).alias("__enough"))
-    )
-    fine = [f"__f{c[2:]}" for c in CUBE]
-    coarser = [F.call_function("shiftright", F.col(f), level).alias(c) for f, c in zip(fine, CUBE)]
-    located = cubes.select(*[F.col(c).alias(f) for f, c in zip(fine, CUBE)], levels).select(*fine, "__level", *coarser)
+    # Stations and their box, by cube of every level. Sums are taken per cube of the finest level before they are spread.
+    finest = placed.groupBy(*CUBE).agg(F.count(F.lit(1)).alias("__n"), *[f(p).alias(n) for f, names in ((F.min, LOW), (F.max, HIGH)) for p, n in zip(SPOT, names)])
+    nodes = store(finest.select("__n", *LOW, *HIGH, *CUBE, levels).select("__n", *LOW, *HIGH, "__level", *_at_level(CUBE, level))
+                  .groupBy("__level", *CUBE).agg(F.sum("__n").alias("__n"), *[F.min(c).alias(c) for c in LOW], *[F.max(c).alias(c) for c in HIGH]),
+                  "station-cubes")
+
+    # Cubes whose neighbourhood holds at least k stations.
+    around = (nodes.withColumn("__d", F.explode(_neighbourhood())).select("__level", "__n", *_shifted())
+              .groupBy("__level", *CUBE).agg(F.sum("__n").alias("__around")))
+    half = [((F.col(lo) + F.col(hi)) / 2).alias(m) for lo, hi, m in zip(LOW, HIGH, MIDDLE)]
+    margin = _length([F.col(hi) - F.col(lo) for lo, hi in zip(LOW, HIGH)]) + F.lit(0.05)
+    own = boxes.select(*[F.col(c).alias(f) for f, c in zip(FINE, CUBE)], *half, margin.alias("__margin"))
+    mine = [*FINE, *MIDDLE, "__margin"]
+    coarser = [F.call_function("shiftright", F.col(f), level).alias(c) for f, c in zip(FINE, CUBE)]
+    located = own.select("*", levels).select(*mine, "__level", *coarser).join(around, ["__level", *CUBE], "left")
     # All k neighbours lie within twice the diagonal of the smallest such cube, which is less than four of its sides:
     # the neighbourhood two levels up holds them. Without any cube of k stations the top level takes all.
-    search = located.join(enough, ["__level", *CUBE], "left").groupBy(*fine).agg(
-        F.least(F.coalesce(F.min(F.when(F.col("__enough"), level)) + 2, F.lit(top)), F.lit(top)).alias("__level"))
-    probes = search.select(*fine, "__level", *coarser).withColumn("__d", F.explode(_neighbourhood())).select(
-        *fine, "__level", *_shifted())
-    pairs = probes.join(leveled, ["__level", *CUBE])
-    centre = [(F.col(f) + F.lit(0.5)) * F.lit(float(side)) for f in fine]
-    gap = F.sqrt(sum(((c - F.col(p)) * (c - F.col(p)) for c, p in zip(centre, SPOT)), F.lit(0.0)))
-    # A station further from the centre than the k-th one by more than the cube's diagonal is never needed.
-    whole = Window.partitionBy(*fine).orderBy("__gap").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    search = (located.groupBy(*mine).agg(
+        F.min(F.when(F.col("__around") >= k, level)).alias("__smallest"), F.map_from_entries(F.collect_list(F.struct(level, "__around"))).alias("__counts"))
+        .withColumn("__level", F.least(F.coalesce(F.col("__smallest") + 2, F.lit(coarsest)), F.lit(coarsest)))
+        .withColumn("__meets", F.try_element_at("__counts", level)).drop("__counts", "__smallest"))
+    search = store(search, "searched-cubes")
+    far = F.col("__meets") > MANY
+    probes = search.where(~far | F.col("__meets").isNull()).select(*mine, "__level", *coarser).withColumn("__d", F.explode(_neighbourhood())).select(
+        *mine, "__level", *_shifted())
+    leveled = placed.select(*index.columns, *CUBE, levels).select(*index.columns, "__level", *_at_level(CUBE, level))
+    pairs = probes.join(leveled, ["__level", *CUBE]).select(*mine, *index.columns)
+    many = search.where(far).withColumn("__level", F.ceil(level / STEP).cast("int") * STEP)
+    if not many.isEmpty():
+        nodes = nodes.where(level % STEP == 0)
+        seen = _descended(many.select(*mine, "__level", *coarser), nodes, k, coarsest)
+        pairs = pairs.unionByName(seen.join(placed, CUBE).select(*mine, *index.columns))
+    gap = _length([F.col(m) - F.col(p) for m, p in zip(MIDDLE, SPOT)])
+    # A station further from the middle than the k-th one by more than the box's diagonal is never needed.
+    whole = Window.partitionBy(*FINE).orderBy("__gap").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     reach = F.nth_value("__gap", k).over(whole)
-    ranged = pairs.select(*fine, *index.columns, gap.alias("__gap")).withColumn("__reach", reach)
-    margin = F.lit(3**0.5 * side + 0.05)
+    ranged = pairs.select(*FINE, *index.columns, "__margin", gap.alias("__gap")).withColumn("__reach", reach)
     return (
-        ranged.where(F.col("__reach").isNull() | (F.col("__gap") <= F.col("__reach") + margin))
-        .groupBy(*[F.col(f).alias(c) for f, c in zip(fine, CUBE)])
+        ranged.where(F.col("__reach").isNull() | (F.col("__gap") <= F.col("__reach") + F.col("__margin")))
+        .groupBy(*[F.col(f).alias(c) for f, c in zip(FINE, CUBE)])
         .agg(F.collect_list(F.struct("station_uid", "lat", "lng", "px", "py", "pz")).alias("__near"))
     )
 
@@ -143,14 +204,12 @@ def candidate_index(points: DataFrame, stations: DataFrame, k: int, spots: list[
                     side: float | None = None) -> tuple[DataFrame, float]:
     """Stored candidates of every cube that holds a point, and the edge of the cubes.
 
-    `spots` lists the coordinate columns of the points. The index depends on stations and covered cubes only, so one
-    index serves all batches of points in its cubes.
+    `spots` lists the coordinate columns of the points. The index serves these points: candidates follow the box around
+    the points of a cube.
     """
     index = store(_station_index(stations, k), "stations")
     size = side or fitting_side(index)
-    cubes = [points.select(*_cube(cartesian(F.col(lat), F.col(lng)), size)).where(F.col("__x").isNotNull()).distinct()
-             for lat, lng in spots]
-    return store(candidates_per_cube(reduce(DataFrame.union, cubes).distinct(), index, k, size), "candidates"), size
+    return store(candidates_per_cube(point_boxes(points, spots, size), index, k, size), "candidates"), size
 
 
 def rank_candidates(points: DataFrame, near: DataFrame, size: float, k: int, spots: dict[str, tuple[str, str]]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbflow.functions.convert import to_double
 from kerbflow.operators.dedupe import top_per_key
+from kerbflow.session import store
 
 GRAM = 3
 
@@ -18,31 +19,43 @@ def _grams(text: Column, size: int) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(size))))
 
 
-def match_stations(queries: DataFrame, stations: DataFrame, limit: int = 5) -> DataFrame:
+def _postings(stations: DataFrame, limit: int) -> DataFrame:
+    distinct = top_per_key(stations.select("station_uid", "station_name"), ["station_name"], [F.col("station_uid").asc()], limit)
+    names = distinct.select("station_uid", "station_name", F.lower("station_name").alias("__name"), F.char_length("station_name").alias("__length"))
+    return names.select("*", F.explode(F.concat(*[_grams(F.col("__name"), g) for g in range(1, GRAM + 1)])).alias("__gram"))
+
+
+def name_index(stations: DataFrame, limit: int = 5) -> DataFrame:
+    """Stored posting lists: one row for each name and each piece of one to three letters in it, in order of the pieces.
+
+    Written once for a table of stations, and read by any number of searches. Equal names match alike and rank by id, so
+    only the first `limit` stations of a name are kept; a search may ask for as many results at most. A piece that very
+    many names have is spread over files like any other rows.
+    """
+    return store(_postings(stations, limit).repartitionByRange("__gram", "__name").sortWithinPartitions("__gram"), "name-index")
+
+
+def match_stations(queries: DataFrame, stations: DataFrame, limit: int = 5, index: DataFrame | None = None) -> DataFrame:
     """Stations whose name contains the query text: earlier position first, then shorter name, then id.
 
     Each distinct text is searched once, however many rows ask for it. A text meets only the names that share its
-    rarest piece of three letters, through an equi join; names that lack that piece cannot contain the text.
+    rarest piece of three letters, through an equi join; names that lack that piece cannot contain the text. With `index`
+    the pieces of the names come from `name_index`; without it they are taken from the stations, those of the texts alone.
     """
     asked = queries.withColumn("__text", F.lower(F.trim("query"))).where(F.col("__text") != "")
-    texts = asked.select("__text").distinct()
-    # Equal names match alike and rank by id, so only the first few stations of a name can be in a result.
-    distinct = top_per_key(stations.select("station_uid", "station_name"), ["station_name"], [F.col("station_uid").asc()], limit)
-    names = distinct.select(
-        "station_uid", "station_name", F.lower("station_name").alias("__name"),
-        F.char_length("station_name").alias("__length"))
-    pieces = names.select(
-        "station_uid", "station_name", "__name", "__length",
-        F.explode(F.concat(*[_grams(F.col("__name"), g) for g in range(1, GRAM + 1)])).alias("__gram"))
-    frequency = pieces.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
     size = F.least(F.char_length("__text"), F.lit(GRAM))
-    own = texts.select("__text", F.explode(F.when(size == 1, _grams(F.col("__text"), 1))
-                                           .when(size == 2, _grams(F.col("__text"), 2))
-                                           .otherwise(_grams(F.col("__text"), GRAM))).alias("__gram"))
+    own = store(asked.select("__text").distinct().select("__text", F.explode(
+        F.when(size == 1, _grams(F.col("__text"), 1)).when(size == 2, _grams(F.col("__text"), 2)).otherwise(_grams(F.col("__text"), GRAM))).alias("__gram")),
+        "searched-pieces")
+    wanted = own.select("__gram").distinct()
+    if index is None:
+        index = _postings(stations, limit)
+    postings = store(index.join(wanted, "__gram", "left_semi"), "postings")
+    frequency = postings.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
     # A piece that no name has ends the search for its text: it counts zero and finds nothing.
     weighed = own.join(frequency, "__gram", "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
     rarest = top_per_key(weighed, ["__text"], [F.col("__n").asc(), F.col("__gram").asc()])
-    hits = rarest.join(pieces, "__gram").withColumn("position", F.expr("instr(__name, __text)")).where("position > 0")
+    hits = rarest.join(postings, "__gram").withColumn("position", F.expr("instr(__name, __text)")).where("position > 0")
     best = top_per_key(
         hits, ["__text"], [F.col("position").asc(), F.col("__length").asc(), F.col("station_uid").asc()], limit,
         rank="match_rank")

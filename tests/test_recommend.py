@@ -179,3 +179,38 @@ def test_point_labels_levels_and_area(spark):
     levels = spark.createDataFrame([(o, n) for o in (True, False) for n in range(6)], "o boolean, n int")
     shown = levels.select("o", "n", availability_level(F.col("o"), F.col("n")).alias("x")).collect()
     assert all(r["x"] == ("closed" if not r["o"] else "none" if r["n"] == 0 else "low" if r["n"] < 3 else "ok") for r in shown)
+
+
+@pytest.mark.parametrize("many", [0, 256])
+def test_far_points_meet_few_of_many_stations(spark, monkeypatch, many):
+    """Points far from a dense town descend to its near edge: no point meets all stations, and the nearest are exact."""
+    from kerbflow.operators import knn as module
+    r, sizes, whole = random.Random(8), {}, module.store
+
+    def spied(df, name, **options):
+        out = whole(df, name, **options)
+        sizes.setdefault(name, []).append(out)
+        return out
+    monkeypatch.setattr(module, "store", spied)
+    monkeypatch.setattr(module, "MANY", many)
+    stations = [(f"s{i:04}", 50 + r.gauss(0, .03), 8 + r.gauss(0, .05)) for i in range(5000)]
+    points = [(i, r.uniform(-60, 45), r.uniform(-170, 170)) for i in range(50)] + [(50, 50.0, 8.0), (51, None, 8.0), (52, -50.0, -172.0)]
+    near = knn(spark.createDataFrame(points, "n long, lat double, lng double"), spark.createDataFrame(stations, "station_uid string, lat double, lng double"), 6)
+    got = {row["n"]: [(round(s["meters"], 3), s["station_uid"]) for s in row["neighbours"] or []] for row in near.collect()}
+    for n, lat, lng in points:
+        if lat is None:
+            assert got[n] == []
+            continue
+        want = sorted((round(metres((lat, lng), s[1:]), 3), s[0]) for s in stations)[:6]
+        assert [s for _, s in got[n]] == [s for _, s in want] or all(abs(a[0] - b[0]) < 0.002 for a, b in zip(got[n], want))
+    assert sum(row["n"] for row in sizes["candidates"][0].select(F.size("__near").alias("n")).collect()) < 5000
+    assert sizes["descent"] and all(front.count() < 5000 for front in sizes["descent"])
+
+
+def test_searches_with_a_stored_index_find_the_same(spark):
+    from kerbflow.operators.search import match_stations, name_index
+    r = random.Random(2)
+    names = spark.createDataFrame([(str(i), "".join(r.choice("abAB ") for _ in range(r.randint(1, 7)))) for i in range(300)], "station_uid string, station_name string")
+    asked = spark.createDataFrame([(i, "".join(r.choice("abB ") for _ in range(r.randint(0, 4)))) for i in range(60)], "q long, query string")
+    index = name_index(names)
+    assert sorted(match_stations(asked, names, index=index).collect()) == sorted(match_stations(asked, names).collect())
