@@ -7,6 +7,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ PIECE = 1 << 14
 #: A pair of ids is one number, first id * SECOND + second id.
 SECOND = 1 << 15
 #: Chunks whose ids are remembered in a worker; beyond that the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 #: So many id pairs (about 50 MB) are broadcast to the links at most; more pairs are joined by a shuffle.
 BROADCAST_PAIRS = 1 << 20
 #: White space, and what follows up to the next. Neither tokenizer joins a token across the start of a chunk.
@@ -63,7 +64,7 @@ def byte_bpe(path: str) -> Vocabulary:
     library.encode_special_tokens = True
     names = sorted(library.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
     tokens = [bytes(of[c] for c in name) if all(c in of for c in name) else name.encode() for name, _ in names]
-    return Vocabulary(tokens, lambda text: library.encode(text, add_special_tokens=False).ids)
+    return Vocabulary(tokens, lambda text: library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
 
 def piece_bpe(path: str) -> Vocabulary:
@@ -158,9 +159,11 @@ class Encoder:
         said = [t.decode("utf-8", "replace") for t in batch]
         split = [CHUNK.findall(" " + t) if t and not OTHER.search(t) else [] for t in said]
         chunks = [c for line in split for c in line]
-        if fresh := list(dict.fromkeys(c for c in chunks if c not in self.known)):
-            self.learn(fresh)
-        codes = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        codes = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        if len(new := np.flatnonzero(codes < 0)):
+            unknown = [chunks[i] for i in new.tolist()]
+            self.learn(list(dict.fromkeys(unknown)))
+            codes[new] = np.fromiter(map(self.known.__getitem__, unknown), np.int64, len(unknown))
         first = np.cumsum([0, *map(len, split)])
         odd = np.concatenate([[0], np.cumsum(np.frombuffer(self.odd, np.int8)[codes])]) if len(codes) else np.zeros(1, np.int64)
         apart = {i: self.whole(t, batch[i]) for i, t in enumerate(said) if t and (not split[i] or odd[first[i + 1]] > odd[first[i]])}
