@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbflow.llm.recurring import Units, merged, with_recurring
 from kerbflow.llm.registry import query, table
-from kerbflow.llm.rows import map_texts
+from kerbflow.llm.rows import map_texts, under_plain_names
 
 WINDOW, GRAM = 35, 8
 UNITS = Units(WINDOW, GRAM, words=True)
@@ -76,13 +76,15 @@ def kept_words(text: bytes, runs: list[dict] | None, whole: bool) -> tuple[int,
 
 
 def remove_repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of `docs`, the text without its recurring passages, and n_words, n_removed, kept_sha256.
+    """All columns of `docs`, the text without its recurring passages, and n_words, n_removed, kept_sha256 (also in place of
+    such columns of `docs`).
 
     A word goes if any window of 35 words around it also starts anywhere else, in this text or another; all places go,
     the first too. Windows are judged on the input. Kept words are joined by one space where something was removed, and
     a text from which nothing goes stays as it is (null stays null). Texts of fewer than 35 words lose nothing, copies
     of a longer text lose all. Ids may be null or repeated; each row counts as a text of its own.
     """
+    docs, back = under_plain_names(docs.drop("n_words", "n_removed", "kept_sha256"), [id_column, text])
     found = with_recurring(docs, id_column, text, UNITS, find_passages, word_windows)
 
     def make():
@@ -95,8 +97,10 @@ def remove_repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: s
             return [list(c) for c in zip(*out)] if out else [[], [], [], []]
         return derive
 
-    return map_texts(found, docs.columns, text, make, f"`{text}` string, n_words long, n_removed long, kept_sha256 string",
-                     use=("_runs", "_whole", text))
+    cut = map_texts(found, docs.columns, text, make, f"`{text}` string, n_words long, n_removed long, kept_sha256 string",
+                    use=("_runs", "_whole", text))
+    # The text comes last among the fields; the caller's order is restored.
+    return back(cut.select(*docs.columns, "n_words", "n_removed", "kept_sha256"))
 
 
 @query("op8_substring_dedup")

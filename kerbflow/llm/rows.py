@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -37,6 +38,30 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
             yield batch.slice(start)
 
 
+def under_plain_names(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The table with all columns but those of `keep` under names that no helper uses, and the way back.
+
+    The way back takes a table that begins with the same columns in the same order. So a caller's columns may have any
+    name, also one with a dot or one that a helper uses inside.
+    """
+    plain = [name if name in keep else f"carried{i}" for i, name in enumerate(docs.columns)]
+    return docs.toDF(*plain), lambda found: found.toDF(*docs.columns, *found.columns[len(plain):])
+
+
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Plans that run inside send texts to Python in batches of about `size` bytes, whatever the number of rows."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 of a column; a null text is empty."""
     values = batch.column(column)

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from kerbflow.llm.components import components
 from kerbflow.llm.recurring import digest
 from kerbflow.llm.registry import query, table
-from kerbflow.llm.rows import LOWER, map_texts
+from kerbflow.llm.rows import LOWER, map_texts, small_batches, under_plain_names
 from kerbflow.llm.similar import alike_roots, majority, with_sets
 from kerbflow.session import store
 
@@ -191,7 +191,8 @@ def _rows(docs: DataFrame, id_column: str, text: str, shingle: int, similarity:
     """(id, key, fp, node, ...) of every row; rows with one node are copies to the method."""
     keyed = docs.select(id_column, text, digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("key"))
     if similarity is not None:
-        return store(with_sets(keyed, [id_column, "key"], text, shingle, similarity), "shingle-sets")
+        with small_batches(docs.sparkSession):
+            return store(with_sets(keyed, [id_column, "key"], text, shingle, similarity), "shingle-sets")
     return store(with_fingerprints(keyed, [id_column, "key"], text, shingle).withColumn("node", F.col("fp")), "fingerprints")
 
 
@@ -226,6 +227,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     Components are those of near_duplicates. Of rows that repeat both id and text one stays. Texts meet the chosen ids once;
     only texts whose id and content are repeated take a further step.
     """
+    docs, back = under_plain_names(docs, [id_column, text])
     rows = _rows(docs, id_column, text, shingle, similarity)
     member = _members(docs, rows, id_column, text, shingle, similarity)
     same = rows.groupBy(F.col(id_column).alias("id"), "key", "node").count()
@@ -236,7 +238,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     single = met.where("c.n = 1").select(*(F.col(f"d.`{c}`") for c in docs.columns))
     several = met.where("c.n > 1").groupBy("c.id", "c.key").agg(F.min_by(F.struct(*(F.col(f"d.`{c}`") for c in docs.columns)), F.to_json(
         F.struct(*(F.col(f"d.`{c}`") for c in docs.columns if c != text)))).alias("row")).select("row.*")
-    return single.unionByName(several)
+    return back(single.unionByName(several))
 
 
 @query("op7_simhash")

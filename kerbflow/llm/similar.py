@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from kerbflow.llm.bits import bits_of, has
 from kerbflow.llm.blocks import block, grams, word_hashes
 from kerbflow.llm.components import components
 from kerbflow.llm.recurring import digest
-from kerbflow.llm.rows import LOWER, map_texts, texts
+from kerbflow.llm.rows import LOWER, map_texts, pieces, small_batches, texts
 from kerbflow.session import discard, store
 
 FOLD = np.frombuffer(LOWER, np.uint8)
@@ -23,9 +24,11 @@ FOLD = np.frombuffer(LOWER, np.uint8)
 WIDE_BITS = 26
 #: Sets with fewer shingles than this are compared whatever their fingerprints.
 FEW = 16
-#: Shingles that several texts of a sample share come last in the order of shingles; kept as a filter of so many bits.
-COMMON_BITS = 1 << 24
+#: Shingles that several texts of a sample share come last in the order of shingles; kept as a filter of 2 to the power of so many bits.
+COMMON_POWER = 24
 SAMPLE, COMMON = 16, 3
+#: The filter of tokens that recur has 2 to the power of so many bits; a fuller one lets more through.
+RECURRING_POWER = 26
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -66,10 +69,7 @@ def common_shingles(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
     part = docs.where(F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(SAMPLE)) == 0)
     sets = map_texts(part, [], text, lambda: lambda found: [[s.view(np.int64) for s in shingle_sets(found, shingle)]], "shingles array<long>")
     counted = sets.select(F.explode("shingles").alias("s")).groupBy("s").count().where(F.col("count") >= COMMON)
-    places = counted.select(F.col("s").bitwiseAND(F.lit(COMMON_BITS - 1)).cast("int").alias("p")).distinct().toArrow()
-    bits = np.zeros(COMMON_BITS, bool)
-    bits[places.column("p").to_numpy()] = True
-    return np.packbits(bits)
+    return bits_of(counted, "s", COMMON_POWER)
 
 
 def with_sets(docs: DataFrame, keep: list[str], text: str, shingle: int, similarity: float) -> DataFrame:
@@ -78,13 +78,12 @@ def with_sets(docs: DataFrame, keep: list[str], text: str, shingle: int, similar
     `tokens` are the first shingles of the set in an order of all shingles, so many that two alike sets have one of them
     in common: all but what they share at least, and one.
     """
-    common = common_shingles(docs, text, shingle)
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, shingle))
 
     def derive(found: list[bytes]) -> list[list]:
         sets, tokens = shingle_sets(found, shingle), []
         for own in sets:
-            place = (own & np.uint64(COMMON_BITS - 1)).astype(np.int64)
-            late = (common[place >> 3] >> (7 - (place & 7)) & 1).astype(bool)
+            late = has(common.value, own, COMMON_POWER)
             tokens.append(np.concatenate([own[~late], own[late]])[:len(own) - least_common(len(own), similarity) + 1].view(np.int64))
         return [[node(own) for own in sets], [majority(own) for own in sets], [len(own) for own in sets], tokens]
 
@@ -115,6 +114,20 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
     """
     schema = "a long, b long"
     arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], schema).schema)
+    placed_schema = "token long, node long, fp long, size int"
+    placed_arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], placed_schema).schema)
+    # Most tokens stand in one set alone; only those that may recur are moved with what belongs to them.
+    again = sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1")
+    recurring = sets.sparkSession.sparkContext.broadcast(bits_of(again, "token", RECURRING_POWER))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("tokens")
+            tokens = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            there = np.flatnonzero(has(recurring.value, tokens.view(np.uint64), RECURRING_POWER))
+            own = pa.array(owner[there])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[there]), *(batch.column(c).take(own) for c in ("node", "fp", "size"))], schema=placed_arrow)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -143,8 +156,8 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
         if held:
             yield edges(pa.Table.from_batches(held))
 
-    placed = sets.select(F.explode("tokens").alias("token"), "node", "fp", "size").repartition("token").sortWithinPartitions("token", "node")
-    return placed.mapInArrow(join, schema)
+    placed = sets.select("node", "fp", "size", "tokens").mapInArrow(places, placed_schema)
+    return placed.repartition("token").sortWithinPartitions("token", "node").mapInArrow(join, schema)
 
 
 def groups(sets: list[np.ndarray], similarity: float) -> list[int]:
@@ -188,8 +201,9 @@ def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shi
     `rows` has the id, the `key` (digest of the text) and the columns of `with_sets`. The text of one row of each node
     is moved to where its family meets.
     """
-    sets = rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "size", "tokens")))
+    sets = store(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "size", "tokens"))), "distinct-sets")
     families = components(candidate_links(sets, similarity))
+    discard(sets)
     chosen = store(rows.join(families, "node").groupBy("node", "root").agg(F.min(F.struct(F.col(id_column).alias("id"), "key")).alias("m"))
                    .select("root", "m.id", "m.key").distinct(), "family-texts")
     source = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("string").alias("_text"),
@@ -209,8 +223,7 @@ def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shi
             return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([least[x] for x in label.tolist()], pa.int64())], schema=arrow)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in pieces([batch], "_text"):
                 for root, own in zip(part.column(0).to_pylist(), shingle_sets(texts(part, "_text"), shingle)):
                     if root != family and held:
                         yield settle()
@@ -220,6 +233,7 @@ def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shi
         if held:
             yield settle()
 
-    roots = store(met.mapInArrow(confirm, schema), "family-roots")
+    with small_batches(docs.sparkSession):
+        roots = store(met.mapInArrow(confirm, schema), "family-roots")
     discard(chosen)
     return roots

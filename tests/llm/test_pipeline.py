@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kerbflow.llm.decontaminate import contamination
@@ -56,3 +57,19 @@ def test_without_a_usable_label_all_rows_pass_the_quality_stage(spark, monkeypat
     monkeypatch.setattr(corpus_pipeline, "table", lambda *a: table(*a).where(usable))
     kept = corpus_pipeline.quality(spark, docs, SF)
     assert kept.columns == docs.columns and kept.exceptAll(docs).count() == docs.exceptAll(kept).count() == 0
+
+
+ODD = ["_key", "_score", "_match", "_runs", "_whole", "_text", "a.b", "n_words", "score", "size", "node", "root", "key", "id", "fp", "n_chars"]
+
+
+def test_stages_keep_the_callers_columns_whatever_their_names(spark):
+    """Columns with the names that helpers use, and one with a dot, come out of every stage as they went in."""
+    docs = table(spark, SF, "documents").limit(60)
+    wide = docs.select("doc_id", "text", *(F.concat(F.lit(f"{i}:"), F.col("doc_id").cast("string")).alias(name) for i, name in enumerate(ODD[:-1])), "n_chars")
+    wide = store(wide, "wide")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, wide, SF)
+        assert found.columns == wide.columns and found.count() > 0, name
+        for row in found.collect():
+            assert all(row[2 + i] == f"{i}:{row['doc_id']}" for i in range(len(ODD) - 1)), name
+    assert corpus_pipeline.packing(spark, wide, SF).select("doc_id").distinct().count() == 60
