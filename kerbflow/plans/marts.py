@@ -22,6 +22,18 @@ def fact_availability(raw: DataFrame, tz: str) -> DataFrame:
     return once.withColumn("local_date", local_date(F.col("source_updated_at"), tz))
 
 
+def store_bucketed(fact: DataFrame, name: str, path: str, buckets: int = 64) -> DataFrame:
+    """The fact table as an external table bucketed and sorted by station, read back.
+
+    Whatever groups, orders or joins by station, alone or with a time, then needs no exchange: features and the hourly mart
+    are computed where the rows lie. A bucket is read by one task, so `buckets` must fit the table; stations that hold a
+    large part of all rows are better served by the plain table.
+    """
+    (fact.hint("rebalance", "station_uid").write.mode("overwrite").bucketBy(buckets, "station_uid")
+     .sortBy("station_uid", "source_updated_at").option("path", path).saveAsTable(name))
+    return fact.sparkSession.table(name)
+
+
 def station_hourly(fact: DataFrame, stations: DataFrame, tz: str, since: datetime | None = None) -> DataFrame:
     """Use of each station per local hour, in-service observations only.
 

@@ -68,3 +68,8 @@ def test_ranking_points_does_not_shuffle_them(spark):
     """From the scan of the trips to their ranked arrays there is only the spread of a one-file table."""
     text = plan(QUERIES["f9_knn"](spark, SF))
     assert "hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
+def test_features_of_bucketed_facts_exchange_nothing(spark):
+    text = plan(QUERIES["d7_station_features_bucketed"](spark, SF))
+    assert "Exchange" not in text and "Bucketed: true" in text

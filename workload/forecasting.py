@@ -11,6 +11,7 @@ from kerbflow.functions.timefns import calendar_features
 from kerbflow.operators.lagfeatures import exact_lag, exact_lead, last_per_bucket
 from kerbflow.plans import forecast as fc
 from kerbflow.plans.features import complete, popular_stations, station_features
+from kerbflow.plans.marts import store_bucketed
 from kerbflow.session import scratch_dir, store
 from workload import views as v
 from workload.registry import query
@@ -77,6 +78,14 @@ def d7(spark, sf):
     return v.features(spark, sf)
 
 
+@query("d7_station_features_bucketed", "SELECT * FROM features")
+def d7_bucketed(spark, sf):
+    """The same from facts that lie bucketed by station: nothing is exchanged."""
+    path = scratch_dir(spark, "bucketed-fact")
+    fact = store_bucketed(v.fact(spark, sf), "fact_" + path.rsplit("-", 1)[1], path, buckets=8)
+    return station_features(fact, TZ, BUCKET, HORIZON)
+
+
 @query("d7_station_features_lookback", "SELECT * FROM features WHERE feature_ts >= TIMESTAMP '2024-01-10'")
 def d7_recent(spark, sf):
     """The incremental form: reads four more buckets than it returns, and equals the full build there."""
