@@ -17,25 +17,58 @@ PHRASES = {
     "mit license": "mit",
 }
 
-#: Opening passages of public licence notices, and their labels.
+#: Passages of public licences and of their notices, and their labels.
 TEMPLATES = {
-    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-           "documentation files, to deal in the Software without restriction, including without limitation the rights to use, "
-           "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-    "apache": "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
-              "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
-              "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
-    "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-           "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-           "later version",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-           "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
-           "conditions and the following disclaimer",
-    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
-           "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
-    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
-    "unlicense": "This is free and unencumbered software released into the public domain",
+    "mit": [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files, to deal in the Software without restriction, including without limitation the rights to use, "
+        "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+        "Software",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+    ],
+    "apache": [
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
+        "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
+        "See the License for the specific language governing permissions and limitations under the License",
+        "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable "
+        "copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and "
+        "distribute the Work and such Derivative Works in Source or Object form",
+    ],
+    "gpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details",
+        "You should have received a copy of the GNU General Public License along with this program",
+        "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed",
+    ],
+    "bsd": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED",
+    ],
+    "mpl": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
+    ],
+    "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License"],
+    "cc0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+        "as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    ],
 }
 
 #: A match shorter than this covers nothing of a template.
@@ -59,10 +92,11 @@ class Automaton:
     named: list[list[tuple[int, str]]] = field(default_factory=list)
 
     @classmethod
-    def build(cls, templates: dict[str, str], phrases: dict[str, str], min_match: int = MIN_MATCH) -> Automaton:
+    def build(cls, templates: dict[str, list[str]], phrases: dict[str, str], min_match: int = MIN_MATCH) -> Automaton:
         made = cls(min_match)
-        for label, text in templates.items():
-            made._add(folded_words(text.encode()), label)
+        for label, passages in templates.items():
+            for text in passages:
+                made._add(folded_words(text.encode()), label)
         named = []
         for text, label in phrases.items():
             named.append((made._add(folded_words(text.encode()), None), label))
@@ -148,24 +182,34 @@ class Automaton:
             matches.append((len(words), size, state))
         return places, matches
 
-    def coverage(self, matches: list[tuple[int, int, int]]) -> list[float]:
-        """Share of each template's words that the best chain of matches covers, in the order of text and template."""
-        best: list[dict[int, int]] = [{} for _ in self.sizes]  # template position -> words covered up to it
-        for _, size, state in matches:
+    def spans(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
+        """(template, first word, last word, share) of the best chain of matches of each template that has one.
+
+        A chain takes matches in the order of text and template; the share is that of the template's words it covers, and
+        the words are those of the text where its first match begins and its last one ends. Of equal shares the chain that
+        ends first stays, of those that end together the one that begins last.
+        """
+        chains: dict[int, dict[int, tuple[int, int]]] = {}  # template -> position -> words covered up to it, less the first word
+        best: dict[int, tuple[int, int, int]] = {}  # template -> words covered, less the last word, first word
+        for stop, size, state in matches:
             gained = []
             for template, end in self.ends[state]:
                 start = end - size
-                before = max((c - max(0, p - start) for p, c in best[template].items() if p < end), default=0)
-                gained.append((template, end, max(0, before) + size))
-            for template, end, covered in gained:
-                best[template][end] = max(best[template].get(end, 0), min(covered, end))
-        return [max(b.values(), default=0) / size for b, size in zip(best, self.sizes, strict=True)]
+                before = max(((c - max(0, p - start), first) for p, (c, first) in chains.get(template, {}).items() if p < end), default=(0, 0))
+                gained.append((template, end, (before[0] + size, before[1]) if before[0] > 0 else (size, stop - size)))
+            for template, end, chain in gained:
+                own = chains.setdefault(template, {})
+                own[end] = max(own.get(end, (0, 0)), chain)
+                best[template] = max(best.get(template, (0, 0, 0)), (chain[0], 1 - stop, chain[1]))
+        return [(template, first, -last, covered / self.sizes[template]) for template, (covered, last, first) in sorted(best.items())]
 
 
-def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None,
+def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text: str = "text", templates: dict[str, list[str]] | None = None,
                   phrases: dict[str, str] | None = None, min_match: int = MIN_MATCH, min_cover: float = MIN_COVER) -> DataFrame:
     """Licence phrases, covered template spans and labels of every text, without a shuffle.
 
+    `spans` has one entry for each passage of a template of which a long match was found: its label, the first and last
+    word of the text (from 0) that the best chain of matches reaches over, and the share of the passage that it covers.
     The automaton is small (it holds the templates, not the corpus) and is built once per task. A null or empty text
     has no words, no labels and score 0. Repeated rows give equal rows; ids may be null. Columns named like an output
     column do not matter, since only the id and the text are read.
@@ -179,18 +223,20 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         def one(text: bytes) -> tuple:
             words = folded_words(text)
             places, matches = automaton.scan(words)
-            cover = automaton.coverage(matches) if matches else []
+            spans = [(automaton.labels[t], first, last, round(share, 6)) for t, first, last, share in automaton.spans(matches)]
             base = {label for _, _, label in places}
-            found = base | {label for label, c in zip(automaton.labels, cover) if c >= min_cover}
+            found = base | {label for label, _, _, share in spans if share >= min_cover}
             return (len(words), len(places), min((p for p, _, _ in places), default=None), max((p for p, _, _ in places), default=None),
-                    ",".join(sorted(base)), ",".join(sorted(found)), 1.0 if base else round(max(cover, default=0.0), 6))
+                    ",".join(sorted(base)), ",".join(sorted(found)), 1.0 if base else max((share for *_, share in spans), default=0.0),
+                    [dict(zip(("label", "first_word", "last_word", "cover"), span)) for span in spans])
 
-        return lambda texts: list(zip(*map(one, texts))) if texts else [[] for _ in range(7)]
+        return lambda texts: list(zip(*map(one, texts))) if texts else [[] for _ in range(8)]
 
     return map_texts(docs, [id_column], text, make, "n_words long, n_base long, first_word long, last_word long, "
-                     "base_labels string, labels string, score double")
+                     "base_labels string, labels string, score double, "
+                     "spans array<struct<label:string,first_word:long,last_word:long,cover:double>>")
 
 
 @query("op3_license_scan")
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents"))
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")

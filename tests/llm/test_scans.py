@@ -40,7 +40,7 @@ def test_matching_statistics_are_the_longest_suffixes_in_a_template():
 
 
 def test_license_scan_rows(documents):
-    mit = licenses.TEMPLATES["mit"]
+    mit = licenses.TEMPLATES["mit"][0]
     rows = [*ODD, (10, "MIT License! mit-license"), (11, f"x {mit} y"), (12, " ".join(mit.split()[:12])), (13, "GNU General Public  License, CC BY")]
     got = {r["doc_id"]: r for r in licenses.scan_licenses(documents(rows)).collect()}
     assert (got[10]["n_base"], got[10]["first_word"], got[10]["last_word"], got[10]["base_labels"]) == (2, 0, 2, "mit")
@@ -50,6 +50,51 @@ def test_license_scan_rows(documents):
     assert (got[1]["n_words"], got[1]["score"]) == (0, 0.0) and licenses.scan_licenses(documents([])).count() == 0
 
 
+def brute_spans(words, templates, least):
+    """(template, first, last, covered) by plain loops: longest matches at every word, then all chains of them."""
+    def inside(part):
+        return [(t, k + len(part)) for t, own in enumerate(templates) for k in range(len(own) - len(part) + 1) if own[k:k + len(part)] == part]
+    sizes = []  # of the longest match that ends at each word
+    for i in range(len(words)):
+        sizes.append(next((n for n in range(i + 1, 0, -1) if inside(words[i + 1 - n:i + 1])), 0))
+    maximal = [(i + 1, n) for i, n in enumerate(sizes) if n >= least and (i + 1 == len(words) or sizes[i + 1] != n + 1)]
+    best, steps = {}, []  # all (template, position, covered, first) reached so far
+    for stop, n in maximal:
+        fresh = []
+        for t, end in inside(words[stop - n:stop]):
+            ways = [(c - max(0, p - (end - n)), first) for own, p, c, first in steps if own == t and p < end]
+            gain, first = max(ways, default=(0, 0))
+            fresh.append((t, end, gain + n, first) if gain > 0 else (t, end, n, stop - n))
+            best[t] = max(best.get(t, (0, 0, 0)), (fresh[-1][2], 1 - stop, fresh[-1][3]))
+        steps += fresh
+    return [(t, first, -last, covered / len(templates[t])) for t, (covered, last, first) in sorted(best.items())]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_license_spans_against_plain_loops(seed):
+    r = random.Random(seed)
+    made = lambda n: [r.choice("abcdefgh").encode() for _ in range(n)]
+    templates = [made(r.randint(5, 25)) for _ in range(4)]
+    templates.append(templates[0][2:] + made(3))
+    automaton = licenses.Automaton.build({str(i): [b" ".join(t).decode()] for i, t in enumerate(templates)}, {}, min_match=3)
+    for _ in range(30):
+        words = made(5)
+        for _ in range(r.randint(0, 5)):
+            own = r.choice(templates)
+            low = r.randrange(len(own))
+            words += own[low:low + r.randint(2, 20)] + made(r.randint(0, 3))
+        _, matches = automaton.scan(words)
+        assert automaton.spans(matches) == brute_spans(words, templates, 3)
+
+
+def test_later_passages_of_a_licence_are_found(documents):
+    late = licenses.TEMPLATES["mit"][2]
+    got = licenses.scan_licenses(documents([(1, "some words before " + late + " after")])).first()
+    assert got["labels"] == "mit" and got["base_labels"] == ""
+    span = max(got["spans"], key=lambda x: x["cover"])
+    assert (span["label"], span["first_word"], span["cover"]) == ("mit", 3, 1.0) and span["last_word"] == got["n_words"] - 2
+
+
 @pytest.mark.parametrize("text,hits", [
     ("You idiot.", 1), ("IDIOT idiot", 2), ("1d10t and ｉｄｉｏｔ and іdіоt", 3), ("idiotically", 0), ("a trash can", 0), ("trash can trash", 1),
     ("í d", 0), ("mo​ron", 1), ("", 0), ("STUP1D!", 1)])
@@ -285,3 +330,63 @@ def test_sequences_closed_by_the_limit_of_segments_need_no_padding(documents):
     counts = [r["count"] for r in pieces.groupBy("sequence_id").count().collect()]
     assert max(counts) <= packing.SEGMENTS and sum((1 << (n - 1).bit_length()) - n for n in sizes) == 0
     assert sum(sizes) == sum(r["doc_tokens"] for r in pieces.select("doc_id", "doc_tokens").distinct().collect())
+
+
+def test_ftrl_updates_against_a_plain_loop():
+    """Per-coordinate follow-the-regularised-leader, written out with dictionaries."""
+    r = random.Random(4)
+    model, z, n, bias = classifier.Ftrl.empty(), {}, {}, [0.0, 0.0]
+
+    def weight(zi, ni, l1=classifier.L1):
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - (l1 if zi > 0 else -l1)) / ((classifier.BETA + ni ** 0.5) / classifier.ALPHA + classifier.L2)
+    for _ in range(400):
+        label = r.randint(0, 1)
+        value = {r.randrange(30) + 30 * label * r.randint(0, 1): r.uniform(0.1, 2) for _ in range(8)}
+        index = np.array(sorted(value))
+        model.update(index, np.array([value[i] for i in index.tolist()]), label)
+        w = {i: weight(z.get(i, 0.0), n.get(i, 0.0)) for i in value}
+        wb = weight(*bias, 0.0)
+        g = 1 / (1 + np.exp(-(sum(w[i] * x for i, x in value.items()) + wb))) - label
+        for i, x in value.items():
+            grad = g * x
+            sigma = ((n.get(i, 0.0) + grad * grad) ** 0.5 - n.get(i, 0.0) ** 0.5) / classifier.ALPHA
+            z[i] = z.get(i, 0.0) + grad - sigma * w[i]
+            n[i] = n.get(i, 0.0) + grad * grad
+        sigma = ((bias[1] + g * g) ** 0.5 - bias[1] ** 0.5) / classifier.ALPHA
+        bias = [bias[0] + g - sigma * wb, bias[1] + g * g]
+    weights, own = model.weights()
+    assert np.allclose([weights[i] for i in z], [weight(z[i], n[i]) for i in z]) and np.isclose(own, weight(*bias, 0.0))
+    assert np.count_nonzero(weights) <= len(z)
+
+
+def test_equal_texts_get_equal_scores(documents):
+    """Ties: rows that repeat a text, and texts without words, score alike whatever rows stand around them."""
+    model = classifier.QualityModel(np.linspace(-1, 1, 1 << classifier.BITS), 0.1)
+    rows = [(i, t) for i in range(3) for t in ("some words here", None, "", " \n", "x " * 5000)]
+    found = classifier.score_quality(documents(rows).repartition(4), model, ["doc_id", "text"]).collect()
+    by = {}
+    for row in found:
+        by.setdefault((row["text"] or "").strip(), set()).add(row["score"])
+    assert len(found) == len(rows) and all(len(x) == 1 for x in by.values())
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_matcher_against_plain_loops(seed):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abc") for _ in range(r.randint(1, 4)))
+    lexicon = sorted({word() + r.choice(["", "", "*"]) for _ in range(8)})
+    exceptions = sorted({word() + " " + word() for _ in range(3)})
+    matcher = toxicity.Matcher(lexicon, exceptions)
+    entries = {e.rstrip("*"): (i, not e.endswith("*")) for i, e in enumerate(lexicon)}  # the last of two alike decides
+    for _ in range(60):
+        text = "".join(r.choice("abc  .") for _ in range(r.randint(0, 60)))
+        alone = lambda low, high, whole: not (low and text[low - 1].isalnum()) and not (whole and text[high:high + 1].isalnum())
+        spared = [(k, k + len(e)) for e in exceptions for k in range(len(text)) if text.startswith(e, k) and alone(k, k + len(e), True)]
+        want = {}
+        for k in range(len(text)):
+            own = [(len(e), i) for e, (i, whole) in entries.items() if text.startswith(e, k) and alone(k, k + len(e), whole)]
+            if own and not any(a <= k and k + max(own)[0] <= b for a, b in spared):
+                want[max(own)[1]] = want.get(max(own)[1], 0) + 1
+        assert matcher.count(text.encode()) == (len(text.split()), want)
