@@ -205,3 +205,64 @@ def test_late_rows_are_counted(spark, feed):
         spark.streams.removeListener(log)
     late = read_samples(spark, str(feed.root / "progress")).where("metric = 'late_rows'")
     assert late.agg(F.sum("value")).first()[0] == 3.0
+
+
+class Shelf:
+    """A state handle in memory that knows the most it held of one kind."""
+
+    def __init__(self):
+        self.values, self.most = {}, 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def exists(self):
+        return "station" in self.values
+
+    def get(self):
+        return self.values["station"]
+
+    def update(self, value):
+        self.values["station"] = value
+
+    def updateValue(self, key, value):
+        self.values[key] = value
+
+    def getValue(self, key):
+        self.most = max(self.most, len(self.values[key][0]))
+        return self.values[key]
+
+    def removeKey(self, key):
+        del self.values[key]
+
+
+@pytest.mark.parametrize("step_us", [1, 50_000_000])
+def test_a_burst_of_one_station_is_worked_off_by_slices(monkeypatch, step_us):
+    """In any order and in many chunks: the same events as in one piece, and no more than a slice of the rows at a time."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    from kerbflow.streaming import stateful
+    r, n = random.Random(6), 4000
+    at = [1_900_000_000_000_000 + step_us * r.randrange(3 * n) for _ in range(n)]
+    frame = pd.DataFrame({"source_updated_at": np.array(at, "datetime64[us]"), "service_status": [r.choice([1, 1, 1, 0, None]) for _ in at],
+                          "bikes_available": [r.choice([0, 3, 9]) for _ in at], "docks_available": [r.choice([0, 4]) for _ in at]})
+    want, last = stateful.changes(stateful._compact(frame), None)
+    monkeypatch.setattr(stateful, "HELD", 200)
+    seen = []
+    whole = stateful.changes
+    monkeypatch.setattr(stateful, "changes", lambda rows, state: (seen.append(len(rows)), whole(rows, state))[1])
+    shelf, detector = Shelf(), stateful.Detector()
+    detector.init(shelf)
+    found = list(detector.handleInputRows(("A",), iter([frame.iloc[i:i + 150] for i in range(0, n, 150)]), None))
+    got = pd.concat(found)
+    assert (got.pop("station_uid") == "A").all()
+    pd.testing.assert_frame_equal(got.reset_index(drop=True), want)
+    assert shelf.values == {"station": last}
+    span = max(at) - min(at)
+    assert max(seen) <= (n if span < stateful.SLICE_US else 2 * n * stateful.SLICE_US / span + 50)
