@@ -13,6 +13,7 @@ from kerbflow.functions.status import LOW_THRESHOLD
 from kerbflow.functions.timefns import micros
 from kerbflow.operators.dedupe import top_per_key
 from kerbflow.operators.knn import knn, knn_columns
+from kerbflow.session import store
 
 # Fixed values of the ranking.
 CANDIDATES = 6
@@ -93,10 +94,20 @@ def trip_candidates(trips: DataFrame, stations: DataFrame, k: int = CANDIDATES,
         "rent_near": ("origin_lat", "origin_lng"), "return_near": ("dest_lat", "dest_lng")}, side)
 
 
+def _attach_return(rows: DataFrame, legs: DataFrame | None) -> DataFrame:
+    """The walk from the return station to the destination."""
+    return _attach(
+        rows, legs, "walk", "walk_from_return", (F.col("return_lat"), F.col("return_lng")),
+        (F.col("dest_lat"), F.col("dest_lng")),
+        walk_minutes(haversine(F.col("return_lat"), F.col("return_lng"), F.col("dest_lat"), F.col("dest_lng"))))
+
+
 def trip_pairs(trips: DataFrame, stations: DataFrame, snapshot_time: Column, legs: DataFrame | None = None,
                k: int = CANDIDATES, side: float | None = None) -> DataFrame:
     """All feasible rent/return pairs of each trip (at most k x k) with times, expected bikes and docks, and score."""
     base = trip_candidates(trips, stations, k, side)
+    if legs is not None:
+        base = store(base, "trip-candidates")  # read for either side
     rent = _side(base, "rent_near", stations, "rent")
     rent = _attach(
         rent, legs, "walk", "walk_to_rent", (F.col("origin_lat"), F.col("origin_lng")),
@@ -108,7 +119,15 @@ def trip_pairs(trips: DataFrame, stations: DataFrame, snapshot_time: Column, leg
     # Pick-up is decided before returns are spread, so empty stations cost no pairs.
     rent = rent.withColumn("bikes_at_pickup", bikes).where(F.floor("bikes_at_pickup") >= 1)
 
-    both = _side(rent, "return_near", stations, "return").where(F.col("return_uid") != F.col("rent_uid"))
+    if legs is None:
+        both = _attach_return(_side(rent, "return_near", stations, "return"), None)
+    else:
+        # The walk from a return station belongs to the trip and the station: it is looked up once, not once a pair.
+        returns = _attach_return(_side(base.drop("rent_near"), "return_near", stations, "return"), legs)
+        own = [c for c in returns.columns if c not in base.columns]
+        same = F.col("a.trip_id").eqNullSafe(F.col("b.trip_id"))
+        both = rent.drop("return_near").alias("a").join(returns.select("trip_id", *own).alias("b"), same).select("a.*", *[f"b.{c}" for c in own])
+    both = both.where(F.col("return_uid") != F.col("rent_uid"))
     apart = haversine(F.col("rent_lat"), F.col("rent_lng"), F.col("return_lat"), F.col("return_lng"))
     both = _attach(both, legs, "ride", "ride", (F.col("rent_lat"), F.col("rent_lng")),
                    (F.col("return_lat"), F.col("return_lng")), ride_minutes(apart), ride_meters(apart))
@@ -118,10 +137,6 @@ def trip_pairs(trips: DataFrame, stations: DataFrame, snapshot_time: Column, leg
     docks = (F.col("return_bikes_available") + F.col("return_docks_available")).cast("double") - arriving
     both = both.withColumn("docks_at_arrival", docks).withColumn("docks_forecasted", forecasted).where(
         F.floor("docks_at_arrival") >= 1)
-    both = _attach(
-        both, legs, "walk", "walk_from_return", (F.col("return_lat"), F.col("return_lng")),
-        (F.col("dest_lat"), F.col("dest_lng")),
-        walk_minutes(haversine(F.col("return_lat"), F.col("return_lng"), F.col("dest_lat"), F.col("dest_lng"))))
     few_bikes, few_docks = F.col("bikes_at_pickup") < LOW_THRESHOLD, F.col("docks_at_arrival") < LOW_THRESHOLD
     total = F.col("walk_to_rent") + F.col("ride") + F.col("walk_from_return")
     return both.withColumn("few_bikes", few_bikes).withColumn("few_docks", few_docks).withColumn(
