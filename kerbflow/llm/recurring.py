@@ -6,7 +6,9 @@ again can hold a recurring window. The grams travel as numbers; of texts only th
 where all stretches of one gram meet. There the operators look for exact repeats.
 
 Grams that very many different stretches share (both ends of a passage that stands in a third of all texts) are not sent
-to one task. Their stretches are taken apart into single windows, which are counted by content with partial sums.
+to one task. Their windows are counted by content with partial sums, which confirms the passages that recur; these are
+dealt into shards of a bounded number, each shard meets its stretches in units of a bounded number, and the operators
+locate the passages there. So no unit holds more than its share, however often a passage stands somewhere.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from kerbflow.session import discard, store
 LOT_BYTES = 1 << 19
 #: Grams with more bytes of distinct stretches than this are resolved window by window.
 HOT_BYTES = 1 << 21
+#: Passages in a shard of a crowded gram, and stretches that meet them in one unit.
+SHARD_PASSAGES, UNIT_STRETCHES = 4096, 4096
 
 Search = Callable[[list[tuple[bytes, int]]], list[list[tuple[int, int]]]]
 
@@ -101,7 +105,7 @@ def digest(column: Column) -> Column:
 
 def settled(df: DataFrame, name: str) -> DataFrame:
     """A stored step; shuffle files of the steps before it may go, and go at once rather than at some later collection."""
-    out = store(df, name)
+    out = store(df, name, compression="zstd")  # neighbouring stretches overlap
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return out
@@ -141,41 +145,55 @@ def candidates_of(rows: DataFrame, keys: DataFrame, units: Units) -> DataFrame:
 
 
 def covered_stretches(candidates: DataFrame, units: Units, search: Search, windows: Callable[[bytes], list[bytes]]) -> tuple[DataFrame, list[DataFrame]]:
-    """(gram, stretch, covered): the unit ranges of each distinct stretch that recurring windows cover; and stored steps.
+    """(gram, stretch, covered): unit ranges of each distinct stretch that recurring windows cover, in one row or several; and stored steps.
 
-    `search` takes all stretches of a few grams, each with the number of places where it stands (two stands for more),
+    `search` takes all stretches of a few groups, each with the number of places where it stands (two stands for more),
     and gives for each the covered ranges. `windows` lists the contents of the windows of a stretch.
     """
     distinct = settled(candidates.groupBy("gram", "stretch", "body").agg(F.sum(F.least("copies", F.lit(2))).alias("places")), "distinct-stretches")
     size = distinct.groupBy("gram").agg(F.sum(F.octet_length("body")).alias("size"))
     crowd = settled(size.where(F.col("size") > HOT_BYTES).select("gram", F.lit(True).alias("crowded")), "crowded-grams")
     marked = distinct.join(crowd, "gram", "left")
-    ranges = "array<struct<low:int,high:int>>"
-    schema = f"gram long, stretch binary, covered {ranges}"
+    few = marked.where("crowded is null").select(F.col("gram").alias("unit"), "gram", "stretch", "body", "places")
+    crowded = marked.where("crowded").select("gram", "stretch", "body", "places")
+    if crowd.isEmpty():
+        return searched(few, search), [distinct, crowd]
+    shards, steps = crowded_units(crowded, windows)
+    return searched(few, search).unionByName(searched(shards, search)), [distinct, crowd, *steps]
+
+
+def searched(rows: DataFrame, search: Search) -> DataFrame:
+    """(gram, stretch, covered) of stretches (unit, gram, stretch, body, places); those of one unit are searched together.
+
+    Rows without a stretch are passages: what equals one is covered, though it stands nowhere else in the unit.
+    """
+    schema = "gram long, stretch binary, covered array<struct<low:int,high:int>>"
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, bytes, bytes, int]] = []
+        held: list[tuple] = []
         size = 0
 
         def solved() -> pa.RecordBatch:
             found = search([(body, places) for *_, body, places in held])
-            out = [(h[0], h[1], [{"low": x, "high": y} for x, y in c]) for h, c in zip(held, found, strict=True) if c]
+            out = [(h[1], h[2], [{"low": x, "high": y} for x, y in c]) for h, c in zip(held, found, strict=True) if c and h[2] is not None]
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], type=arrow.field(i).type) for i in range(3)], schema=arrow)
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "stretch", "body", "places"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("unit", "gram", "stretch", "body", "places"))):
                 if size > LOT_BYTES and row[0] != held[-1][0]:
                     yield solved()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[2])
+                size += len(row[3])
         if held:
             yield solved()
 
-    few = (marked.where("crowded is null").select("gram", "stretch", "body", "places").repartition("gram").sortWithinPartitions("gram")
-           .mapInArrow(lots, schema))
+    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(lots, schema)
 
+
+def crowded_units(crowded: DataFrame, windows: Callable[[bytes], list[bytes]]) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows for `searched`: the confirmed passages of crowded grams in shards, and the stretches that have one of them; and stored steps."""
     single = "gram long, stretch binary, places long, at int, content binary"
     arrow_single = to_arrow_schema(T.StructType.fromDDL(single))
 
@@ -188,12 +206,35 @@ def covered_stretches(candidates: DataFrame, units: Units, search: Search, windo
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow_single)], schema=arrow_single)
 
-    each = settled(marked.where("crowded").select("gram", "stretch", "body", "places").mapInArrow(apart, single), "single-windows")
-    again = each.groupBy("content").agg(F.sum("places").alias("n")).where("n > 1").select("content")
-    many = (each.join(again, "content").groupBy("gram", "stretch").agg(F.array_sort(F.collect_set("at")).alias("at"))
-            .select("gram", "stretch", F.transform("at", lambda x: F.struct(x.alias("low"), (x + F.lit(units.window)).alias("high")))
-                    .cast(ranges).alias("covered")))
-    return few.unionByName(many), [distinct, crowd, each]
+    each = settled(crowded.mapInArrow(apart, single), "single-windows")
+    # Equal windows have one gram, so passages are counted and dealt out inside it.
+    again = settled(each.groupBy("gram", "content").agg(F.sum("places").alias("n"), F.min(F.struct("stretch", "at")).alias("first"))
+                    .where("n > 1").select("gram", "content", "first"), "confirmed-passages")
+    shards = again.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / SHARD_PASSAGES).alias("shards"))
+    dealt = again.join(shards, "gram").select("gram", "content", "first", F.pmod(F.xxhash64("content"), "shards").alias("shard"))
+    dealt = settled(dealt, "dealt-passages")
+    routed = each.join(dealt.select("gram", "content", "shard"), ["gram", "content"]).select("gram", "shard", "stretch").distinct()
+    salts = routed.groupBy("gram", "shard").agg(F.ceil(F.count(F.lit(1)) / UNIT_STRETCHES).alias("salts"))
+    routed, salts = settled(routed, "routed-stretches"), settled(salts, "unit-numbers")
+    unit = F.xxhash64("gram", "shard", "salt").alias("unit")  # two in one by chance do no harm
+    located = (routed.join(salts, ["gram", "shard"]).withColumn("salt", F.pmod(F.xxhash64("stretch"), "salts"))
+               .join(crowded, ["gram", "stretch"]).select(unit, "gram", "stretch", "body", "places"))
+
+    passage = "gram long, shard long, body binary"
+    arrow_passage = to_arrow_schema(T.StructType.fromDDL(passage))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "body"):
+            rows = list(zip(*(piece.column(c).to_pylist() for c in ("gram", "shard", "body", "places_at"))))
+            out = [(gram, shard, found[at]) for gram, shard, body, ats in rows for found in [windows(body)] for at in ats]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], type=arrow_passage.field(i).type) for i in range(3)], schema=arrow_passage)
+
+    source = (dealt.groupBy("gram", "shard", F.col("first.stretch").alias("stretch")).agg(F.collect_list("first.at").alias("places_at"))
+              .join(crowded, ["gram", "stretch"]).select("gram", "shard", "body", "places_at"))
+    passages = (source.mapInArrow(cut, passage).join(salts, ["gram", "shard"])
+                .select("gram", "shard", "body", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+                .select(unit, "gram", F.lit(None).cast("binary").alias("stretch"), "body", F.lit(1).cast("long").alias("places")))
+    return located.unionByName(passages), [each, again, dealt, routed, salts]
 
 
 def with_recurring(docs: DataFrame, id_column: str, text: str, units: Units, search: Search,

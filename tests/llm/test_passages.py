@@ -42,10 +42,13 @@ def cases():
     return rows
 
 
-@pytest.fixture(params=["whole grams", "single windows"])
+@pytest.fixture(params=["whole grams", "units", "small units"])
 def crowding(request, monkeypatch):
-    if request.param == "single windows":
+    if request.param != "whole grams":
         monkeypatch.setattr(recurring, "HOT_BYTES", 0)
+    if request.param == "small units":
+        for bound in ("SHARD_PASSAGES", "UNIT_STRETCHES", "LOT_BYTES"):
+            monkeypatch.setattr(recurring, bound, 3)
 
 
 def test_words_of_recurring_windows_go(spark, documents, crowding):
