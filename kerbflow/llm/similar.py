@@ -1,4 +1,4 @@
-"""Texts whose sets of word shingles are alike by Jaccard similarity: families by shared shingles and fingerprints, each link confirmed."""
+"""Texts whose sets of word shingles are alike by Jaccard similarity: families by shared shingles and sketches, each link confirmed."""
 
 from __future__ import annotations
 
@@ -20,10 +20,8 @@ from kerbflow.llm.rows import LOWER, map_texts, pieces, small_batches, texts
 from kerbflow.session import discard, store
 
 FOLD = np.frombuffer(LOWER, np.uint8)
-#: At similarity 0.8 two fingerprints differ in 10 of 64 bits on average (deviation 3), those of unrelated texts in 32.
-WIDE_BITS = 26
-#: Sets with fewer shingles than this are compared whatever their fingerprints.
-FEW = 16
+#: A sketch counts the shingles of a set in so many classes, up to FULL.
+CLASSES, FULL = 64, 255
 #: Shingles that several texts of a sample share come last in the order of shingles; kept as a filter of 2 to the power of so many bits.
 COMMON_POWER = 24
 SAMPLE, COMMON = 16, 3
@@ -73,7 +71,7 @@ def common_shingles(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
 
 
 def with_sets(docs: DataFrame, keep: list[str], text: str, shingle: int, similarity: float) -> DataFrame:
-    """The `keep` columns; `node` stands for the set, `fp` is its fingerprint, `size` its size.
+    """The `keep` columns; `node` stands for the set, `fp` is its fingerprint, `sketch` its counts by class, `size` its size.
 
     `tokens` are the first shingles of the set in an order of all shingles, so many that two alike sets have one of them
     in common: all but what they share at least, and one.
@@ -85,36 +83,48 @@ def with_sets(docs: DataFrame, keep: list[str], text: str, shingle: int, similar
         for own in sets:
             late = has(common.value, own, COMMON_POWER)
             tokens.append(np.concatenate([own[~late], own[late]])[:len(own) - least_common(len(own), similarity) + 1].view(np.int64))
-        return [[node(own) for own in sets], [majority(own) for own in sets], [len(own) for own in sets], tokens]
+        return [[node(own) for own in sets], [majority(own) for own in sets], [sketch(own) for own in sets], [len(own) for own in sets], tokens]
 
-    return map_texts(docs, keep, text, lambda: derive, "node long, fp long, size int, tokens array<long>")
+    return map_texts(docs, keep, text, lambda: derive, "node long, fp long, sketch binary, size int, tokens array<long>")
 
 
-def _near(nodes: np.ndarray, fps: np.ndarray, sizes: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
-    """Edges that connect what chains of pairs connect whose sizes and fingerprints allow for the similarity."""
+def sketch(own: np.ndarray) -> bytes:
+    """How many shingles of a set fall in each class. What two sets share is at most the sum of the lesser counts."""
+    return np.minimum(np.bincount((own >> np.uint64(32)).astype(np.int64) % CLASSES, minlength=CLASSES), FULL).astype(np.uint8).tobytes()
+
+
+def possible(sketches: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int, similarity: float) -> np.ndarray:
+    """Which sets may have the similarity to one, by sizes and sketches; none that has it is left out."""
+    shared = np.minimum(sketches, one).sum(axis=1, dtype=np.int64)
+    open_ = (sketches == FULL).any(axis=1) | (one == FULL).any()
+    enough = open_ | (shared * (1 + similarity) >= similarity * (sizes + size) - 1e-6)
+    return enough & (np.minimum(sizes, size) >= similarity * np.maximum(sizes, size) - 1e-9)
+
+
+def _near(nodes: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+    """Edges that connect what chains of pairs connect whose sizes and sketches allow for the similarity."""
     while len(nodes) > 1:
-        todo = [(nodes[0], fps[0], sizes[0])]
-        nodes, fps, sizes = nodes[1:], fps[1:], sizes[1:]
+        todo = [(nodes[0], sketches[0], sizes[0])]
+        nodes, sketches, sizes = nodes[1:], sketches[1:], sizes[1:]
         while todo and len(nodes):
-            one, fp, size = todo.pop()
-            near = (np.bitwise_count(fps ^ fp) <= WIDE_BITS) | (np.minimum(sizes, size) < FEW)
-            near &= np.minimum(sizes, size) >= similarity * np.maximum(sizes, size) - 1e-9
+            one, counts, size = todo.pop()
+            near = possible(sketches, sizes, counts, size, similarity)
             if near.any():
                 yield from ((one, other) for other in nodes[near])
-                todo += zip(nodes[near], fps[near], sizes[near])
-                nodes, fps, sizes = nodes[~near], fps[~near], sizes[~near]
+                todo += zip(nodes[near], sketches[near], sizes[near])
+                nodes, sketches, sizes = nodes[~near], sketches[~near], sizes[~near]
 
 
 def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) between distinct sets (columns node, fp, size, tokens); what they connect holds all groups of alike sets.
+    """Edges (a, b) between distinct sets (columns node, sketch, size, tokens); what they connect holds all groups of alike sets.
 
-    At this many bits the keys of `simhash.links` would leave no bit to agree in, so sets meet by a shared token instead.
-    Of those that meet, a pair further apart than WIDE_BITS is no candidate. At similarity 0.8 a pair is that far apart
-    about twice in 10**7.
+    Fingerprints of sets at similarity 0.8 differ in so many bits that the keys of `simhash.links` would leave no bit to
+    agree in, so sets meet by a shared token instead. Of those that meet, pairs are left out whose sizes or sketches rule the
+    similarity out; that is a strict bound, so no alike pair is lost.
     """
     schema = "a long, b long"
     arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], schema).schema)
-    placed_schema = "token long, node long, fp long, size int"
+    placed_schema = "token long, node long, sketch binary, size int"
     placed_arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], placed_schema).schema)
     # Most tokens stand in one set alone; only those that may recur are moved with what belongs to them.
     again = sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1")
@@ -127,18 +137,18 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
             owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             there = np.flatnonzero(has(recurring.value, tokens.view(np.uint64), RECURRING_POWER))
             own = pa.array(owner[there])
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[there]), *(batch.column(c).take(own) for c in ("node", "fp", "size"))], schema=placed_arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[there]), *(batch.column(c).take(own) for c in ("node", "sketch", "size"))], schema=placed_arrow)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def edges(table: pa.Table) -> pa.RecordBatch:
-            token, nodes, fps, sizes = (table.column(c).to_numpy() for c in ("token", "node", "fp", "size"))
-            fps = fps.view(np.uint64)
+            token, nodes, sizes = (table.column(c).to_numpy() for c in ("token", "node", "size"))
+            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, CLASSES)
             cuts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
             found = set()
             for low, high in zip(cuts[:-1][np.diff(cuts) > 1].tolist(), cuts[1:][np.diff(cuts) > 1].tolist()):
-                found.update((int(a), int(b)) for a, b in _near(nodes[low:high], fps[low:high], sizes[low:high], similarity))
+                found.update((int(a), int(b)) for a, b in _near(nodes[low:high], sketches[low:high], sizes[low:high], similarity))
             pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=arrow)
 
@@ -156,7 +166,7 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
         if held:
             yield edges(pa.Table.from_batches(held))
 
-    placed = sets.select("node", "fp", "size", "tokens").mapInArrow(places, placed_schema)
+    placed = sets.select("node", "sketch", "size", "tokens").mapInArrow(places, placed_schema)
     return placed.repartition("token").sortWithinPartitions("token", "node").mapInArrow(join, schema)
 
 
@@ -164,33 +174,47 @@ def groups(sets: list[np.ndarray], similarity: float) -> list[int]:
     """For each of some distinct sets a number, the same for sets that chains of alike sets connect.
 
     Sets whose fingerprints are neighbours are compared first, so most of a family of near copies is one group before the
-    others are compared: those that share a token and are not yet in one group.
+    others are compared: those that share a token, are not yet in one group, and are not ruled out by sizes and sketches.
+    Only pairs that pass and are not alike are remembered, so memory follows the sets.
     """
     label, members, tried = np.arange(len(sets)), {i: [i] for i in range(len(sets))}, set()
+    sketches = np.frombuffer(b"".join(map(sketch, sets)), np.uint8).reshape(-1, CLASSES)
+    sizes = np.array([len(own) for own in sets], np.int64)
 
     def meet(i: int, j: int) -> None:
-        pair = (i, j) if i < j else (j, i)
+        pair = min(i, j) * len(sets) + max(i, j)
         if label[i] == label[j] or pair in tried:
             return
-        tried.add(pair)
         if alike(sets[i], sets[j], similarity):
             low, high = sorted((int(label[i]), int(label[j])), key=lambda x: len(members[x]))
             label[members[low]] = high
             members[high] += members.pop(low)
+        else:
+            tried.add(pair)
 
     fps = np.array([majority(own) for own in sets], np.int64).view(np.uint64)
     for turn in range(0, 64, 8):
-        order = np.argsort(fps << np.uint64(turn) | fps >> np.uint64((64 - turn) % 64), kind="stable").tolist()
-        for i, j in zip(order, order[1:]):
+        order = np.argsort(fps << np.uint64(turn) | fps >> np.uint64((64 - turn) % 64), kind="stable")
+        for i, j in zip(order[:-1].tolist(), order[1:].tolist()):
             meet(i, j)
     first = [own[:len(own) - least_common(len(own), similarity) + 1] for own in sets]
-    tokens, owner = np.concatenate(first), np.repeat(np.arange(len(sets)), [len(f) for f in first])
+    tokens, owner = np.concatenate(first), np.repeat(np.arange(len(sets), dtype=np.int32), [len(f) for f in first])
     order = np.argsort(tokens, kind="stable")
-    for own in np.split(owner[order], np.flatnonzero(np.diff(tokens[order])) + 1):
-        if len(own) > 1 and len(np.unique(label[own])) > 1:
+    tokens, owner = tokens[order], owner[order]
+    cuts = np.concatenate([[0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1, [len(tokens)]])
+    large = np.flatnonzero(np.diff(cuts) > 1)
+    seen = set()  # shingles of one passage have the same owners
+    for low, high in zip(cuts[:-1][large].tolist(), cuts[1:][large].tolist()):
+        own = owner[low:high]
+        if (name := xxhash.xxh3_128_intdigest(own.tobytes())) in seen:
+            continue
+        seen.add(name)
+        if len(np.unique(label[own])) > 1:
             largest = Counter(label[own].tolist()).most_common(1)[0][0]
             for i in own[label[own] != largest].tolist():
-                for j in own[label[own] != label[i]].tolist():
+                others = own[label[own] != label[i]]
+                others = others[possible(sketches[others], sizes[others], sketches[i], int(sizes[i]), similarity)]
+                for j in others.tolist():
                     meet(i, j)
     return label.tolist()
 
@@ -201,7 +225,7 @@ def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shi
     `rows` has the id, the `key` (digest of the text) and the columns of `with_sets`. The text of one row of each node
     is moved to where its family meets.
     """
-    sets = store(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "size", "tokens"))), "distinct-sets")
+    sets = store(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("sketch", "size", "tokens"))), "distinct-sets")
     families = components(candidate_links(sets, similarity))
     discard(sets)
     chosen = store(rows.join(families, "node").groupBy("node", "root").agg(F.min(F.struct(F.col(id_column).alias("id"), "key")).alias("m"))

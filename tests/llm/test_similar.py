@@ -71,3 +71,20 @@ def test_groups_of_a_family_and_its_strangers():
         for j, b in enumerate(sets):
             assert not similar.alike(a, b, 0.8) or label[i] == label[j]
     assert similar.groups([sets[0], sets[6]], 0.8) in ([0, 1], [1, 0])
+
+
+@pytest.mark.parametrize("size", [1, 5, 40, 300, 20_000])
+def test_sketches_never_rule_out_an_alike_pair(size):
+    """Pairs at the very bound of the similarity, of all sizes, also with full classes."""
+    r = np.random.default_rng(size)
+    for _ in range(20):
+        a = np.unique(r.integers(0, 1 << 63, size, dtype=np.uint64))
+        drop = r.integers(0, len(a) // 9 + 1)
+        b = np.unique(np.concatenate([a[drop:], r.integers(0, 1 << 63, r.integers(0, len(a) // 9 + 1), dtype=np.uint64)]))
+        if similar.alike(a, b, 0.8):
+            one, two = (np.frombuffer(similar.sketch(x), np.uint8) for x in (a, b))
+            assert similar.possible(two[None], np.array([len(b)]), one, len(a), 0.8).all()
+    strange = np.unique(r.integers(0, 1 << 63, size, dtype=np.uint64))
+    if 40 <= size <= 300:
+        assert not similar.possible(np.frombuffer(similar.sketch(strange), np.uint8)[None], np.array([len(strange)]),
+                                    np.frombuffer(similar.sketch(a), np.uint8), len(a), 0.8).any()
