@@ -390,3 +390,14 @@ def test_matcher_against_plain_loops(seed):
             if own and not any(a <= k and k + max(own)[0] <= b for a, b in spared):
                 want[max(own)[1]] = want.get(max(own)[1], 0) + 1
         assert matcher.count(text.encode()) == (len(text.split()), want)
+
+
+def test_ids_of_joined_and_composed_words_are_those_of_the_library():
+    """Words with marks, capitals, apostrophes, control characters and composed letters, alone and in texts."""
+    encoder, r = packing.Tokenizer(packing.word_bpe()), random.Random(1)
+    letters = "abcdeÉΣß,.'sS1٣中-\x00\x01" + "".join(map(chr, (0x301, 0xFB01, 0x1F600)))
+    words = [w for w in ("".join(r.choice(letters) for _ in range(r.randint(1, 9))) for _ in range(4000)) if w.split() == [w]]
+    texts = ["", " \n", *words[:500], *(" ".join(r.choice(words) for _ in range(40)) for _ in range(300))]
+    got = encoder.encode([t.encode() for t in texts])
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == encoder.library.encode(text, add_special_tokens=False).ids, text
