@@ -16,6 +16,7 @@ from kerbflow.llm.recurring import digest
 from kerbflow.llm.registry import query, table
 from kerbflow.llm.rows import LOWER, map_texts, small_batches, under_plain_names
 from kerbflow.llm.similar import alike_roots, majority, with_sets
+from kerbflow.llm.trie import forest, trie_pairs
 from kerbflow.session import store
 
 #: The query op7 has shingles of this many words and links by differing bits alone.
@@ -48,47 +49,6 @@ def with_fingerprints(docs: DataFrame, keep: list[str], text: str = "text", shin
     return map_texts(docs, keep, text, lambda: lambda texts: [[fingerprint(t, shingle) for t in texts]], "fp long")
 
 
-def trie_pairs(values: np.ndarray, budget: int, bits: int = 64) -> np.ndarray:
-    """Index pairs (i < j) of sorted distinct unsigned values that differ in at most `budget` bits.
-
-    A node of the binary trie is a range of the sorted values that agree in their leading bits. Pairs of nodes go down
-    together, one bit a level; a pair that has used up more than the budget is dropped with all below it.
-    """
-    n = len(values)
-    nodes = [np.array([x], np.int64) for x in (0, n, 0, n, 0)]  # low and high of both nodes, differing bits so far
-    for level in range(bits - 1, -1, -1):
-        low_a, high_a, low_b, high_b, used = nodes
-        bit = np.concatenate([[0], np.cumsum((values >> np.uint64(level)) & np.uint64(1)).astype(np.int64)])
-        # In a node the values with a zero in this bit come first.
-        mid_a, mid_b = high_a - (bit[high_a] - bit[low_a]), high_b - (bit[high_b] - bit[low_b])
-        same = (low_a == low_b) & (high_a == high_b)
-        below = [(low_a, mid_a, low_b, mid_b, used), (mid_a, high_a, mid_b, high_b, used),
-                 (low_a, mid_a, mid_b, high_b, used + 1),
-                 (mid_a[~same], high_a[~same], low_b[~same], mid_b[~same], used[~same] + 1)]
-        nodes = [np.concatenate(column) for column in zip(*below)]
-        low_a, high_a, low_b, high_b, used = nodes
-        alone = (low_a == low_b) & (high_a == high_b) & (high_a - low_a == 1)
-        stay = (high_a > low_a) & (high_b > low_b) & (used <= budget) & ~alone
-        nodes = [column[stay] for column in nodes]
-        if not len(nodes[0]):
-            break
-    return np.column_stack([np.minimum(nodes[0], nodes[2]), np.maximum(nodes[0], nodes[2])])
-
-
-def _forest(n: int, pairs: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs that suffice to connect what `pairs` connect: fewer than n."""
-    above, kept = list(range(n)), []
-    for a, b in pairs.tolist():
-        while above[a] != a:
-            above[a] = a = above[above[a]]
-        while above[b] != b:
-            above[b] = b = above[above[b]]
-        if a != b:
-            above[max(a, b)] = min(a, b)
-            kept.append((a, b))
-    return kept
-
-
 def _keys(value: Column, low: int, high: int) -> Column:
     """For each choice of parts that may agree, the choice and the bits of the parts: an array of longs.
 
@@ -164,7 +124,7 @@ def links(fingerprints: DataFrame) -> DataFrame:
                         b.append(own[1])
                 elif len(own) > 2:
                     own = np.unique(own)
-                    for i, j in _forest(len(own), trie_pairs(own, MAX_BITS)):
+                    for i, j in forest(trie_pairs(own, MAX_BITS)):
                         a.append(own[i])
                         b.append(own[j])
             return pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b)], schema=arrow)

@@ -1,4 +1,4 @@
-"""Texts whose sets of word shingles are alike by Jaccard similarity: families by shared shingles and sketches, each link confirmed."""
+"""Texts whose sets of word shingles are alike by Jaccard similarity: a trie of fingerprints by shared shingle, then the rest, each link confirmed."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -16,7 +17,8 @@ from kerbflow.llm.bits import bits_of, has
 from kerbflow.llm.blocks import block, grams, word_hashes
 from kerbflow.llm.components import components
 from kerbflow.llm.recurring import digest
-from kerbflow.llm.rows import LOWER, map_texts, pieces, small_batches, texts
+from kerbflow.llm.rows import LOWER, map_texts, small_batches
+from kerbflow.llm.trie import forest, trie_pairs
 from kerbflow.session import discard, store
 
 FOLD = np.frombuffer(LOWER, np.uint8)
@@ -27,6 +29,10 @@ COMMON_POWER = 24
 SAMPLE, COMMON = 16, 3
 #: The filter of tokens that recur has 2 to the power of so many bits; a fuller one lets more through.
 RECURRING_POWER = 26
+#: Fingerprints that share a token join the trie at so many bits; alike pairs further apart are found among all other pairs.
+WIDE_BITS = 16
+#: More fingerprints than this under one token are linked by hubs; so many pairs are sent on at once.
+HOT, LOT = 256, 1 << 18
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -115,20 +121,74 @@ def _near(nodes: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, similarity
                 nodes, sketches, sizes = nodes[~near], sketches[~near], sizes[~near]
 
 
-def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) between distinct sets (columns node, sketch, size, tokens); what they connect holds all groups of alike sets.
+def least_shared(one: np.ndarray, other: np.ndarray, similarity: float) -> np.ndarray:
+    """How many tokens two alike sets of these sizes share at least.
+
+    What they share beyond their common tokens comes, in the order of shingles, after the tokens of the one whose tokens end
+    first, so it is less than `least_common` of its size.
+    """
+    common = np.ceil(similarity * (one + other) / (1 + similarity) - 1e-6)
+    return np.maximum(common - np.ceil(similarity * np.maximum(one, other) - 1e-9) + 1, 1).astype(np.int64)
+
+
+def _trie_links(token: np.ndarray, nodes: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, order: np.ndarray, cuts: np.ndarray,
+                similarity: float) -> np.ndarray:
+    """Places (i, j) that connect the sets of one token whose fingerprints differ in at most WIDE_BITS bits; `order` is sorted in a group."""
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (order[1:] != order[:-1])
+    first = np.flatnonzero(new)
+    equal = np.flatnonzero(~new)
+    found = [np.column_stack([first[np.searchsorted(first, equal, "right") - 1], equal])]
+    ends = np.searchsorted(first, cuts)
+    crowded = np.flatnonzero(np.diff(ends) > HOT)
+    # In a crowded group most pairs are near, so there the hubs of `_near` stand for them.
+    for g in crowded.tolist():
+        own = first[ends[g]:ends[g + 1]]
+        found.append(np.array([(int(a), int(b)) for a, b in _near(own, sketches[own], sizes[own], similarity)], np.int64).reshape(-1, 2))
+    quiet = np.repeat(np.diff(ends) <= HOT, np.diff(ends))
+    kept, counts = first[quiet], np.diff(ends)[np.diff(ends) <= HOT]
+    pairs = trie_pairs(order[kept], WIDE_BITS, cuts=np.concatenate([[0], np.cumsum(counts)]))
+    if len(pairs):
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        found.append(kept[np.array(forest(pairs), np.int64).reshape(-1, 2)])
+    return np.concatenate(found)
+
+
+def _other_pairs(label: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, cuts: np.ndarray, similarity: float) -> Iterator[np.ndarray]:
+    """All places (i, j) in one group with different labels that sizes and sketches do not rule out, a bounded lot at a time."""
+    end = np.repeat(cuts[1:], np.diff(cuts))
+    here, lot, held = np.arange(len(label)), [], 0
+    for apart in range(1, int(np.diff(cuts).max(initial=0))):
+        here = here[here + apart < end[here]]
+        i = here[label[here] != label[here + apart]]
+        j = i + apart
+        shared = np.minimum(sketches[i], sketches[j]).sum(axis=1, dtype=np.int64)
+        full = (sketches[i] == FULL).any(axis=1) | (sketches[j] == FULL).any(axis=1)
+        stay = (full | (shared * (1 + similarity) >= similarity * (sizes[i] + sizes[j]) - 1e-6)) & (
+            np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j]) - 1e-9)
+        lot.append(np.column_stack([i[stay], j[stay]]))
+        held += int(stay.sum())
+        if held > LOT:
+            yield np.concatenate(lot)
+            lot, held = [], 0
+    if held:
+        yield np.concatenate(lot)
+
+
+def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, others: bool) -> DataFrame:
+    """Pairs (a, b) of distinct sets (columns node, label, fp, sketch, size, tokens) that may be alike.
 
     Fingerprints of sets at similarity 0.8 differ in so many bits that the keys of `simhash.links` would leave no bit to
-    agree in, so sets meet by a shared token instead. Of those that meet, pairs are left out whose sizes or sketches rule the
-    similarity out; that is a strict bound, so no alike pair is lost.
+    agree in, so sets are dealt out by token instead, of which alike sets share one. The fingerprints that meet join a trie
+    with itself at WIDE_BITS bits, and a spanning forest of the pairs is returned. With `others`, it is all pairs that meet
+    and have different labels, whatever their fingerprints. Pairs are left out that sizes or sketches rule out, and those
+    that share fewer tokens than `least_shared`: strict bounds, so with `others` no alike pair is lost.
     """
-    schema = "a long, b long"
+    schema = "a long, b long, least long, n long"
     arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], schema).schema)
-    placed_schema = "token long, node long, sketch binary, size int"
+    placed_schema = "token long, place long, node long, label long, sketch binary, size int"
     placed_arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], placed_schema).schema)
-    # Most tokens stand in one set alone; only those that may recur are moved with what belongs to them.
-    again = sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1")
-    recurring = sets.sparkSession.sparkContext.broadcast(bits_of(again, "token", RECURRING_POWER))
+    sign = np.uint64(1 << 63)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,21 +196,34 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
             tokens = lists.flatten().to_numpy()
             owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             there = np.flatnonzero(has(recurring.value, tokens.view(np.uint64), RECURRING_POWER))
+            # With the sign turned, signed numbers are in the order of the fingerprints' bits.
+            place = (batch.column("fp").to_numpy().view(np.uint64) ^ sign).view(np.int64)
             own = pa.array(owner[there])
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[there]), *(batch.column(c).take(own) for c in ("node", "sketch", "size"))], schema=placed_arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[there]), pa.array(place[owner[there]]), *(
+                batch.column(c).take(own) for c in ("node", "label", "sketch", "size"))], schema=placed_arrow)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def edges(table: pa.Table) -> pa.RecordBatch:
-            token, nodes, sizes = (table.column(c).to_numpy() for c in ("token", "node", "size"))
+        def counted(nodes: np.ndarray, sizes: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
+            i, j = pairs[:, 0], pairs[:, 1]
+            swap = nodes[i] > nodes[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            order = np.lexsort((nodes[j], nodes[i]))
+            i, j = i[order], j[order]
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(i)), bool), (nodes[i][1:] != nodes[i][:-1]) | (nodes[j][1:] != nodes[j][:-1])]))
+            n = np.diff(np.concatenate([first, [len(i)]]))
+            i, j = i[first], j[first]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (nodes[i], nodes[j], least_shared(sizes[i], sizes[j], similarity), n.astype(np.int64))], schema=arrow)
+
+        def pairs_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            token, place, nodes, label = (table.column(c).to_numpy() for c in ("token", "place", "node", "label"))
+            sizes = table.column("size").to_numpy().astype(np.int64)
             sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, CLASSES)
             cuts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
-            found = set()
-            for low, high in zip(cuts[:-1][np.diff(cuts) > 1].tolist(), cuts[1:][np.diff(cuts) > 1].tolist()):
-                found.update((int(a), int(b)) for a, b in _near(nodes[low:high], sketches[low:high], sizes[low:high], similarity))
-            pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=arrow)
+            found = (_other_pairs(label, sketches, sizes, cuts, similarity) if others
+                     else [_trie_links(token, nodes, sketches, sizes, place.view(np.uint64) ^ sign, cuts, similarity)])
+            yield from (counted(nodes, sizes, pairs) for pairs in found if len(pairs))
 
         for batch in batches:
             # The last group of a batch may go on in the next one.
@@ -161,13 +234,14 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
             other = np.flatnonzero(token != token[-1])
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield edges(table.slice(0, cut))
+                yield from pairs_of(table.slice(0, cut))
             held = table.slice(cut).combine_chunks().to_batches()
         if held:
-            yield edges(pa.Table.from_batches(held))
+            yield from pairs_of(pa.Table.from_batches(held))
 
-    placed = sets.select("node", "sketch", "size", "tokens").mapInArrow(places, placed_schema)
-    return placed.repartition("token").sortWithinPartitions("token", "node").mapInArrow(join, schema)
+    placed = sets.select("node", "label", "fp", "sketch", "size", "tokens").mapInArrow(places, placed_schema)
+    met = placed.repartition("token").sortWithinPartitions("token", "place", "node").mapInArrow(join, schema)
+    return met.groupBy("a", "b", "least").agg(F.sum("n").alias("n")).where("n >= least").select("a", "b")
 
 
 def groups(sets: list[np.ndarray], similarity: float) -> list[int]:
@@ -219,45 +293,52 @@ def groups(sets: list[np.ndarray], similarity: float) -> list[int]:
     return label.tolist()
 
 
-def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shingle: int, similarity: float) -> DataFrame:
-    """(node, root) of every set in a family: root is the smallest node of its group of alike sets.
+def _confirmed(pairs: DataFrame, source: DataFrame, rows: DataFrame, id_column: str, shingle: int, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) of nodes whose sets are alike: a task compares one pair after the other.
 
-    `rows` has the id, the `key` (digest of the text) and the columns of `with_sets`. The text of one row of each node
-    is moved to where its family meets.
+    The text of one row of each node is moved, and its set is stored once.
     """
-    sets = store(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("sketch", "size", "tokens"))), "distinct-sets")
-    families = components(candidate_links(sets, similarity))
-    discard(sets)
-    chosen = store(rows.join(families, "node").groupBy("node", "root").agg(F.min(F.struct(F.col(id_column).alias("id"), "key")).alias("m"))
-                   .select("root", "m.id", "m.key").distinct(), "family-texts")
-    source = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("string").alias("_text"),
-                         digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_key"))
-    met = (source.join(chosen, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key"))).select("root", "_text")
-           .repartition("root").sortWithinPartitions("root"))
-    schema = "node long, root long"
-    arrow = to_arrow_schema(docs.sparkSession.createDataFrame([], schema).schema)
+    pairs = store(pairs, "similar-pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    chosen = rows.join(asked, "node").groupBy("node").agg(F.min(F.struct(F.col(id_column).alias("id"), "key")).alias("m")).select("node", "m.id", "m.key")
+    met = (source.join(chosen, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key"))).select("node", "_text")
+           .groupBy("node").agg(F.first("_text").alias("_text")))
+    schema = "a long, b long"
+    arrow = to_arrow_schema(pairs.schema)
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, held = None, {}
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, other = batch.column("one"), batch.column("other")
+            stay = [alike(one[i].values.to_numpy().view(np.uint64), other[i].values.to_numpy().view(np.uint64), similarity) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(stay, pa.bool_())) for c in ("a", "b")], schema=arrow)
 
-        def settle() -> pa.RecordBatch:
-            nodes = np.array(list(held), np.int64)
-            label = np.array(groups(list(held.values()), similarity))
-            least = {x: int(nodes[label == x].min()) for x in np.unique(label).tolist()}
-            return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([least[x] for x in label.tolist()], pa.int64())], schema=arrow)
+    with small_batches(pairs.sparkSession):
+        sets = store(map_texts(met, ["node"], "_text", lambda: lambda found: [[s.view(np.int64) for s in shingle_sets(found, shingle)]], "shingles array<long>"), "pair-sets")
+        both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("one")), "a")
+                .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b").select("a", "b", "one", "other"))
+        links = store(both.mapInArrow(check, schema), "alike-pairs")
+    discard(pairs, sets)
+    return links
 
-        for batch in batches:
-            for part in pieces([batch], "_text"):
-                for root, own in zip(part.column(0).to_pylist(), shingle_sets(texts(part, "_text"), shingle)):
-                    if root != family and held:
-                        yield settle()
-                        held = {}
-                    family = root
-                    held[node(own)] = own
-        if held:
-            yield settle()
 
-    with small_batches(docs.sparkSession):
-        roots = store(met.mapInArrow(confirm, schema), "family-roots")
-    discard(chosen)
-    return roots
+def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """(node, root) of every set that is alike to another: root is the smallest node of its group of alike sets.
+
+    `rows` has the id, the `key` (digest of the text) and the columns of `with_sets`. Links of the trie are confirmed on the
+    sets first; their groups spare the pairs inside. Then all other pairs that may be alike are confirmed. No step needs a
+    group in one place.
+    """
+    sets = store(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "sketch", "size", "tokens"))), "distinct-sets")
+    # Most tokens stand in one set alone; only those that may recur are moved with what belongs to them.
+    again = sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1")
+    recurring = sets.sparkSession.sparkContext.broadcast(bits_of(again, "token", RECURRING_POWER))
+    source = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("string").alias("_text"),
+                         digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_key"))
+    near = _confirmed(candidate_links(sets.withColumn("label", F.col("node")), recurring, similarity, False),
+                      source, rows, id_column, shingle, similarity)
+    roots = components(near)
+    linked = roots.select(F.col("node").alias("linked"), "root")
+    labelled = sets.join(linked, sets.node == linked.linked, "left").withColumn("label", F.coalesce("root", "node"))
+    rest = _confirmed(candidate_links(labelled, recurring, similarity, True), source, rows, id_column, shingle, similarity)
+    discard(sets)
+    return roots if rest.isEmpty() else components(near.unionByName(rest))
