@@ -23,6 +23,7 @@ NAMED_WITHIN_M = 60.0
 OUT_OF_AREA_M = 3000.0
 WALK_SLACK_MIN = 2.0
 
+ENDS = ["origin_lat", "origin_lng", "dest_lat", "dest_lng"]
 STATION_FIELDS = ["station_uid", "lat", "lng", "bikes_available", "docks_available", "forecast_for",
                   "predicted_bikes_available"]
 
@@ -102,9 +103,28 @@ def _attach_return(rows: DataFrame, legs: DataFrame | None) -> DataFrame:
         walk_minutes(haversine(F.col("return_lat"), F.col("return_lng"), F.col("dest_lat"), F.col("dest_lng"))))
 
 
+def _journeys(trips: DataFrame) -> DataFrame:
+    """Each pair of end points that trips have, once, under a `trip_id` of its own; the numbers are stored, so they stay."""
+    return store(trips.select(*ENDS).dropna().distinct().withColumn("trip_id", F.monotonically_increasing_id()), "journeys")
+
+
+def _for_trips(trips: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows found for journeys, for each trip between their end points; without all coordinates a trip has no pairs."""
+    return trips.join(found.drop("trip_id"), ENDS).select(*trips.columns, *[c for c in found.columns if c not in (*ENDS, "trip_id")])
+
+
 def trip_pairs(trips: DataFrame, stations: DataFrame, snapshot_time: Column, legs: DataFrame | None = None,
                k: int = CANDIDATES, side: float | None = None) -> DataFrame:
-    """All feasible rent/return pairs of each trip (at most k x k) with times, expected bikes and docks, and score."""
+    """All feasible rent/return pairs of each trip (at most k x k) with times, expected bikes and docks, and score.
+
+    They depend on the end points alone, so they are found once for all trips between the same two.
+    """
+    return _for_trips(trips, store(_journey_pairs(_journeys(trips), stations, snapshot_time, legs, k, side), "journey-pairs"))
+
+
+def _journey_pairs(trips: DataFrame, stations: DataFrame, snapshot_time: Column, legs: DataFrame | None,
+                   k: int, side: float | None) -> DataFrame:
+    """The pairs of `trip_pairs` for trips of which each has a `trip_id` of its own."""
     base = trip_candidates(trips, stations, k, side)
     if legs is not None:
         base = store(base, "trip-candidates")  # read for either side
@@ -147,10 +167,14 @@ def trip_pairs(trips: DataFrame, stations: DataFrame, snapshot_time: Column, leg
 
 def recommend(trips: DataFrame, stations: DataFrame, snapshot_time: Column, legs: DataFrame | None = None,
               options: int = OPTIONS, k: int = CANDIDATES, side: float | None = None) -> DataFrame:
-    """Best pairs of each trip; equal scores keep the nearer rent station, then the nearer return station."""
-    pairs = trip_pairs(trips, stations, snapshot_time, legs, k, side)
+    """Best pairs of each trip; equal scores keep the nearer rent station, then the nearer return station.
+
+    The best pairs of each journey are stored, and trips meet these few; a repeated trip_id is ranked as one trip.
+    """
     order = [round_to(F.col("score"), 3).asc(), F.col("rent_rank").asc(), F.col("return_rank").asc()]
-    return top_per_key(pairs, ["trip_id"], order, options, rank="option_rank")
+    pairs = _journey_pairs(_journeys(trips), stations, snapshot_time, legs, k, side)
+    best = store(top_per_key(pairs, ["trip_id"], order, options), "journey-options")
+    return top_per_key(_for_trips(trips, best), ["trip_id"], order, options, rank="option_rank")
 
 
 def option_legs(options: DataFrame) -> DataFrame:

@@ -214,3 +214,23 @@ def test_searches_with_a_stored_index_find_the_same(spark):
     asked = spark.createDataFrame([(i, "".join(r.choice("abB ") for _ in range(r.randint(0, 4)))) for i in range(60)], "q long, query string")
     index = name_index(names)
     assert sorted(match_stations(asked, names, index=index).collect()) == sorted(match_stations(asked, names).collect())
+
+
+def test_trips_between_the_same_points_are_ranked_once(spark, monkeypatch):
+    """Pairs are formed for each two end points, not for each trip; every trip gets them, a repeated trip as one."""
+    seen, whole = [], rec.trip_candidates
+
+    def counted(trips, *rest):
+        seen.append(trips.count())
+        return whole(trips, *rest)
+    monkeypatch.setattr(rec, "trip_candidates", counted)
+    first, second = journeys(8, 2)
+    rows = [(i, *first[1:]) for i in range(20)] + [(100, *second[1:]), (100, *second[1:]), (200, None, *first[2:]), (100, *first[1:])]
+    trips = spark.createDataFrame(rows, "trip_id long, origin_lat double, origin_lng double, dest_lat double, dest_lng double")
+    stations = spark.createDataFrame([s[:4] + (9, 9) + s[6:] for s in town(8)], STATION)
+    pairs = rec.trip_pairs(trips, stations, now()).groupBy("trip_id").count().collect()
+    assert seen == [2] and len({r["count"] for r in pairs if r["trip_id"] < 100}) == 1
+    options = [r.asDict() for r in rec.recommend(trips, stations, now()).collect()]
+    by_trip = {i: sorted((r["option_rank"], round(r["score"], 6), r["rent_uid"], r["return_uid"]) for r in options if r["trip_id"] == i) for i in (0, 19, 100, 200)}
+    assert len(by_trip[0]) == 3 and by_trip[0] == by_trip[19] and by_trip[200] == []
+    assert [x[0] for x in by_trip[100]] == [1, 2, 3]
