@@ -175,9 +175,15 @@ def d17_rows(spark, sf):
 
 @query("d17_predict")
 def d17(spark, sf):
-    """Forecasts of the newest complete rows by a model trained on the labelled ones."""
-    model = fc.fit_forecaster(training(spark, sf))
-    return fc.predict(model, v.features(spark, sf), popular(spark, sf), EVENTS_AS_OF, EVENTS_AS_OF, MONTH)
+    """Forecasts of the newest complete rows by a model trained on the labelled ones.
+
+    Features serve the choice of stations, the training and the scoring, and the solver passes over its rows many times:
+    each of these tables is written once.
+    """
+    features = store(v.features(spark, sf), "features")
+    chosen = store(popular_stations(features, POPULAR_N, EVENTS_AS_OF, MONTH), "popular")
+    model = fc.fit_forecaster(store(fc.training_set(features, chosen, 31, 0.2, EVENTS_AS_OF), "training-set"))
+    return fc.predict(model, features, chosen, EVENTS_AS_OF, EVENTS_AS_OF, MONTH)
 
 
 @query("d17_forecast_bounds", """
