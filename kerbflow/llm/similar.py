@@ -24,6 +24,8 @@ from kerbflow.session import discard, store
 FOLD = np.frombuffer(LOWER, np.uint8)
 #: A sketch counts the shingles of a set in so many classes, up to FULL.
 CLASSES, FULL = 64, 255
+#: Its tokens that recur are counted in so many.
+MARKS = 32
 #: Shingles that several texts of a sample share come last in the order of shingles; kept as a filter of 2 to the power of so many bits.
 COMMON_POWER = 24
 SAMPLE, COMMON = 16, 3
@@ -31,8 +33,10 @@ SAMPLE, COMMON = 16, 3
 RECURRING_POWER = 26
 #: Fingerprints that share a token join the trie at so many bits; alike pairs further apart are found among all other pairs.
 WIDE_BITS = 16
-#: More fingerprints than this under one token are linked by hubs; so many pairs are sent on at once.
+#: More fingerprints than this under one token are linked by hubs; so many pairs are held by a task at once.
 HOT, LOT = 256, 1 << 18
+#: Sets meet the likeliest set of another group again while at least this share of such pairs is alike.
+AGAIN = 0.25
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -99,6 +103,12 @@ def sketch(own: np.ndarray) -> bytes:
     return np.minimum(np.bincount((own >> np.uint64(32)).astype(np.int64) % CLASSES, minlength=CLASSES), FULL).astype(np.uint8).tobytes()
 
 
+def marks(owner: np.ndarray, tokens: np.ndarray, rows: int) -> np.ndarray:
+    """How many of its tokens that recur fall in each of MARKS classes, up to FULL, for each set: a token is one of the set at `owner`."""
+    place = owner * MARKS + (tokens >> np.uint64(32)).astype(np.int64) % MARKS
+    return np.minimum(np.bincount(place, minlength=rows * MARKS), FULL).astype(np.uint8).reshape(rows, MARKS)
+
+
 def possible(sketches: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int, similarity: float) -> np.ndarray:
     """Which sets may have the similarity to one, by sizes and sketches; none that has it is left out."""
     shared = np.minimum(sketches, one).sum(axis=1, dtype=np.int64)
@@ -131,14 +141,34 @@ def least_shared(one: np.ndarray, other: np.ndarray, similarity: float) -> np.nd
     return np.maximum(common - np.ceil(similarity * np.maximum(one, other) - 1e-9) + 1, 1).astype(np.int64)
 
 
-def _trie_links(token: np.ndarray, nodes: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, order: np.ndarray, cuts: np.ndarray,
+def likely(counts: tuple[np.ndarray, np.ndarray, np.ndarray], i: np.ndarray, j: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of places (i, j) sizes, sketches and marks (`counts`) leave open, and a number that grows with the similarity they may have."""
+    sizes, sketches, marked = counts
+    shared = np.minimum(sketches[i], sketches[j]).sum(axis=1, dtype=np.int64)
+    full = (sketches[i] == FULL).any(axis=1) | (sketches[j] == FULL).any(axis=1)
+    both = sizes[i] + sizes[j]
+    stay = np.flatnonzero((full | (shared * (1 + similarity) >= similarity * both - 1e-6)) & (
+        np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j]) - 1e-9))
+    a, b = i[stay], j[stay]
+    tokens = np.minimum(marked[a], marked[b]).sum(axis=1, dtype=np.int64)
+    full = (marked[a] == FULL).any(axis=1) | (marked[b] == FULL).any(axis=1)
+    stay = stay[full | (tokens >= least_shared(sizes[a], sizes[b], similarity))]
+    return stay, shared[stay] / np.maximum(both[stay], 1)
+
+
+def _trie_links(token: np.ndarray, nodes: np.ndarray, counts: tuple[np.ndarray, np.ndarray, np.ndarray], order: np.ndarray, cuts: np.ndarray,
                 similarity: float) -> np.ndarray:
-    """Places (i, j) that connect the sets of one token whose fingerprints differ in at most WIDE_BITS bits; `order` is sorted in a group."""
+    """Places (i, j) that connect the sets of one token whose fingerprints differ in at most WIDE_BITS bits; `order` is sorted in a group.
+
+    The likeliest pairs connect them, so that much the same pairs come from all tokens of a family.
+    """
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (order[1:] != order[:-1])
     first = np.flatnonzero(new)
     equal = np.flatnonzero(~new)
-    found = [np.column_stack([first[np.searchsorted(first, equal, "right") - 1], equal])]
+    alone = np.column_stack([first[np.searchsorted(first, equal, "right") - 1], equal])
+    sizes, sketches, _ = counts
+    found = [alone[likely(counts, alone[:, 0], alone[:, 1], similarity)[0]]]
     ends = np.searchsorted(first, cuts)
     crowded = np.flatnonzero(np.diff(ends) > HOT)
     # In a crowded group most pairs are near, so there the hubs of `_near` stand for them.
@@ -146,28 +176,42 @@ def _trie_links(token: np.ndarray, nodes: np.ndarray, sketches: np.ndarray, size
         own = first[ends[g]:ends[g + 1]]
         found.append(np.array([(int(a), int(b)) for a, b in _near(own, sketches[own], sizes[own], similarity)], np.int64).reshape(-1, 2))
     quiet = np.repeat(np.diff(ends) <= HOT, np.diff(ends))
-    kept, counts = first[quiet], np.diff(ends)[np.diff(ends) <= HOT]
-    pairs = trie_pairs(order[kept], WIDE_BITS, cuts=np.concatenate([[0], np.cumsum(counts)]))
-    if len(pairs):
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-        found.append(kept[np.array(forest(pairs), np.int64).reshape(-1, 2)])
+    kept, lengths = first[quiet], np.diff(ends)[np.diff(ends) <= HOT]
+    pairs = kept[trie_pairs(order[kept], WIDE_BITS, cuts=np.concatenate([[0], np.cumsum(lengths)]))].reshape(-1, 2)
+    stay, score = likely(counts, pairs[:, 0], pairs[:, 1], similarity)
+    pairs = pairs[stay]
+    found.append(np.array(forest(pairs[np.lexsort((nodes[pairs[:, 1]], nodes[pairs[:, 0]], -score))]), np.int64).reshape(-1, 2))
     return np.concatenate(found)
 
 
-def _other_pairs(label: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, cuts: np.ndarray, similarity: float) -> Iterator[np.ndarray]:
-    """All places (i, j) in one group with different labels that sizes and sketches do not rule out, a bounded lot at a time."""
+def _open_pairs(label: np.ndarray, counts: tuple[np.ndarray, np.ndarray, np.ndarray], cuts: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All places i and j in one group with different labels that `likely` leaves open, and how likely; one distance after the other."""
     end = np.repeat(cuts[1:], np.diff(cuts))
-    here, lot, held = np.arange(len(label)), [], 0
+    here = np.arange(len(label))
     for apart in range(1, int(np.diff(cuts).max(initial=0))):
         here = here[here + apart < end[here]]
         i = here[label[here] != label[here + apart]]
-        j = i + apart
-        shared = np.minimum(sketches[i], sketches[j]).sum(axis=1, dtype=np.int64)
-        full = (sketches[i] == FULL).any(axis=1) | (sketches[j] == FULL).any(axis=1)
-        stay = (full | (shared * (1 + similarity) >= similarity * (sizes[i] + sizes[j]) - 1e-6)) & (
-            np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j]) - 1e-9)
-        lot.append(np.column_stack([i[stay], j[stay]]))
-        held += int(stay.sum())
+        stay, score = likely(counts, i, i + apart, similarity)
+        yield i[stay], i[stay] + apart, score
+
+
+def _best_pairs(label: np.ndarray, counts: tuple[np.ndarray, np.ndarray, np.ndarray], cuts: np.ndarray, similarity: float) -> np.ndarray:
+    """For each place the likeliest open one of its group with another label, as places (i, j): at most one pair a place."""
+    best, partner = np.full(len(label), -1.0), np.full(len(label), -1)
+    for i, j, score in _open_pairs(label, counts, cuts, similarity):
+        for own, other in ((i, j), (j, i)):
+            better = score > best[own]
+            best[own[better]], partner[own[better]] = score[better], other[better]
+    own = np.flatnonzero(partner >= 0)
+    return np.column_stack([own, partner[own]])
+
+
+def _other_pairs(label: np.ndarray, counts: tuple[np.ndarray, np.ndarray, np.ndarray], cuts: np.ndarray, similarity: float) -> Iterator[np.ndarray]:
+    """All open places (i, j) in one group with different labels, a bounded lot at a time."""
+    lot, held = [], 0
+    for i, j, _ in _open_pairs(label, counts, cuts, similarity):
+        lot.append(np.column_stack([i, j]))
+        held += len(i)
         if held > LOT:
             yield np.concatenate(lot)
             lot, held = [], 0
@@ -175,18 +219,29 @@ def _other_pairs(label: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, cut
         yield np.concatenate(lot)
 
 
-def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, others: bool) -> DataFrame:
+def _summed(a: np.ndarray, b: np.ndarray, least: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Each pair once, with its summed n."""
+    order = np.lexsort((b, a))
+    a, b, least, n = a[order], b[order], least[order], n[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(a)), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return [a[first], b[first], least[first], np.add.reduceat(n, first) if len(n) else n]
+
+
+def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, way: str) -> DataFrame:
     """Pairs (a, b) of distinct sets (columns node, label, fp, sketch, size, tokens) that may be alike.
 
     Fingerprints of sets at similarity 0.8 differ in so many bits that the keys of `simhash.links` would leave no bit to
-    agree in, so sets are dealt out by token instead, of which alike sets share one. The fingerprints that meet join a trie
-    with itself at WIDE_BITS bits, and a spanning forest of the pairs is returned. With `others`, it is all pairs that meet
-    and have different labels, whatever their fingerprints. Pairs are left out that sizes or sketches rule out, and those
-    that share fewer tokens than `least_shared`: strict bounds, so with `others` no alike pair is lost.
+    agree in, so sets are dealt out by token instead, of which alike sets share one. Pairs are left out that sizes or
+    sketches or counts of their tokens rule out. By `way` these are returned:
+    * `trie`: the fingerprints that meet join a trie with itself at WIDE_BITS bits; a spanning forest of the pairs.
+    * `best`: for each set that meets sets of other labels, the likeliest one under each of its tokens.
+    * `all`: all pairs that meet and have different labels, but for those that share fewer tokens than `least_shared`. The
+      bounds are strict, so no alike pair is lost.
+    The first two return at most one pair for each token of a set.
     """
     schema = "a long, b long, least long, n long"
     arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], schema).schema)
-    placed_schema = "token long, place long, node long, label long, sketch binary, size int"
+    placed_schema = "token long, place long, node long, label long, sketch binary, size int, marks binary"
     placed_arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], placed_schema).schema)
     sign = np.uint64(1 << 63)
 
@@ -196,34 +251,39 @@ def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, ot
             tokens = lists.flatten().to_numpy()
             owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             there = np.flatnonzero(has(recurring.value, tokens.view(np.uint64), RECURRING_POWER))
+            counts = marks(owner[there], tokens[there].view(np.uint64), batch.num_rows)
+            columns = {c: batch.column(c) for c in ("node", "label", "sketch", "size")}
+            columns["marks"] = pa.array([row.tobytes() for row in counts], pa.binary())
             # With the sign turned, signed numbers are in the order of the fingerprints' bits.
             place = (batch.column("fp").to_numpy().view(np.uint64) ^ sign).view(np.int64)
             own = pa.array(owner[there])
             yield pa.RecordBatch.from_arrays([pa.array(tokens[there]), pa.array(place[owner[there]]), *(
-                batch.column(c).take(own) for c in ("node", "label", "sketch", "size"))], schema=placed_arrow)
+                columns[c].take(own) for c in ("node", "label", "sketch", "size", "marks"))], schema=placed_arrow)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        sums: list[list[np.ndarray]] = []
 
-        def counted(nodes: np.ndarray, sizes: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
-            i, j = pairs[:, 0], pairs[:, 1]
-            swap = nodes[i] > nodes[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            order = np.lexsort((nodes[j], nodes[i]))
-            i, j = i[order], j[order]
-            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(i)), bool), (nodes[i][1:] != nodes[i][:-1]) | (nodes[j][1:] != nodes[j][:-1])]))
-            n = np.diff(np.concatenate([first, [len(i)]]))
-            i, j = i[first], j[first]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (nodes[i], nodes[j], least_shared(sizes[i], sizes[j], similarity), n.astype(np.int64))], schema=arrow)
-
-        def pairs_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        def pairs_of(table: pa.Table) -> Iterator[list[np.ndarray]]:
             token, place, nodes, label = (table.column(c).to_numpy() for c in ("token", "place", "node", "label"))
             sizes = table.column("size").to_numpy().astype(np.int64)
-            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, CLASSES)
+            sketches, marked = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(len(token), -1) for c in ("sketch", "marks"))
+            counts = (sizes, sketches, marked)
             cuts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
-            found = (_other_pairs(label, sketches, sizes, cuts, similarity) if others
-                     else [_trie_links(token, nodes, sketches, sizes, place.view(np.uint64) ^ sign, cuts, similarity)])
-            yield from (counted(nodes, sizes, pairs) for pairs in found if len(pairs))
+            if way == "trie":
+                found = [_trie_links(token, nodes, counts, place.view(np.uint64) ^ sign, cuts, similarity)]
+            else:
+                found = [_best_pairs(label, counts, cuts, similarity)] if way == "best" else _other_pairs(label, counts, cuts, similarity)
+            for pairs in found:
+                i, j = pairs[:, 0], pairs[:, 1]
+                yield _summed(np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j]), least_shared(sizes[i], sizes[j], similarity), np.ones(len(i), np.int64))
+
+        def sent(at_most: int) -> Iterator[pa.RecordBatch]:
+            """A pair is counted over all tokens of a task as far as LOT pairs allow."""
+            if sum(len(part[0]) for part in sums) > at_most:
+                sums[:] = [_summed(*map(np.concatenate, zip(*sums)))]
+                if len(sums[0][0]) > at_most // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in sums.pop()], schema=arrow)
 
         for batch in batches:
             # The last group of a batch may go on in the next one.
@@ -234,13 +294,20 @@ def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, ot
             other = np.flatnonzero(token != token[-1])
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield from pairs_of(table.slice(0, cut))
+                for part in pairs_of(table.slice(0, cut)):
+                    sums.append(part)
+                    yield from sent(LOT)
             held = table.slice(cut).combine_chunks().to_batches()
         if held:
-            yield from pairs_of(pa.Table.from_batches(held))
+            for part in pairs_of(pa.Table.from_batches(held)):
+                sums.append(part)
+                yield from sent(LOT)
+        yield from sent(0)
 
     placed = sets.select("node", "label", "fp", "sketch", "size", "tokens").mapInArrow(places, placed_schema)
     met = placed.repartition("token").sortWithinPartitions("token", "place", "node").mapInArrow(join, schema)
+    if way != "all":
+        return met.select("a", "b").distinct()
     return met.groupBy("a", "b", "least").agg(F.sum("n").alias("n")).where("n >= least").select("a", "b")
 
 
@@ -293,8 +360,8 @@ def groups(sets: list[np.ndarray], similarity: float) -> list[int]:
     return label.tolist()
 
 
-def _confirmed(pairs: DataFrame, source: DataFrame, rows: DataFrame, id_column: str, shingle: int, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose sets are alike: a task compares one pair after the other.
+def _confirmed(pairs: DataFrame, source: DataFrame, rows: DataFrame, id_column: str, shingle: int, similarity: float) -> tuple[DataFrame, int]:
+    """Those of the pairs (a, b) of nodes whose sets are alike, and the number of all: a task compares one pair after the other.
 
     The text of one row of each node is moved, and its set is stored once.
     """
@@ -317,16 +384,17 @@ def _confirmed(pairs: DataFrame, source: DataFrame, rows: DataFrame, id_column:
         both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("one")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b").select("a", "b", "one", "other"))
         links = store(both.mapInArrow(check, schema), "alike-pairs")
+    tried = pairs.count()
     discard(pairs, sets)
-    return links
+    return links, tried
 
 
 def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shingle: int, similarity: float) -> DataFrame:
     """(node, root) of every set that is alike to another: root is the smallest node of its group of alike sets.
 
     `rows` has the id, the `key` (digest of the text) and the columns of `with_sets`. Links of the trie are confirmed on the
-    sets first; their groups spare the pairs inside. Then all other pairs that may be alike are confirmed. No step needs a
-    group in one place.
+    sets first, then those of each set to the likeliest set of another group. Both are few, and their groups spare the pairs
+    inside; then all other pairs that may be alike are confirmed. No step needs a group in one place.
     """
     sets = store(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "sketch", "size", "tokens"))), "distinct-sets")
     # Most tokens stand in one set alone; only those that may recur are moved with what belongs to them.
@@ -334,11 +402,24 @@ def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shi
     recurring = sets.sparkSession.sparkContext.broadcast(bits_of(again, "token", RECURRING_POWER))
     source = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("string").alias("_text"),
                          digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_key"))
-    near = _confirmed(candidate_links(sets.withColumn("label", F.col("node")), recurring, similarity, False),
-                      source, rows, id_column, shingle, similarity)
-    roots = components(near)
-    linked = roots.select(F.col("node").alias("linked"), "root")
-    labelled = sets.join(linked, sets.node == linked.linked, "left").withColumn("label", F.coalesce("root", "node"))
-    rest = _confirmed(candidate_links(labelled, recurring, similarity, True), source, rows, id_column, shingle, similarity)
+    def confirmed(labelled: DataFrame, way: str) -> tuple[DataFrame, int]:
+        return _confirmed(candidate_links(labelled, recurring, similarity, way), source, rows, id_column, shingle, similarity)
+
+    def labels(roots: DataFrame) -> DataFrame:
+        linked = roots.select(F.col("node").alias("linked"), "root")
+        return sets.join(linked, sets.node == linked.linked, "left").withColumn("label", F.coalesce("root", "node"))
+
+    links, tried = confirmed(sets.withColumn("label", F.col("node")), "trie")
+    roots, way = components(links), "best"
+    while True:
+        found, tried = confirmed(labels(roots), way)
+        more = found.count()
+        if more:
+            links = links.unionByName(found)
+            roots = components(links)
+        # Where no set meets an open one of another group, no pair is left for `all` either.
+        if way == "all" or not tried:
+            break
+        way = "best" if more >= AGAIN * tried else "all"
     discard(sets)
-    return roots if rest.isEmpty() else components(near.unionByName(rest))
+    return roots

@@ -88,3 +88,24 @@ def test_sketches_never_rule_out_an_alike_pair(size):
     if 40 <= size <= 300:
         assert not similar.possible(np.frombuffer(similar.sketch(strange), np.uint8)[None], np.array([len(strange)]),
                                     np.frombuffer(similar.sketch(a), np.uint8), len(a), 0.8).any()
+
+
+def test_pairs_of_a_family_grow_with_its_size(spark, documents, monkeypatch):
+    """Copies of one text with up to three words changed: about half of all pairs are alike, few of them are ever formed."""
+    r, rows, formed = random.Random(3), [], []
+    base = [f"w{r.randrange(5000)}" for _ in range(150)]
+    for i in range(300):
+        words = list(base)
+        for _ in range(r.randrange(4)):
+            words[r.randrange(len(words))] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    candidates = similar.candidate_links
+
+    def counted(*args):
+        pairs = candidates(*args)
+        formed.append(pairs.count())
+        return pairs
+    monkeypatch.setattr(similar, "candidate_links", counted)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(documents(rows)).collect()}
+    assert got == brute_groups(rows)
+    assert sum(formed) < 20 * len(rows)
