@@ -33,8 +33,8 @@ SAMPLE, COMMON = 16, 3
 RECURRING_POWER = 26
 #: Fingerprints that share a token join the trie at so many bits; alike pairs further apart are found among all other pairs.
 WIDE_BITS = 16
-#: More fingerprints than this under one token are linked by hubs; so many pairs are held by a task at once.
-HOT, LOT = 256, 1 << 18
+#: More fingerprints than this under one token are linked by hubs; so many pairs are held by a task at once, and so many tokens of pairs.
+HOT, LOT, HELD = 256, 1 << 18, 1 << 20
 #: Sets meet the likeliest set of another group again while at least this share of such pairs is alike.
 AGAIN = 0.25
 
@@ -219,12 +219,69 @@ def _other_pairs(label: np.ndarray, counts: tuple[np.ndarray, np.ndarray, np.nda
         yield np.concatenate(lot)
 
 
-def _summed(a: np.ndarray, b: np.ndarray, least: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
-    """Each pair once, with its summed n."""
+def _met_first(token: np.ndarray, own: pa.ChunkedArray, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which pairs of places (i, j) share at least `least` tokens of which the smallest is that of the group they meet in.
+
+    `own` has the sorted tokens of the set at each place. So a pair counts once, whatever the number of tokens it shares.
+    """
+    places, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    i, j, token = at[:len(i)], at[len(i):], token[i]
+    lists = [np.frombuffer(x, np.int64) for x in own.take(pa.array(places)).to_pylist()]
+    lengths = np.array([len(x) for x in lists], np.int64)
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+    names, number = np.unique(flat, return_inverse=True)
+    keys = np.repeat(np.arange(len(lists)), lengths) * len(names) + number
+    swap = lengths[i] > lengths[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    ends, stay = np.cumsum(lengths[i]), np.zeros(len(i), bool)
+    low = 0
+    while low < len(i):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + HELD, "right")))
+        one, other = i[low:high], j[low:high]
+        pair = np.repeat(np.arange(len(one)), lengths[one])
+        asked = np.arange(len(pair)) + np.repeat(starts[one] - np.concatenate([[0], np.cumsum(lengths[one])[:-1]]), lengths[one])
+        wanted = other[pair] * len(names) + number[asked]
+        hit = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted)
+        shared = np.bincount(pair[hit], minlength=len(one))
+        met, first = np.unique(pair[hit], return_index=True)
+        smallest = np.zeros(len(one), bool)
+        smallest[met] = flat[asked[hit[first]]] == token[low:high][met]
+        stay[low:high] = smallest & (shared >= least[low:high])
+        low = high
+    return stay
+
+
+def _distinct(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """Each pair once."""
     order = np.lexsort((b, a))
-    a, b, least, n = a[order], b[order], least[order], n[order]
+    a, b = a[order], b[order]
     first = np.flatnonzero(np.concatenate([np.ones(min(1, len(a)), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-    return [a[first], b[first], least[first], np.add.reduceat(n, first) if len(n) else n]
+    return [a[first], b[first]]
+
+
+def only_tokens(sets: DataFrame, bits: Broadcast) -> DataFrame:
+    """The sets that have a token in the filter, with those of their tokens alone."""
+    arrow = to_arrow_schema(sets.schema)
+    at = sets.columns.index("tokens")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(at)
+            tokens, lengths = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            there = has(bits.value, tokens.to_numpy().view(np.uint64), RECURRING_POWER)
+            left = np.bincount(np.repeat(np.arange(batch.num_rows), lengths)[there], minlength=batch.num_rows)
+            ends = pa.array(np.concatenate([[0], np.cumsum(left)]).astype(np.int32))
+            columns = [*batch.columns[:at], pa.ListArray.from_arrays(ends, tokens.filter(pa.array(there))), *batch.columns[at + 1:]]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow).filter(pa.array(left > 0))
+
+    return sets.mapInArrow(cut, sets.schema)
+
+
+def met_tokens(labelled: DataFrame) -> Broadcast:
+    """A filter of the tokens that stand in sets of different labels: no other token has a pair to form."""
+    told = labelled.select(F.explode("tokens").alias("token"), "label").groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return labelled.sparkSession.sparkContext.broadcast(bits_of(told.where("low < high"), "token", RECURRING_POWER))
 
 
 def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, way: str) -> DataFrame:
@@ -232,16 +289,18 @@ def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, wa
 
     Fingerprints of sets at similarity 0.8 differ in so many bits that the keys of `simhash.links` would leave no bit to
     agree in, so sets are dealt out by token instead, of which alike sets share one. Pairs are left out that sizes or
-    sketches or counts of their tokens rule out. By `way` these are returned:
+    sketches or counts of their tokens rule out. Only tokens in `recurring` are moved: the filter of `met_tokens`. By `way`
+    these are returned:
     * `trie`: the fingerprints that meet join a trie with itself at WIDE_BITS bits; a spanning forest of the pairs.
     * `best`: for each set that meets sets of other labels, the likeliest one under each of its tokens.
     * `all`: all pairs that meet and have different labels, but for those that share fewer tokens than `least_shared`. The
-      bounds are strict, so no alike pair is lost.
+      bounds are strict, so no alike pair is lost. A set brings its tokens along, so a pair leaves the task of its smallest
+      shared token alone.
     The first two return at most one pair for each token of a set.
     """
-    schema = "a long, b long, least long, n long"
+    schema = "a long, b long"
     arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], schema).schema)
-    placed_schema = "token long, place long, node long, label long, sketch binary, size int, marks binary"
+    placed_schema = "token long, place long, node long, label long, sketch binary, size int, marks binary, own binary"
     placed_arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], placed_schema).schema)
     sign = np.uint64(1 << 63)
 
@@ -256,13 +315,27 @@ def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, wa
             columns["marks"] = pa.array([row.tobytes() for row in counts], pa.binary())
             # With the sign turned, signed numbers are in the order of the fingerprints' bits.
             place = (batch.column("fp").to_numpy().view(np.uint64) ^ sign).view(np.int64)
-            own = pa.array(owner[there])
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[there]), pa.array(place[owner[there]]), *(
-                columns[c].take(own) for c in ("node", "label", "sketch", "size", "marks"))], schema=placed_arrow)
+            # The tokens that sets bring along grow with their square, so rows go out a bounded piece at a time.
+            lengths = np.bincount(owner[there], minlength=batch.num_rows)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            weight = np.cumsum(lengths * lengths) if way == "all" else ends[1:]
+            low = 0
+            while low < batch.num_rows:
+                high = max(low + 1, int(np.searchsorted(weight, (weight[low - 1] if low else 0) + HELD, "right")))
+                kept = tokens[there[ends[low]:ends[high]]]
+                own = pa.array(owner[there[ends[low]:ends[high]]])
+                if way == "all":
+                    brought = pa.array([np.sort(x).tobytes() for x in np.split(kept, ends[low + 1:high] - ends[low])], pa.binary()).take(
+                        pa.array(owner[there[ends[low]:ends[high]]] - low))
+                else:
+                    brought = pa.nulls(len(kept), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(place).take(own), *(
+                    columns[c].take(own) for c in ("node", "label", "sketch", "size", "marks")), brought], schema=placed_arrow)
+                low = high
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        sums: list[list[np.ndarray]] = []
+        found: list[list[np.ndarray]] = []
 
         def pairs_of(table: pa.Table) -> Iterator[list[np.ndarray]]:
             token, place, nodes, label = (table.column(c).to_numpy() for c in ("token", "place", "node", "label"))
@@ -271,19 +344,22 @@ def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, wa
             counts = (sizes, sketches, marked)
             cuts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
             if way == "trie":
-                found = [_trie_links(token, nodes, counts, place.view(np.uint64) ^ sign, cuts, similarity)]
+                lots = [_trie_links(token, nodes, counts, place.view(np.uint64) ^ sign, cuts, similarity)]
             else:
-                found = [_best_pairs(label, counts, cuts, similarity)] if way == "best" else _other_pairs(label, counts, cuts, similarity)
-            for pairs in found:
+                lots = [_best_pairs(label, counts, cuts, similarity)] if way == "best" else _other_pairs(label, counts, cuts, similarity)
+            for pairs in lots:
                 i, j = pairs[:, 0], pairs[:, 1]
-                yield _summed(np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j]), least_shared(sizes[i], sizes[j], similarity), np.ones(len(i), np.int64))
+                if way == "all":
+                    stay = _met_first(token, table.column("own"), i, j, least_shared(sizes[i], sizes[j], similarity))
+                    i, j = i[stay], j[stay]
+                yield _distinct(np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j]))
 
         def sent(at_most: int) -> Iterator[pa.RecordBatch]:
-            """A pair is counted over all tokens of a task as far as LOT pairs allow."""
-            if sum(len(part[0]) for part in sums) > at_most:
-                sums[:] = [_summed(*map(np.concatenate, zip(*sums)))]
-                if len(sums[0][0]) > at_most // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in sums.pop()], schema=arrow)
+            """A pair leaves once for all tokens of a task as far as LOT pairs allow."""
+            if sum(len(part[0]) for part in found) > at_most:
+                found[:] = [_distinct(*map(np.concatenate, zip(*found)))]
+                if len(found[0][0]) > at_most // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found.pop()], schema=arrow)
 
         for batch in batches:
             # The last group of a batch may go on in the next one.
@@ -295,20 +371,18 @@ def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, wa
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
                 for part in pairs_of(table.slice(0, cut)):
-                    sums.append(part)
+                    found.append(part)
                     yield from sent(LOT)
             held = table.slice(cut).combine_chunks().to_batches()
         if held:
             for part in pairs_of(pa.Table.from_batches(held)):
-                sums.append(part)
+                found.append(part)
                 yield from sent(LOT)
         yield from sent(0)
 
     placed = sets.select("node", "label", "fp", "sketch", "size", "tokens").mapInArrow(places, placed_schema)
     met = placed.repartition("token").sortWithinPartitions("token", "place", "node").mapInArrow(join, schema)
-    if way != "all":
-        return met.select("a", "b").distinct()
-    return met.groupBy("a", "b", "least").agg(F.sum("n").alias("n")).where("n >= least").select("a", "b")
+    return met if way == "all" else met.distinct()
 
 
 def groups(sets: list[np.ndarray], similarity: float) -> list[int]:
@@ -361,11 +435,10 @@ def groups(sets: list[np.ndarray], similarity: float) -> list[int]:
 
 
 def _confirmed(pairs: DataFrame, source: DataFrame, rows: DataFrame, id_column: str, shingle: int, similarity: float) -> tuple[DataFrame, int]:
-    """Those of the pairs (a, b) of nodes whose sets are alike, and the number of all: a task compares one pair after the other.
+    """Those of the stored pairs (a, b) of nodes whose sets are alike, and the number of all: a task compares one pair after the other.
 
     The text of one row of each node is moved, and its set is stored once.
     """
-    pairs = store(pairs, "similar-pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     chosen = rows.join(asked, "node").groupBy("node").agg(F.min(F.struct(F.col(id_column).alias("id"), "key")).alias("m")).select("node", "m.id", "m.key")
     met = (source.join(chosen, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key"))).select("node", "_text")
@@ -397,19 +470,25 @@ def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shi
     inside; then all other pairs that may be alike are confirmed. No step needs a group in one place.
     """
     sets = store(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "sketch", "size", "tokens"))), "distinct-sets")
-    # Most tokens stand in one set alone; only those that may recur are moved with what belongs to them.
-    again = sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where("count > 1")
-    recurring = sets.sparkSession.sparkContext.broadcast(bits_of(again, "token", RECURRING_POWER))
+    # Most tokens stand in one set alone; only those that may recur are kept, with their sets.
+    first = met_tokens(sets.withColumn("label", F.col("node")))
+    meeting = store(only_tokens(sets, first), "meeting-sets")
+    discard(sets)
     source = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("string").alias("_text"),
                          digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_key"))
+
     def confirmed(labelled: DataFrame, way: str) -> tuple[DataFrame, int]:
-        return _confirmed(candidate_links(labelled, recurring, similarity, way), source, rows, id_column, shingle, similarity)
+        met = first if way == "trie" else met_tokens(labelled)
+        with small_batches(docs.sparkSession):
+            pairs = store(candidate_links(labelled, met, similarity, way), "similar-pairs")
+        met.unpersist()
+        return _confirmed(pairs, source, rows, id_column, shingle, similarity)
 
     def labels(roots: DataFrame) -> DataFrame:
         linked = roots.select(F.col("node").alias("linked"), "root")
-        return sets.join(linked, sets.node == linked.linked, "left").withColumn("label", F.coalesce("root", "node"))
+        return meeting.join(linked, meeting.node == linked.linked, "left").withColumn("label", F.coalesce("root", "node"))
 
-    links, tried = confirmed(sets.withColumn("label", F.col("node")), "trie")
+    links, tried = confirmed(meeting.withColumn("label", F.col("node")), "trie")
     roots, way = components(links), "best"
     while True:
         found, tried = confirmed(labels(roots), way)
@@ -421,5 +500,5 @@ def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shi
         if way == "all" or not tried:
             break
         way = "best" if more >= AGAIN * tried else "all"
-    discard(sets)
+    discard(meeting)
     return roots

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -109,3 +110,47 @@ def test_pairs_of_a_family_grow_with_its_size(spark, documents, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(documents(rows)).collect()}
     assert got == brute_groups(rows)
     assert sum(formed) < 20 * len(rows)
+
+
+def test_a_pair_leaves_the_exact_way_once(spark, documents, monkeypatch):
+    """However many tokens two sets share, and on whatever task they meet; the tokens decide there whether they share enough."""
+    r, base = random.Random(7), [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(80):
+        words = list(base)
+        for _ in range(r.randrange(1, 7)):
+            words[r.randrange(len(words))] = f"x{i}"
+        texts.append(" ".join(words))
+    sets = (similar.with_sets(documents(list(enumerate(texts))), ["doc_id"], "text", 5, 0.8).dropDuplicates(["node"])
+            .selectExpr("*", "node AS label").persist())
+    made, plain = spark.sparkContext.accumulator(0), type(sets).mapInArrow
+
+    def counted(self, func, schema, *args):
+        def inner(batches):
+            for batch in func(batches):
+                if func.__name__ == "join":
+                    made.add(batch.num_rows)
+                yield batch
+        return plain(self, inner, schema, *args)
+    monkeypatch.setattr(type(sets), "mapInArrow", counted)
+    every = spark.sparkContext.broadcast(np.full((1 << similar.RECURRING_POWER) // 8, 255, np.uint8))
+    pairs = [tuple(row) for row in similar.candidate_links(sets, every, 0.8, "all").collect()]
+    own = similar.shingle_sets([t.encode() for t in texts], 5)
+    alike = {tuple(sorted((similar.node(a), similar.node(b)))) for a in own for b in own if similar.node(a) != similar.node(b) and similar.alike(a, b, 0.8)}
+    assert alike and alike <= set(pairs)
+    assert len(set(pairs)) < 80 * 79 // 2
+    assert made.value == len(pairs) == len(set(pairs))
+    sets.unpersist()
+
+
+@pytest.mark.parametrize("held", [1, 1 << 20])
+def test_the_smallest_shared_token_decides_where_a_pair_counts(monkeypatch, held):
+    monkeypatch.setattr(similar, "HELD", held)
+    r = np.random.default_rng(4)
+    lists = [np.unique(r.integers(-9, 9, r.integers(1, 12))) for _ in range(30)]
+    i, j = np.triu_indices(len(lists), 1)
+    for token in (-9, 0, 5):
+        for least in (1, 3):
+            got = similar._met_first(np.full(len(lists), token), pa.chunked_array([[x.tobytes() for x in lists]], pa.binary()), i, j, np.full(len(i), least))
+            common = [np.intersect1d(lists[a], lists[b]) for a, b in zip(i, j)]
+            assert got.tolist() == [len(c) >= least and c[0] == token for c in common]
