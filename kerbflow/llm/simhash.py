@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from kerbflow.llm.components import components
-from kerbflow.llm.recurring import digest
+from kerbflow.llm.recurring import digest, settled
 from kerbflow.llm.registry import query, table
 from kerbflow.llm.rows import LOWER, map_texts, small_batches, under_plain_names
 from kerbflow.llm.similar import alike_roots, majority, with_sets
 from kerbflow.llm.trie import forest, trie_pairs
-from kerbflow.session import store
+from kerbflow.session import discard, store
 
 #: The query op7 has shingles of this many words and links by differing bits alone.
 SHINGLE, SEED = 3, 42
@@ -152,16 +152,24 @@ def _rows(docs: DataFrame, id_column: str, text: str, shingle: int, similarity:
     keyed = docs.select(id_column, text, digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("key"))
     if similarity is not None:
         with small_batches(docs.sparkSession):
-            return store(with_sets(keyed, [id_column, "key"], text, shingle, similarity), "shingle-sets")
+            return settled(with_sets(keyed, [id_column, "key"], text, shingle, similarity), "shingle-sets")
     return store(with_fingerprints(keyed, [id_column, "key"], text, shingle).withColumn("node", F.col("fp")), "fingerprints")
 
 
-def _members(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shingle: int, similarity: float | None) -> DataFrame:
-    """(node, root) of every node: the smallest node that links lead to."""
+def _members(docs: DataFrame, id_column: str, text: str, shingle: int, similarity: float | None) -> tuple[DataFrame, DataFrame]:
+    """(id, key, fp, node) of every row, and (node, root) of every node: the smallest node that links lead to."""
+    rows = _rows(docs, id_column, text, shingle, similarity)
     nodes = store(rows.select("node").distinct(), "fingerprint-nodes")
-    roots = (components(links(nodes.withColumnRenamed("node", "fp"))) if similarity is None
-             else alike_roots(docs, rows, id_column, text, shingle, similarity)).withColumnRenamed("node", "linked")
-    return store(nodes.join(roots, nodes.node == roots.linked, "left").select("node", F.coalesce("root", "node").alias("root")), "fingerprint-roots")
+    if similarity is None:
+        roots = components(links(nodes.withColumnRenamed("node", "fp")))
+    else:
+        # What is told of a set is long; rows go on without it.
+        wide, rows = rows, store(rows.select(id_column, "key", "fp", "node"), "set-names")
+        sets = settled(wide.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "sketch", "size", "tokens"))), "distinct-sets")
+        discard(wide)
+        roots = alike_roots(docs, rows, sets, id_column, text, shingle, similarity)
+    roots = roots.withColumnRenamed("node", "linked")
+    return rows, store(nodes.join(roots, nodes.node == roots.linked, "left").select("node", F.coalesce("root", "node").alias("root")), "fingerprint-roots")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -173,8 +181,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     join, so copies are never paired. Null and empty texts are copies of each other. A row without an id gets the component
     of its node, which is null if no row there has an id. Repeated rows give repeated rows.
     """
-    rows = _rows(docs, id_column, text, shingle, similarity)
-    member = _members(docs, rows, id_column, text, shingle, similarity)
+    rows, member = _members(docs, id_column, text, shingle, similarity)
     least = rows.groupBy("node").agg(F.min(id_column).alias("least")).join(member, "node").groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(least, "root").select("node", "component_id")
     return rows.join(named, "node").select(id_column, "fp", "component_id")
@@ -188,8 +195,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     only texts whose id and content are repeated take a further step.
     """
     docs, back = under_plain_names(docs, [id_column, text])
-    rows = _rows(docs, id_column, text, shingle, similarity)
-    member = _members(docs, rows, id_column, text, shingle, similarity)
+    rows, member = _members(docs, id_column, text, shingle, similarity)
     same = rows.groupBy(F.col(id_column).alias("id"), "key", "node").count()
     chosen = store(same.join(member, "node").groupBy("root").agg(F.min(F.struct("id", "key", F.col("count").alias("n"))).alias("m"))
                    .select("m.*"), "chosen")

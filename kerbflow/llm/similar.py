@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from kerbflow.llm.bits import bits_of, has
 from kerbflow.llm.blocks import block, grams, word_hashes
 from kerbflow.llm.components import components
-from kerbflow.llm.recurring import digest
+from kerbflow.llm.recurring import digest, settled
 from kerbflow.llm.rows import LOWER, map_texts, small_batches
 from kerbflow.llm.trie import forest, trie_pairs
 from kerbflow.session import discard, store
@@ -29,8 +29,12 @@ MARKS = 32
 #: Shingles that several texts of a sample share come last in the order of shingles; kept as a filter of 2 to the power of so many bits.
 COMMON_POWER = 24
 SAMPLE, COMMON = 16, 3
-#: The filter of tokens that recur has 2 to the power of so many bits; a fuller one lets more through.
+#: The filter of tokens that recur has 2 to the power of so many bits; a fuller one lets more through, which a join takes out.
 RECURRING_POWER = 26
+#: A set brings about this many of its tokens along at most: those of one of its parts.
+PART = 64
+#: With the sign turned, signed numbers are in the order of the fingerprints' bits.
+SIGN = np.uint64(1 << 63)
 #: Fingerprints that share a token join the trie at so many bits; alike pairs further apart are found among all other pairs.
 WIDE_BITS = 16
 #: More fingerprints than this under one token are linked by hubs; so many pairs are held by a task at once, and so many tokens of pairs.
@@ -219,13 +223,20 @@ def _other_pairs(label: np.ndarray, counts: tuple[np.ndarray, np.ndarray, np.nda
         yield np.concatenate(lot)
 
 
-def _met_first(token: np.ndarray, own: pa.ChunkedArray, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Which pairs of places (i, j) share at least `least` tokens of which the smallest is that of the group they meet in.
+def part_count(tokens: np.ndarray) -> np.ndarray:
+    """Into how many parts a set of so many tokens is cut, by the low bits of its tokens: a power of two."""
+    return (1 << np.ceil(np.log2(np.maximum(tokens, PART) / PART)).astype(np.int64)).astype(np.int64)
+
 
-    `own` has the sorted tokens of the set at each place. So a pair counts once, whatever the number of tokens it shares.
+def _shared_first(token: np.ndarray, own: pa.ChunkedArray, parts: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many tokens of the part that the token of their group is in pairs of places (i, j) share; 0 unless it is the smallest of those.
+
+    `own` has the sorted tokens of that part of the set at each place, `parts` the number of parts. Of two numbers of parts
+    the larger one counts. So a pair counts once in each part, whatever the number of tokens it shares there.
     """
     places, at = np.unique(np.concatenate([i, j]), return_inverse=True)
-    i, j, token = at[:len(i)], at[len(i):], token[i]
+    mask, token = np.maximum(parts[i], parts[j]) - 1, token[i]
+    i, j = at[:len(i)], at[len(i):]
     lists = [np.frombuffer(x, np.int64) for x in own.take(pa.array(places)).to_pylist()]
     lengths = np.array([len(x) for x in lists], np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths)])
@@ -234,22 +245,42 @@ def _met_first(token: np.ndarray, own: pa.ChunkedArray, i: np.ndarray, j: np.nda
     keys = np.repeat(np.arange(len(lists)), lengths) * len(names) + number
     swap = lengths[i] > lengths[j]
     i, j = np.where(swap, j, i), np.where(swap, i, j)
-    ends, stay = np.cumsum(lengths[i]), np.zeros(len(i), bool)
+    ends, found = np.cumsum(lengths[i]), np.zeros(len(i), np.int64)
     low = 0
     while low < len(i):
         high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + HELD, "right")))
         one, other = i[low:high], j[low:high]
         pair = np.repeat(np.arange(len(one)), lengths[one])
         asked = np.arange(len(pair)) + np.repeat(starts[one] - np.concatenate([[0], np.cumsum(lengths[one])[:-1]]), lengths[one])
+        there = np.flatnonzero((flat[asked] ^ token[low:high][pair]) & mask[low:high][pair] == 0)
+        pair, asked = pair[there], asked[there]
         wanted = other[pair] * len(names) + number[asked]
         hit = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted)
         shared = np.bincount(pair[hit], minlength=len(one))
         met, first = np.unique(pair[hit], return_index=True)
         smallest = np.zeros(len(one), bool)
         smallest[met] = flat[asked[hit[first]]] == token[low:high][met]
-        stay[low:high] = smallest & (shared >= least[low:high])
+        found[low:high] = np.where(smallest, shared, 0)
         low = high
-    return stay
+    return found
+
+
+def _met_first(token: np.ndarray, own: pa.ChunkedArray, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which pairs of places (i, j) of sets in one part share at least `least` tokens of which the smallest is that of the group they meet in."""
+    return _shared_first(token, own, np.ones(len(token), np.int64), i, j) >= np.maximum(least, 1)
+
+
+def _leaving(token: np.ndarray, own: pa.ChunkedArray, parts: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> list[np.ndarray]:
+    """Places (i, j), shared tokens and how many of them the pair needs, for the pairs that leave the task of these tokens.
+
+    Where both sets are in one part, pairs that share too few stay behind here.
+    """
+    least, n = least_shared(sizes[i], sizes[j], similarity), np.zeros(len(i), np.int64)
+    whole = np.maximum(parts[i], parts[j]) == 1
+    n[whole] = np.where(_met_first(token, own, i[whole], j[whole], least[whole]), least[whole], 0)
+    n[~whole] = _shared_first(token, own, parts, i[~whole], j[~whole])
+    stay = n > 0
+    return [i[stay], j[stay], n[stay], least[stay]]
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
@@ -278,31 +309,39 @@ def only_tokens(sets: DataFrame, bits: Broadcast) -> DataFrame:
     return sets.mapInArrow(cut, sets.schema)
 
 
-def met_tokens(labelled: DataFrame) -> Broadcast:
-    """A filter of the tokens that stand in sets of different labels: no other token has a pair to form."""
+def met_tokens(labelled: DataFrame) -> DataFrame:
+    """The tokens that stand in sets of different labels, stored: no other token has a pair to form."""
     told = labelled.select(F.explode("tokens").alias("token"), "label").groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return labelled.sparkSession.sparkContext.broadcast(bits_of(told.where("low < high"), "token", RECURRING_POWER))
+    return settled(told.where("low < high").select("token"), "met-tokens")
 
 
-def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, way: str) -> DataFrame:
-    """Pairs (a, b) of distinct sets (columns node, label, fp, sketch, size, tokens) that may be alike.
+def filter_of(tokens: DataFrame) -> Broadcast:
+    """A filter that lets all of these tokens through, and others by chance."""
+    return tokens.sparkSession.sparkContext.broadcast(bits_of(tokens, "token", RECURRING_POWER))
 
-    Fingerprints of sets at similarity 0.8 differ in so many bits that the keys of `simhash.links` would leave no bit to
-    agree in, so sets are dealt out by token instead, of which alike sets share one. Pairs are left out that sizes or
-    sketches or counts of their tokens rule out. Only tokens in `recurring` are moved: the filter of `met_tokens`. By `way`
-    these are returned:
-    * `trie`: the fingerprints that meet join a trie with itself at WIDE_BITS bits; a spanning forest of the pairs.
-    * `best`: for each set that meets sets of other labels, the likeliest one under each of its tokens.
-    * `all`: all pairs that meet and have different labels, but for those that share fewer tokens than `least_shared`. The
-      bounds are strict, so no alike pair is lost. A set brings its tokens along, so a pair leaves the task of its smallest
-      shared token alone.
-    The first two return at most one pair for each token of a set.
+
+def with_tokens(sets: DataFrame, each: DataFrame) -> DataFrame:
+    """The sets that have rows (node, token), with those tokens in place of their own."""
+    kept = each.groupBy(F.col("node").alias("kept")).agg(F.collect_list("token").alias("tokens"))
+    return sets.drop("tokens").join(kept, F.col("node") == F.col("kept")).drop("kept").select(*sets.columns)
+
+
+def only_met(sets: DataFrame, met: DataFrame, bits: Broadcast) -> DataFrame:
+    """The sets that have a token of the table `met`, with those of their tokens alone.
+
+    Its filter spares most others the move; the fuller it is, the more of them the join takes out.
     """
-    schema = "a long, b long"
+    each = only_tokens(sets, bits).select("node", F.explode("tokens").alias("token"))
+    return with_tokens(sets, each.join(met, "token", "left_semi"))
+
+
+def _dealt(sets: DataFrame, recurring: Broadcast, brings: bool) -> DataFrame:
+    """A row for each set and each of its tokens in the filter, those of one token together and in the order of fingerprints.
+
+    `own` has the tokens of the part that the token is in, where a set `brings` them along, and `parts` their number.
+    """
+    schema = "token long, place long, node long, label long, sketch binary, size int, marks binary, parts long, own binary"
     arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], schema).schema)
-    placed_schema = "token long, place long, node long, label long, sketch binary, size int, marks binary, own binary"
-    placed_arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], placed_schema).schema)
-    sign = np.uint64(1 << 63)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,47 +352,96 @@ def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, wa
             counts = marks(owner[there], tokens[there].view(np.uint64), batch.num_rows)
             columns = {c: batch.column(c) for c in ("node", "label", "sketch", "size")}
             columns["marks"] = pa.array([row.tobytes() for row in counts], pa.binary())
-            # With the sign turned, signed numbers are in the order of the fingerprints' bits.
-            place = (batch.column("fp").to_numpy().view(np.uint64) ^ sign).view(np.int64)
-            # The tokens that sets bring along grow with their square, so rows go out a bounded piece at a time.
+            columns["place"] = pa.array((batch.column("fp").to_numpy().view(np.uint64) ^ SIGN).view(np.int64))
             lengths = np.bincount(owner[there], minlength=batch.num_rows)
+            parts = part_count(lengths)
+            columns["parts"] = pa.array(parts)
+            # What sets bring along is some PART tokens for each of their tokens, so rows go out a bounded piece at a time.
             ends = np.concatenate([[0], np.cumsum(lengths)])
-            weight = np.cumsum(lengths * lengths) if way == "all" else ends[1:]
+            weight = np.cumsum(lengths * np.minimum(lengths, PART)) if brings else ends[1:]
             low = 0
             while low < batch.num_rows:
                 high = max(low + 1, int(np.searchsorted(weight, (weight[low - 1] if low else 0) + HELD, "right")))
-                kept = tokens[there[ends[low]:ends[high]]]
-                own = pa.array(owner[there[ends[low]:ends[high]]])
-                if way == "all":
-                    brought = pa.array([np.sort(x).tobytes() for x in np.split(kept, ends[low + 1:high] - ends[low])], pa.binary()).take(
-                        pa.array(owner[there[ends[low]:ends[high]]] - low))
+                kept, own = tokens[there[ends[low]:ends[high]]], owner[there[ends[low]:ends[high]]]
+                if brings and len(kept):
+                    part = kept & (parts[own] - 1)
+                    order = np.lexsort((kept, part, own))
+                    kept, own, part = kept[order], own[order], part[order]
+                    cuts = np.flatnonzero((own[1:] != own[:-1]) | (part[1:] != part[:-1])) + 1
+                    number = np.zeros(len(kept), np.int64)
+                    number[cuts] = 1
+                    brought = pa.array([x.tobytes() for x in np.split(kept, cuts)], pa.binary()).take(pa.array(np.cumsum(number)))
                 else:
                     brought = pa.nulls(len(kept), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(place).take(own), *(
-                    columns[c].take(own) for c in ("node", "label", "sketch", "size", "marks")), brought], schema=placed_arrow)
+                whose = pa.array(own)
+                yield pa.RecordBatch.from_arrays([pa.array(kept), *(columns[c].take(whose) for c in (
+                    "place", "node", "label", "sketch", "size", "marks", "parts")), brought], schema=arrow)
                 low = high
 
+    placed = sets.select("node", "label", "fp", "sketch", "size", "tokens").mapInArrow(places, schema)
+    return placed.repartition("token").sortWithinPartitions("token", "place", "node")
+
+
+def _by_token(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray], np.ndarray]]:
+    """Tables of `_dealt` with all rows of their tokens, their tokens, what `likely` counts, and the first places of tokens and the end."""
+
+    def told(table: pa.Table) -> tuple:
+        token = table.column("token").to_numpy()
+        sketches, marked = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(len(token), -1) for c in ("sketch", "marks"))
+        counts = (table.column("size").to_numpy().astype(np.int64), sketches, marked)
+        return table, token, counts, np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        # The last group of a batch may go on in the next one.
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch])
+        token = table.column("token").to_numpy()
+        other = np.flatnonzero(token != token[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield told(table.slice(0, cut))
+        held = table.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield told(pa.Table.from_batches(held))
+
+
+def open_tokens(sets: DataFrame, recurring: Broadcast, similarity: float) -> DataFrame:
+    """(node, token) where a set meets one of another label that `likely` leaves open: all tokens that open pairs share are among them."""
+    schema = "node long, token long"
+    arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], schema).schema)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, token, counts, cuts in _by_token(batches):
+            open_ = np.zeros(len(token), bool)
+            for i, j, _ in _open_pairs(table.column("label").to_numpy(), counts, cuts, similarity):
+                open_[i] = open_[j] = True
+            yield pa.RecordBatch.from_arrays([pa.array(table.column("node").to_numpy()[open_]), pa.array(token[open_])], schema=arrow)
+
+    return _dealt(sets, recurring, False).mapInArrow(meet, schema)
+
+
+def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, way: str | bool) -> DataFrame:
+    """Pairs (a, b) of distinct sets (columns node, label, fp, sketch, size, tokens) that may be alike.
+
+    Fingerprints of sets at similarity 0.8 differ in so many bits that the keys of `simhash.links` would leave no bit to
+    agree in, so sets are dealt out by token instead, of which alike sets share one. Pairs are left out that sizes or
+    sketches or counts of their tokens rule out. Only tokens in the filter `recurring` are moved. By `way` these are returned:
+    * `trie` (or False): the fingerprints that meet join a trie with itself at WIDE_BITS bits; a spanning forest of the pairs.
+    * `best`: for each set that meets sets of other labels, the likeliest one under each of its tokens.
+    * `all` (or True): all pairs that meet and have different labels, but for those that share fewer tokens than
+      `least_shared`. The bounds are strict, so no alike pair is lost. A set brings tokens along: all, or of more than PART
+      those of the part that the token is in. So a pair leaves the task of its smallest shared token alone, once in each part.
+    The first two return at most one pair for each token of a set.
+    """
+    way = {False: "trie", True: "all"}.get(way, way)
+    schema = "a long, b long" + ", n long, least long" * (way == "all")
+    arrow = to_arrow_schema(sets.sparkSession.createDataFrame([], schema).schema)
+
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
         found: list[list[np.ndarray]] = []
 
-        def pairs_of(table: pa.Table) -> Iterator[list[np.ndarray]]:
-            token, place, nodes, label = (table.column(c).to_numpy() for c in ("token", "place", "node", "label"))
-            sizes = table.column("size").to_numpy().astype(np.int64)
-            sketches, marked = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(len(token), -1) for c in ("sketch", "marks"))
-            counts = (sizes, sketches, marked)
-            cuts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
-            if way == "trie":
-                lots = [_trie_links(token, nodes, counts, place.view(np.uint64) ^ sign, cuts, similarity)]
-            else:
-                lots = [_best_pairs(label, counts, cuts, similarity)] if way == "best" else _other_pairs(label, counts, cuts, similarity)
-            for pairs in lots:
-                i, j = pairs[:, 0], pairs[:, 1]
-                if way == "all":
-                    stay = _met_first(token, table.column("own"), i, j, least_shared(sizes[i], sizes[j], similarity))
-                    i, j = i[stay], j[stay]
-                yield _distinct(np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j]))
-
         def sent(at_most: int) -> Iterator[pa.RecordBatch]:
             """A pair leaves once for all tokens of a task as far as LOT pairs allow."""
             if sum(len(part[0]) for part in found) > at_most:
@@ -361,28 +449,25 @@ def candidate_links(sets: DataFrame, recurring: Broadcast, similarity: float, wa
                 if len(found[0][0]) > at_most // 2:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found.pop()], schema=arrow)
 
-        for batch in batches:
-            # The last group of a batch may go on in the next one.
-            if not batch.num_rows:
+        for table, token, counts, cuts in _by_token(batches):
+            nodes, label = (table.column(c).to_numpy() for c in ("node", "label"))
+            if way == "all":
+                for pairs in _other_pairs(label, counts, cuts, similarity):
+                    i, j, n, least = _leaving(token, table.column("own"), table.column("parts").to_numpy(), counts[0], pairs[:, 0], pairs[:, 1], similarity)
+                    columns = [np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j]), n, least]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=arrow)
                 continue
-            table = pa.Table.from_batches([*held, batch])
-            token = table.column("token").to_numpy()
-            other = np.flatnonzero(token != token[-1])
-            cut = int(other[-1]) + 1 if len(other) else 0
-            if cut:
-                for part in pairs_of(table.slice(0, cut)):
-                    found.append(part)
-                    yield from sent(LOT)
-            held = table.slice(cut).combine_chunks().to_batches()
-        if held:
-            for part in pairs_of(pa.Table.from_batches(held)):
-                found.append(part)
-                yield from sent(LOT)
+            pairs = (_trie_links(token, nodes, counts, table.column("place").to_numpy().view(np.uint64) ^ SIGN, cuts, similarity) if way == "trie"
+                     else _best_pairs(label, counts, cuts, similarity))
+            i, j = pairs[:, 0], pairs[:, 1]
+            found.append(_distinct(np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])))
+            yield from sent(LOT)
         yield from sent(0)
 
-    placed = sets.select("node", "label", "fp", "sketch", "size", "tokens").mapInArrow(places, placed_schema)
-    met = placed.repartition("token").sortWithinPartitions("token", "place", "node").mapInArrow(join, schema)
-    return met if way == "all" else met.distinct()
+    met = _dealt(sets, recurring, way == "all").mapInArrow(join, schema)
+    if way == "all":
+        return met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("least").alias("least")).where("n >= least").select("a", "b")
+    return met.distinct()
 
 
 def groups(sets: list[np.ndarray], similarity: float) -> list[int]:
@@ -453,40 +538,53 @@ def _confirmed(pairs: DataFrame, source: DataFrame, rows: DataFrame, id_column:
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(stay, pa.bool_())) for c in ("a", "b")], schema=arrow)
 
     with small_batches(pairs.sparkSession):
-        sets = store(map_texts(met, ["node"], "_text", lambda: lambda found: [[s.view(np.int64) for s in shingle_sets(found, shingle)]], "shingles array<long>"), "pair-sets")
+        sets = settled(map_texts(met, ["node"], "_text", lambda: lambda found: [[s.view(np.int64) for s in shingle_sets(found, shingle)]], "shingles array<long>"), "pair-sets")
         both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("one")), "a")
                 .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b").select("a", "b", "one", "other"))
-        links = store(both.mapInArrow(check, schema), "alike-pairs")
+        links = settled(both.mapInArrow(check, schema), "alike-pairs")
     tried = pairs.count()
     discard(pairs, sets)
     return links, tried
 
 
-def alike_roots(docs: DataFrame, rows: DataFrame, id_column: str, text: str, shingle: int, similarity: float) -> DataFrame:
+def alike_roots(docs: DataFrame, rows: DataFrame, sets: DataFrame, id_column: str, text: str, shingle: int, similarity: float) -> DataFrame:
     """(node, root) of every set that is alike to another: root is the smallest node of its group of alike sets.
 
-    `rows` has the id, the `key` (digest of the text) and the columns of `with_sets`. Links of the trie are confirmed on the
-    sets first, then those of each set to the likeliest set of another group. Both are few, and their groups spare the pairs
-    inside; then all other pairs that may be alike are confirmed. No step needs a group in one place.
+    `rows` has the id, the `key` (digest of the text) and the node of each row; `sets`, a stored table that is removed here,
+    has the other columns of `with_sets`, once for each node. Links of the trie are confirmed on the sets first, then those
+    of each set to the likeliest set of another group. Both are few, and their groups spare the pairs inside; then all
+    other pairs that may be alike are confirmed. No step needs a group in one place.
     """
-    sets = store(rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "sketch", "size", "tokens"))), "distinct-sets")
-    # Most tokens stand in one set alone; only those that may recur are kept, with their sets.
-    first = met_tokens(sets.withColumn("label", F.col("node")))
-    meeting = store(only_tokens(sets, first), "meeting-sets")
-    discard(sets)
+    # Most tokens stand in one set alone; only those that recur are kept, with their sets.
+    told = met_tokens(sets.withColumn("label", F.col("node")))
+    first = filter_of(told)
+    meeting = settled(only_met(sets, told, first), "meeting-sets")
+    discard(sets, told)
     source = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("string").alias("_text"),
                          digest(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_key"))
 
     def confirmed(labelled: DataFrame, way: str) -> tuple[DataFrame, int]:
-        met = first if way == "trie" else met_tokens(labelled)
+        if way == "trie":
+            met = first
+        else:
+            told = met_tokens(labelled)
+            met = filter_of(told)
+            discard(told)
+        steps = []
         with small_batches(docs.sparkSession):
-            pairs = store(candidate_links(labelled, met, similarity, way), "similar-pairs")
+            if way == "all":
+                # Tokens that no open pair shares are not brought along: first all meet without.
+                each = settled(open_tokens(labelled, met, similarity), "open-tokens")
+                labelled = settled(with_tokens(labelled, each), "open-sets")
+                steps = [each, labelled]
+            pairs = settled(candidate_links(labelled, met, similarity, way), "similar-pairs")
         met.unpersist()
+        discard(*steps)
         return _confirmed(pairs, source, rows, id_column, shingle, similarity)
 
     def labels(roots: DataFrame) -> DataFrame:
         linked = roots.select(F.col("node").alias("linked"), "root")
-        return meeting.join(linked, meeting.node == linked.linked, "left").withColumn("label", F.coalesce("root", "node"))
+        return meeting.join(linked, meeting.node == linked.linked, "left").withColumn("label", F.coalesce("root", "node")).drop("linked", "root")
 
     links, tried = confirmed(meeting.withColumn("label", F.col("node")), "trie")
     roots, way = components(links), "best"

@@ -154,3 +154,65 @@ def test_the_smallest_shared_token_decides_where_a_pair_counts(monkeypatch, held
             got = similar._met_first(np.full(len(lists), token), pa.chunked_array([[x.tobytes() for x in lists]], pa.binary()), i, j, np.full(len(i), least))
             common = [np.intersect1d(lists[a], lists[b]) for a, b in zip(i, j)]
             assert got.tolist() == [len(c) >= least and c[0] == token for c in common]
+
+
+def test_shared_tokens_count_once_in_each_part():
+    """Sets of up to 12 tokens in 1, 2 or 4 parts: over all tokens where two sets meet, their shared tokens are counted once."""
+    r = np.random.default_rng(6)
+    lists = [np.unique(r.integers(-9, 9, r.integers(1, 12))) for _ in range(30)]
+    parts = 1 << r.integers(0, 3, len(lists))
+    i, j = np.triu_indices(len(lists), 1)
+    total, left = np.zeros(len(i), int), np.zeros(len(i), int)
+    for token in range(-9, 9):
+        own = pa.chunked_array([[x[(x ^ token) & (p - 1) == 0].tobytes() for x, p in zip(lists, parts)]], pa.binary())
+        here = np.array([token in lists[a] and token in lists[b] for a, b in zip(i, j)])
+        n = similar._shared_first(np.full(len(lists), token), own, parts, i[here], j[here])
+        total[here] += n
+        left[here] += n > 0
+    assert total.tolist() == [len(np.intersect1d(lists[a], lists[b])) for a, b in zip(i, j)]
+    assert (left <= np.maximum(parts[i], parts[j])).all()
+    assert similar.part_count(np.array([0, 1, similar.PART, similar.PART + 1, 4 * similar.PART])).tolist() == [1, 1, 1, 2, 4]
+
+
+def dealt_out(monkeypatch, spark, frame):
+    """Rows and bytes that sets send to their tokens from now on."""
+    rows, size, plain = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), frame.mapInArrow
+
+    def counted(self, func, schema, *args):
+        def inner(batches):
+            for batch in func(batches):
+                if func.__name__ == "places":
+                    rows.add(batch.num_rows)
+                    size.add(batch.get_total_buffer_size())
+                yield batch
+        return plain(self, inner, schema, *args)
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    return rows, size
+
+
+def test_a_full_filter_moves_no_token_of_one_set_alone(spark, documents, monkeypatch):
+    """As many tokens recur in a large table as the filter has bits; what is sent must follow the tokens that recur."""
+    r = random.Random(8)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(400)) for _ in range(40)]
+    rows = list(enumerate([*texts, texts[0] + " x", " ".join(texts[1].split()[:200] + texts[2].split()[:200])]))
+    monkeypatch.setattr(similar, "bits_of", lambda rows, column, power: np.full(1 << power >> 3, 255, np.uint8))
+    docs = documents(rows)
+    sent, _ = dealt_out(monkeypatch, spark, type(docs))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert got == brute_groups(rows)
+    # Three ways, five texts that share tokens of which each has 80 or so.
+    assert 0 < sent.value < 3 * 5 * 85
+
+
+def test_what_long_sets_bring_along_grows_with_their_size(spark, documents, monkeypatch):
+    words = [f"w{i}" for i in range(8000)]
+    texts = [" ".join(words[:7000]), " ".join(words[1000:]), " ".join(["x", *words[:6900]])]
+    sets = (similar.with_sets(documents(list(enumerate(texts))), ["doc_id"], "text", 5, 0.8).selectExpr("*", "node AS label").persist())
+    tokens = sum(len(r["tokens"]) for r in sets.collect())
+    _, sent = dealt_out(monkeypatch, spark, type(sets))
+    every = spark.sparkContext.broadcast(np.full((1 << similar.RECURRING_POWER) // 8, 255, np.uint8))
+    pairs = {frozenset((r["a"], r["b"])) for r in similar.candidate_links(sets, every, 0.8, "all").collect()}
+    nodes = [similar.node(own) for own in similar.shingle_sets([t.encode() for t in texts], 5)]
+    assert frozenset((nodes[0], nodes[2])) in pairs
+    assert 0 < sent.value < tokens * 1024
+    sets.unpersist()
